@@ -45,7 +45,7 @@ def _context_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives a lost executor."""
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

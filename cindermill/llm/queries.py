@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindermill.llm import bpe, langid, packing
+from cindermill.llm import bpe, langid, media, packing, simhash, warc
 from cindermill.llm.common import id_remainder, table
 
 JSON_TOKENIZER = "byte_bpe_50k.json"
@@ -18,6 +18,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(JSON_TOKENIZER), public_tokenizers.PATTERN)
 
 
+def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_columns(table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, bpe.read_ranks(public_tokenizers.path(RANK_TOKENIZER)), public_tokenizers.PATTERN)
@@ -30,5 +38,19 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), filters)
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op8_byte_bpe, op9_language_id)}
-ORACLES: dict[str, str] = {}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_media_columns, op5_warc, op8_byte_bpe, op9_language_id, op10_simhash)}
+
+#: base32 of the SHA-1 in SQL: 160 bits from the hex digits, five at a time.
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, octet_length(encode(body)) AS n, sha1(body) AS hex FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'][strpos('0123456789abcdef', substr(hex, i, 1))]), '') AS bits FROM h),
+d AS (SELECT page_id, n, hex, array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * (substr(bits, 5 * j + 1, 1) = '1')::INT + 8 * (substr(bits, 5 * j + 2, 1) = '1')::INT + 4 * (substr(bits, 5 * j + 3, 1) = '1')::INT + 2 * (substr(bits, 5 * j + 4, 1) = '1')::INT + (substr(bits, 5 * j + 5, 1) = '1')::INT, 1)), '') AS digest, min(page_id) OVER (PARTITION BY hex) AS first_id FROM b)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to, TRUE AS verified FROM d
+"""
+
+ORACLES: dict[str, str] = {"op5_warc": WARC_SQL}
