@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindermill.llm import bpe, langid, media, packing, simhash, warc
+from cindermill.llm import bpe, langid, media, packing, quality, simhash, toxicity, warc
 from cindermill.llm.common import id_remainder, table
 
 JSON_TOKENIZER = "byte_bpe_50k.json"
 RANK_TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "lang", "text"), model)
+    return toxicity.decide(scored, model).select("doc_id", "held_out", "score", "predicted", "threshold", "flagged")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path(JSON_TOKENIZER), public_tokenizers.PATTERN)
@@ -26,6 +34,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return quality.judge(table(spark, sf_dir, "documents"), trusted)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, bpe.read_ranks(public_tokenizers.path(RANK_TOKENIZER)), public_tokenizers.PATTERN)
@@ -42,7 +55,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_media_columns, op5_warc, op8_byte_bpe, op9_language_id, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_media_columns, op5_warc, op6_quality_classifier, op8_byte_bpe, op9_language_id, op10_simhash)}
 
 #: base32 of the SHA-1 in SQL: 160 bits from the hex digits, five at a time.
 WARC_SQL = """
