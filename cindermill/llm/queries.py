@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindermill.llm import bpe, langid, media, packing, quality, simhash, toxicity, warc
+from cindermill.llm import ann, bpe, langid, media, packing, quality, simhash, toxicity, warc
 from cindermill.llm.common import id_remainder, table
 
 JSON_TOKENIZER = "byte_bpe_50k.json"
@@ -39,6 +39,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), trusted)
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", lambda vec_id: vec_id % 100 == 0)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, bpe.read_ranks(public_tokenizers.path(RANK_TOKENIZER)), public_tokenizers.PATTERN)
@@ -55,7 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_media_columns, op5_warc, op6_quality_classifier, op8_byte_bpe, op9_language_id, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_media_columns, op5_warc, op6_quality_classifier, op7_nearest_neighbours, op8_byte_bpe, op9_language_id, op10_simhash)}
 
 #: base32 of the SHA-1 in SQL: 160 bits from the hex digits, five at a time.
 WARC_SQL = """
