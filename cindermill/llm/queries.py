@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindermill.llm import ann, bpe, langid, media, packing, quality, simhash, toxicity, warc
+from cindermill.llm import ann, bpe, html_template, langid, media, packing, quality, simhash, toxicity, warc
 from cindermill.llm.common import id_remainder, table
 
 JSON_TOKENIZER = "byte_bpe_50k.json"
@@ -30,6 +30,10 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
@@ -59,7 +63,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_media_columns, op5_warc, op6_quality_classifier, op7_nearest_neighbours, op8_byte_bpe, op9_language_id, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_media_columns, op4_html_extraction, op5_warc, op6_quality_classifier, op7_nearest_neighbours, op8_byte_bpe, op9_language_id, op10_simhash)}
 
 #: base32 of the SHA-1 in SQL: 160 bits from the hex digits, five at a time.
 WARC_SQL = """
