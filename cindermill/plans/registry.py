@@ -81,7 +81,7 @@ def dedupe_bars(spark, sf_dir):
 
 # universe
 
-@query(sql("""SELECT m.symbol, m.market, round(dv, 2) AS dollar_volume_20d, n AS clean_days, round(last_close, 4) AS last_close, reason AS eligibility_reason FROM (
+@query(sql("""SELECT m.symbol, m.market, round(dv, 2) AS dollar_volume_20d, n AS clean_days, round(last_close, 8) AS last_close, reason AS eligibility_reason FROM (
 SELECT *, 'always_in' AS reason FROM m WHERE market IN ('forex', 'commodity', 'index') UNION ALL
 SELECT *, 'liquidity_screened' FROM (SELECT * FROM m WHERE (market = 'us_stocks' AND dv > 20000 AND last_close >= 1 AND n >= 5) OR (market = 'idx' AND dv > 20000 AND last_close >= 50 AND n >= 5) ORDER BY dv DESC, symbol LIMIT 175)) m""", "clean", "dim", "run", m="""SELECT symbol, market, avg(CASE WHEN rn <= 20 THEN close * volume END) AS dv, count(*) AS n, max(CASE WHEN rn = 1 THEN close END) AS last_close FROM (
 SELECT c.symbol, d.market, c.close, c.volume, row_number() OVER (PARTITION BY c.symbol ORDER BY c.t DESC) AS rn FROM clean c JOIN dim d USING (symbol), run WHERE c.is_clean AND CAST(c.t AS DATE) BETWEEN run_date - 45 AND run_date) GROUP BY 1, 2"""))
@@ -89,7 +89,7 @@ def active_universe(spark, sf_dir):
     bars = clean_daily(spark, sf_dir)
     limits = {"us_stocks": (20_000.0, 1.0, 5), "idx": (20_000.0, 50.0, 5)}  # the generated volumes are small
     out = universe.active(bars, A.instruments(spark, sf_dir), last_day(daily(spark, sf_dir)), limits)
-    return rounded(out.drop("resolver_version", "is_fallback"), dollar_volume_20d=2)
+    return rounded(out.drop("resolver_version", "is_fallback"), dollar_volume_20d=2, last_close=8)
 
 
 @query(sql("SELECT DISTINCT symbol FROM daily WHERE symbol NOT IN (SELECT symbol FROM dim WHERE market <> 'forex')", "daily", "dim"))
