@@ -188,7 +188,7 @@ class ChunkEncoder:
     The ids of a chunk come as packed little-endian unsigned 32-bit integers from a bounded cache.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], cached: int = 150_000):
+    def __init__(self, encode: Callable[[str], bytes], cached: int = 250_000):
         self.encode = encode
         self.chunks = Recent(lambda part: encode(" " + part), cached)
 
@@ -206,7 +206,7 @@ class ChunkEncoder:
         return first + b"".join(map(self.chunks.__getitem__, parts[1:]))
 
 
-def pattern_encoder(ranks: dict[bytes, int], pattern: str, cached: int = 300_000) -> ChunkEncoder:
+def pattern_encoder(ranks: dict[bytes, int], pattern: str, cached: int = 500_000) -> ChunkEncoder:
     """Encodes each match of the pattern by the transducer."""
     find, transducer = regex.compile(pattern).findall, MergeTransducer(ranks)
     matches = Recent(lambda match: array("I", transducer.encode(match.encode())).tobytes(), cached)
@@ -243,6 +243,9 @@ class StreamDecoder:
         self.tokens = tokens
         self.bytes = _utf8_moves()
         self.after: list[dict[int, int]] = [{} for _ in range(9)]
+        self.whole = np.zeros(max(tokens, default=0) + 1, dtype=bool)
+        for token in tokens:
+            self.whole[token] = self.step(ACCEPT, token) == ACCEPT
         self.state, self.held = ACCEPT, b""
 
     def step(self, state: int, token: int) -> int:
@@ -255,15 +258,24 @@ class StreamDecoder:
             self.after[state][token] = now
         return now
 
-    def feed(self, ids: Iterable[int]) -> str:
+    def feed(self, ids: Iterable[int], block: int = 512) -> str:
         """The characters completed by more ids; bytes that cannot be UTF-8 become U+FFFD."""
+        ids, out = np.asarray(ids, dtype=np.int64), []
+        for start in range(0, len(ids), block):
+            some = ids[start:start + block]
+            if self.state == ACCEPT and self.whole[some].all():  # no token leaves a character open
+                out.append(b"".join(map(self.tokens.__getitem__, some.tolist())).decode())
+            else:
+                out.append(self._feed(some.tolist()))
+        return "".join(out)
+
+    def _feed(self, ids: list[int]) -> str:
         data, state = [self.held], self.state
         for token in ids:
             state = self.step(state, token)
             data.append(self.tokens[token])
             if state == REJECT:
-                joined = b"".join(data)
-                data, state = [joined.decode("utf-8", "replace").encode()], ACCEPT
+                data, state = [b"".join(data).decode("utf-8", "replace").encode()], ACCEPT
         joined = b"".join(data)
         cut = len(joined)
         if state != ACCEPT:  # the open character starts at the last lead byte
@@ -275,7 +287,7 @@ class StreamDecoder:
         left, self.state, self.held = self.held.decode("utf-8", "replace"), ACCEPT, b""
         return left
 
-    def decode(self, ids: list[int], block: int = 1 << 16) -> Iterator[str]:
+    def decode(self, ids: Iterable[int], block: int = 1 << 16) -> Iterator[str]:
         """The whole text in blocks."""
         for start in range(0, len(ids), block):
             yield self.feed(ids[start:start + block])
@@ -297,9 +309,9 @@ def encode_decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str
         for batch in batches:
             n, ids_hash, text_hash = [], [], []
             for text in texts(batch.column(1)):
-                ids = np.frombuffer(encoder(text), dtype="<u4").tolist()
+                ids = np.frombuffer(encoder(text), dtype="<u4")
                 n.append(len(ids))
-                ids_hash.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
+                ids_hash.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids.tolist())).encode()).hexdigest())
                 decoded = hashlib.sha256()
                 for part in decoder.decode(ids):
                     decoded.update(part.encode())
