@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cindermill.functions import slippage
 from cindermill.operators import bars as B
 from cindermill.operators import correlate, dimension, evaluate, indicators, macro, quality, signals, universe, watchlist
+from cindermill.plans import ingest_queries
 from cindermill.plans.base import clean_daily, daily, hourly, last_day, rounded, sql
 from cindermill.sources import adapters as A
 from cindermill.sources import ingest
@@ -412,3 +413,7 @@ def symbol_forms(spark, sf_dir):
 def dimension_rules(spark, sf_dir):
     rows = A.table(spark, sf_dir, "part").select(F.col("p_name").alias("symbol"), F.col("p_brand").alias("market"), F.col("p_type").alias("sector"))
     return dimension.layer_one_violations(rows, ("Brand#11", "Brand#12"))
+
+
+QUERIES.update(ingest_queries.QUERIES)
+ORACLES.update(ingest_queries.ORACLES)
