@@ -155,12 +155,12 @@ def series_marks(spark, sf_dir):
     return ingest.series_marks(A.macro_observations(spark, sf_dir).where("vintage = 1"), 14)
 
 
-@query(sql("SELECT series_id, observation_date, round(value, 4) AS value, FALSE AS is_mirror FROM macro0 WHERE series_id <> '1-URGENT' UNION ALL SELECT '1-URGENT', observation_date, round(value, 4), TRUE FROM macro1 WHERE series_id = '5-LOW'", "macro0", "macro1"))
+@query(sql("SELECT series_id, observation_date, round(value, 7) AS value, FALSE AS is_mirror FROM macro0 WHERE series_id <> '1-URGENT' UNION ALL SELECT '1-URGENT', observation_date, round(value, 7), TRUE FROM macro1 WHERE series_id = '5-LOW'", "macro0", "macro1"))
 def mirrored_series(spark, sf_dir):
     observations = A.macro_observations(spark, sf_dir)
     native = observations.where("vintage = 0 AND series_id <> '1-URGENT'").drop("vintage")
     mapping = spark.createDataFrame([("1-URGENT", "5-LOW"), ("2-HIGH", "5-LOW")], "series_id string, mirror_id string")
-    return rounded(ingest.with_mirrors(native, observations.where("vintage = 1").drop("vintage"), mapping))
+    return rounded(ingest.with_mirrors(native, observations.where("vintage = 1").drop("vintage"), mapping), 7)
 
 
 @query(sql("SELECT symbol, max(CAST(t AS DATE)) AS last_date, date_diff('day', max(CAST(t AS DATE)), max(run_date)) > 1 AS is_too_old, count(*) FILTER (CAST(t AS DATE) >= run_date - 7) AS n_retained FROM daily, run GROUP BY symbol", "daily", "run"))
