@@ -109,3 +109,27 @@ def select_series(registry: DataFrame, domain: str | None = None, ids: list[str]
     if regime_only:
         out = out.where("regime_input")
     return out if run_weekday is None else out.where((F.col("cadence") != "weekly") | (F.col("weekday") == run_weekday))
+
+
+def select_instruments(instruments: DataFrame, layer: int | None = None, markets: list[str] | None = None, sectors: list[str] | None = None, subcategories: list[str] | None = None, flag: str | None = None) -> DataFrame:
+    """Instruments by layer, market, sector and subcategory; flag names a boolean column, such as those for forecasts or correlations."""
+    out = instruments
+    for column, values in (("layer", None if layer is None else [layer]), ("market", markets), ("sector", sectors), ("subcategory", subcategories)):
+        if values is not None:
+            out = out.where(F.col(column).isin(*values))
+    return out if flag is None else out.where(F.col(flag))
+
+
+def subcategory_meta(groups: DataFrame) -> DataFrame:
+    """subcategory, key, value of each group's meta map."""
+    return groups.select("subcategory", F.explode("meta").alias("key", "value"))
+
+
+def lookup(instruments: DataFrame, symbols: DataFrame, market: str | None = None) -> DataFrame:
+    """The instruments of the listed symbols; a symbol of several markets is an error unless a market is named."""
+    found = instruments.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    if market is not None:
+        return found.where(F.col("market") == market)
+    if not ambiguous_symbols(found).isEmpty():
+        raise LookupError("a symbol lives in several markets")
+    return found

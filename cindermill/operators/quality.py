@@ -200,3 +200,13 @@ def progress(done: DataFrame, universe: DataFrame) -> DataFrame:
 
 def recent_failures(runs: DataFrame, run_date: Column, days: int = 7, top: int = 15) -> DataFrame:
     return runs.where((F.col("status") == "failed") & (F.to_date("started_at") > F.date_sub(run_date, days))).orderBy(F.col("started_at").desc(), "run_id").limit(top)
+
+
+def handle_mismatch(df: DataFrame, registry: T.StructType, on_mismatch: str = "quarantine") -> tuple[DataFrame, DataFrame]:
+    """Rows to go on with and rows set aside: 'warn' keeps all, 'fail' raises if any row is wrong, everything else quarantines."""
+    good, bad = route(df, registry)
+    if on_mismatch == "warn":
+        return df, bad
+    if on_mismatch == "fail" and not bad.isEmpty():
+        raise QualityGateError("rows break the registry")
+    return good, bad

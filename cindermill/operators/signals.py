@@ -74,3 +74,17 @@ def sector_weights(instruments: DataFrame, weights: DataFrame, regime_name: str
     """Each instrument's weight from rows (regime, sector_key, weight); a missing key weighs 1."""
     now = weights.where(F.col("regime") == regime_name).select("sector_key", "weight")
     return instruments.withColumn("sector_key", sector_key()).join(F.broadcast(now), "sector_key", "left").withColumn("sector_weight", F.coalesce("weight", F.lit(1.0))).drop("weight")
+
+
+def indicator_values(observations: DataFrame, candidates: dict[str, tuple[tuple[str, str], ...]], run_date: Column) -> DataFrame:
+    """One row with the last value of the first (source, series_id) of each indicator that has one by run_date.
+
+    Vintages after run_date are not read; of one observation date the newest vintage counts.
+    """
+    known = observations.where((F.col("vintage_date") <= run_date) & (F.col("observation_date") <= run_date))
+    last = lambda source, series: F.max_by(F.when((F.col("source") == source) & (F.col("series_id") == series), F.col("value")), F.when((F.col("source") == source) & (F.col("series_id") == series) & F.col("value").isNotNull(), F.struct("observation_date", "vintage_date")))
+    return known.agg(*[F.coalesce(*[last(*c) for c in options]).alias(name) for name, options in candidates.items()])
+
+
+def grade_counts(aligned: DataFrame) -> DataFrame:
+    return aligned.groupBy("signal_quality").agg(F.count("*").alias("n_symbols"))

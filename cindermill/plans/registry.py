@@ -265,6 +265,18 @@ def timeframe_alignment(spark, sf_dir):
     return rounded(out.withColumn("regime_compatible", signals.compatible(F.col("mtf_score"), F.lit("RISK_ON"))))
 
 
+@query(sql(f"SELECT {_GRADE} AS signal_quality, count(*) AS n_symbols FROM x GROUP BY 1", "daily", "weekly", "monthly", recursive=True, b=_TF_BARS, r=_TF_WALK, l=_TF_LAST, x=_TF_WIDE))
+def grade_counts(spark, sf_dir):
+    return signals.grade_counts(signals.alignment(_timeframe_signals(spark, sf_dir), ("1D", "1W", "1M"), "1D"))
+
+
+@query(sql("SELECT series AS indicator, round(v, 7) AS value FROM (SELECT 'vix' AS series, coalesce((SELECT arg_max(value, observation_date) FROM macro1 WHERE series_id = 'absent'), (SELECT arg_max(value, observation_date) FROM macro1 WHERE series_id = '1-URGENT' AND observation_date + 40 <= DATE '1996-06-01')) AS v UNION ALL SELECT 'gdp', (SELECT arg_max(value, observation_date) FROM macro1 WHERE series_id = '2-HIGH' AND observation_date + 40 <= DATE '1996-06-01'))", "macro1"))
+def indicator_values(spark, sf_dir):
+    observations = A.macro_observations(spark, sf_dir).where("vintage = 1").select(F.lit("fred").alias("source"), "series_id", "observation_date", F.date_add("observation_date", 40).alias("vintage_date"), "value")
+    one = signals.indicator_values(observations, {"vix": (("fred", "absent"), ("fred", "1-URGENT")), "gdp": (("fred", "2-HIGH"),)}, F.lit("1996-06-01").cast("date"))
+    return rounded(one.select(F.explode(F.create_map(F.lit("vix"), "vix", F.lit("gdp"), "gdp")).alias("indicator", "value")), 7)
+
+
 # regimes and sectors
 
 _IND = "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, avg(o_totalprice) / 8000.0 AS vix, (avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) - 0.4) * 3 AS yield_spread, avg(o_custkey % 100) / 12.0 AS cpi, CASE WHEN month(min(o_orderdate)) % 5 <> 0 THEN avg(o_custkey % 7) END AS gdp, 95 + avg(o_orderkey % 21) AS dxy FROM orders GROUP BY 1"

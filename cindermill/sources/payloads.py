@@ -117,3 +117,9 @@ def matrix_row(cells: DataFrame, area: str, codes: list[str]) -> DataFrame:
     mine = cells.where((F.col("col") == 2) & (F.col("value") == area)).select("sheet", "row")
     weights = cells.join(mine, ["sheet", "row"], "left_semi").select("sheet", "col", F.expr("try_cast(value AS DOUBLE)").alias("weight"))
     return named.join(weights, ["sheet", "col"], "left").select("sheet", "code", "weight")
+
+
+def quotes(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Quotes {c, h, l, o, pc, t} of each symbol; t is in seconds."""
+    parsed = F.from_json(payload, "c double, h double, l double, o double, pc double, t bigint")
+    return df.select("symbol", F.timestamp_seconds(parsed["t"]).alias("timestamp"), *[parsed[k].alias(n) for k, n in (("c", "close"), ("h", "high"), ("l", "low"), ("o", "open"), ("pc", "previous_close"))])

@@ -73,3 +73,31 @@ def file_freshness(spark: SparkSession, path: str) -> DataFrame:
     """Files, bytes and newest change of a dataset."""
     meta = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
     return meta.agg(F.count("*").alias("n_files"), F.sum("file_size").alias("n_bytes"), F.max("file_modification_time").alias("last_change"))
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Replace a whole table at once: readers see the old one until the new one is complete."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    target, staged, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path.rstrip('/')}.staged", f"{path.rstrip('/')}.old"))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    df.write.mode("overwrite").option("compression", "zstd").parquet(staged.toString())
+    files.delete(old, True)
+    if files.exists(target):
+        files.rename(target, old)
+    if not files.rename(staged, target):
+        files.rename(old, target)
+        raise OSError(f"{path} could not be replaced")
+    files.delete(old, True)
+
+
+def try_replace_table(df: DataFrame, path: str) -> bool:
+    """Like replace_table, but a failed write leaves the old table and gives False."""
+    from py4j.protocol import Py4JError
+    from pyspark.errors import PySparkException
+
+    try:
+        replace_table(df, path)
+    except (OSError, PySparkException, Py4JError):
+        return False
+    return True

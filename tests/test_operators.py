@@ -251,3 +251,34 @@ def test_stream_matches_batch(spark, tmp_path):
     run.awaitTermination(60)
     got = {(r["timestamp"], r["close"], r["bar_count"]) for r in spark.table("four_hours").collect()}
     assert got == {(r["timestamp"], r["close"], r["bar_count"]) for r in B.four_hour(bars).collect()}
+
+
+def test_replace_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    storage.replace_table(spark.range(3), path)
+    storage.replace_table(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    broken = spark.range(2).select(F.raise_error(F.lit("no")).alias("id"))
+    assert storage.try_replace_table(broken, path) is False and spark.read.parquet(path).count() == 5
+
+
+def test_mismatch_modes(spark):
+    registry = T.StructType([T.StructField("a", T.LongType(), False)])
+    df = spark.createDataFrame([(1,), (None,)], "a long")
+    assert quality.handle_mismatch(df, registry)[0].count() == 1 and quality.handle_mismatch(df, registry, "warn")[0].count() == 2
+    with pytest.raises(quality.QualityGateError):
+        quality.handle_mismatch(df, registry, "fail")
+
+
+def test_instrument_selection(spark):
+    dim = spark.createDataFrame([("A", "us_stocks", 1, True), ("A", "idx", 1, False), ("B", "idx", 1, True)], "symbol string, market string, layer int, for_forecast boolean")
+    assert dimension.select_instruments(dim, layer=1, markets=["idx"], flag="for_forecast").first()["symbol"] == "B"
+    asked = spark.createDataFrame([("A",)], "symbol string")
+    with pytest.raises(LookupError):
+        dimension.lookup(dim, asked)
+    assert dimension.lookup(dim, asked, "idx").count() == 1
+
+
+def test_quote_payload(spark):
+    row = payloads.quotes(spark.createDataFrame([("A", '{"c": 2.5, "t": 60}')], "symbol string, payload string")).first()
+    assert row["close"] == 2.5 and row["high"] is None and row["timestamp"] == dt.datetime(1970, 1, 1, 0, 1)
