@@ -180,9 +180,9 @@ OUTPUT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField
 
 
 def predict(df: DataFrame, filters: LanguageFilters, text: str = "text") -> DataFrame:
-    """Every column of df but the text, followed by lang_pred, score and lang_share."""
+    """Every column of df but the text and older ones of those names, followed by lang_pred, score and lang_share."""
     shared = df.sparkSession.sparkContext.broadcast((filters.languages, filters.slots, filters.false_positive))
-    kept = [c for c in df.columns if c != text]
+    kept = [c for c in df.columns if c not in (text, *OUTPUT.names)]
     schema = T.StructType([df.schema[c] for c in kept] + OUTPUT.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,6 +197,8 @@ def predict(df: DataFrame, filters: LanguageFilters, text: str = "text") -> Data
 
 def keep_identified(df: DataFrame, filters: LanguageFilters, text: str = "text", least_share: float = 0.2) -> DataFrame:
     """The rows of df whose text is in one of the learned languages: it has letters, and the chosen filter holds at least `least_share` of its n-grams."""
+    if not filters.languages:  # nothing was learned, so nothing can be rejected
+        return df
     shared = df.sparkSession.sparkContext.broadcast((filters.languages, filters.slots, filters.false_positive))
     at = df.columns.index(text)
 

@@ -19,7 +19,7 @@ from cindermill.llm.common import id_remainder
 SF = "/root/testdata/sf0.01"
 RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 PATTERN = public_tokenizers.PATTERN
-KIND = "doc_id long, text string, lang string, source string, n_chars long, bits double, token string, length long"
+KIND = "doc_id long, text string, lang string, source string, n_chars long, bits double, score string, length long"
 ODD = [None, "", " ", "\n\n", "a", "the the the", "é日😀", "x" * 300_000, "  two  spaces  ", "tab\t\ttab", "it's they'll", "The same text", "The same text", "<|endoftext|>", " nbsp  em"]
 
 
