@@ -192,7 +192,7 @@ def score_by_blocks(docs: DataFrame, probabilities: DataFrame, block_bytes: int
 
 def perplexity(docs: DataFrame, trusted: DataFrame, broadcast_grams: int = 4_000_000) -> DataFrame:
     """doc_id, lang, bits (base-2 logarithm of the perplexity per byte) of every document."""
-    tables = KneserNeyTables(gram_counts(trusted))
+    tables = KneserNeyTables(materialise(gram_counts(trusted)))
     if not tables.discounts:
         return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.lit(None).cast("double").alias("bits"))
     probabilities = materialise(tables.log_probabilities(materialise(gram_counts(docs)).select("gram")))
@@ -200,10 +200,15 @@ def perplexity(docs: DataFrame, trusted: DataFrame, broadcast_grams: int = 4_000
     return score_by_broadcast(docs, probabilities) if small else score_by_blocks(docs, probabilities)
 
 
-def judge(docs: DataFrame, trusted_ids: DataFrame, quantile: float = 0.995, margin: float = 1.1, broadcast_grams: int = 4_000_000) -> DataFrame:
-    """doc_id, lang, perplexity, threshold and keep for every document; trusted_ids has the doc_id of trusted ones."""
-    trusted_ids = trusted_ids.select("doc_id").distinct()
-    scores = materialise(perplexity(docs, docs.join(trusted_ids, "doc_id", "left_semi"), broadcast_grams))
+def judge(docs: DataFrame, trusted_ids: DataFrame, quantile: float = 0.995, margin: float = 1.1, broadcast_grams: int = 4_000_000, broadcast_ids: int = 8_000_000) -> DataFrame:
+    """doc_id, lang, perplexity, threshold and keep for every document; trusted_ids has the doc_id of trusted ones.
+
+    Up to broadcast_ids of them, counted first, go to every task; more of them are joined by a shuffle of the texts.
+    """
+    trusted_ids = materialise(trusted_ids.select("doc_id").distinct())
+    few = trusted_ids.count() <= broadcast_ids
+    trusted = docs.join(F.broadcast(trusted_ids) if few else trusted_ids.hint("merge"), "doc_id", "left_semi")
+    scores = materialise(perplexity(docs, trusted, broadcast_grams))
     known = scores.join(trusted_ids, "doc_id", "left_semi").where("bits IS NOT NULL")
     limits = [(r["lang"], r["q"]) for r in known.groupBy("lang").agg(F.percentile_approx("bits", quantile, 10_000).alias("q")).collect()]
     overall = known.agg(F.percentile_approx("bits", quantile, 10_000)).first()[0]
@@ -218,4 +223,4 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, quantile: float = 0.995, marg
 def keep_documents(docs: DataFrame, trusted_ids: DataFrame, **options) -> DataFrame:
     """The documents that `judge` keeps, with all their columns."""
     kept = judge(docs, trusted_ids, **options).where("keep").select(F.col("doc_id").alias("kept_")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_")), "left_semi")
+    return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(F.col("kept_")), "left_semi")
