@@ -123,5 +123,5 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options)
     """The documents that have the smallest key of their component; of repeated keys one row stays."""
     chosen = near_duplicates(df, key, text, **options).where(F.col(key) == F.col("component_id")).select(key).distinct()
     repeated = df.groupBy(key).count().where("count > 1").limit(1).count()
-    kept = df.join(chosen, key, "left_semi")
+    kept = df.join(chosen.hint("merge"), key, "left_semi")
     return kept.dropDuplicates([key]) if repeated else kept
