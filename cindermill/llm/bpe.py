@@ -149,12 +149,14 @@ class MergeTransducer:
         if len(self.states) > self.max_states:
             self._restart()
         state, get, out, ends = 0, self.moves.get, [], []
-        for byte in piece:
-            state, token = get(state << 8 | byte) or self._step(state, byte)
-            ends.append(token)
-            if len(ends) >= self.lookahead and (place := self._boundary(state, ends)):
+        add, most = ends.append, self.lookahead
+        for start in range(0, len(piece), most):
+            if start and (place := self._boundary(state, ends)):
                 out += self._path(ends, place)
                 del ends[:place]
+            for byte in piece[start:start + most] if len(piece) > most else piece:
+                state, token = get(state << 8 | byte) or self._step(state, byte)
+                add(token)
         return out + self._path(ends, len(ends))
 
 
@@ -206,11 +208,27 @@ class ChunkEncoder:
         return first + b"".join(map(self.chunks.__getitem__, parts[1:]))
 
 
+#: Fixed value: the pattern whose matches in a chunk of Latin letters and closing marks are known beforehand.
+WORDS_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([,.;:!?]*)")
+
+
 def pattern_encoder(ranks: dict[bytes, int], pattern: str, cached: int = 500_000) -> ChunkEncoder:
     """Encodes each match of the pattern by the transducer."""
     find, transducer = regex.compile(pattern).findall, MergeTransducer(ranks)
     matches = Recent(lambda match: array("I", transducer.encode(match.encode())).tobytes(), cached)
-    return ChunkEncoder(lambda chunk: b"".join(map(matches.__getitem__, find(chunk))))
+    general = lambda chunk: b"".join(map(matches.__getitem__, find(chunk)))
+    if pattern != WORDS_PATTERN:
+        return ChunkEncoder(general)
+
+    def encode(chunk: str, plain=_PLAIN.fullmatch) -> bytes:
+        found = plain(chunk)
+        if found is None:
+            return general(chunk)
+        word, marks = found.groups()
+        return matches[word] + matches[marks] if marks else matches[word]
+
+    return ChunkEncoder(encode)
 
 
 ACCEPT, REJECT = 0, 8
@@ -258,7 +276,7 @@ class StreamDecoder:
             self.after[state][token] = now
         return now
 
-    def feed(self, ids: Iterable[int], block: int = 512) -> str:
+    def feed(self, ids: Iterable[int], block: int = 2048) -> str:
         """The characters completed by more ids; bytes that cannot be UTF-8 become U+FFFD."""
         ids, out = np.asarray(ids, dtype=np.int64), []
         for start in range(0, len(ids), block):
@@ -306,16 +324,26 @@ def encode_decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str
         tokens = {rank: token for token, rank in shared.value[0].items()}
         decimal = {rank: str(rank) for rank in tokens}
         decoder = StreamDecoder(tokens)
+        seen: dict[bytes, tuple[int, str, str]] = {}  # copies met by one task are worked out once
+
+        def describe(text: str) -> tuple[int, str, str]:
+            ids = np.frombuffer(encoder(text), dtype="<u4")
+            written = hashlib.sha256(" ".join(map(decimal.__getitem__, ids.tolist())).encode())
+            decoded = hashlib.sha256()
+            for part in decoder.decode(ids):
+                decoded.update(part.encode())
+            return len(ids), written.hexdigest(), decoded.hexdigest()
+
         for batch in batches:
-            n, ids_hash, text_hash = [], [], []
+            rows = []
             for text in texts(batch.column(1)):
-                ids = np.frombuffer(encoder(text), dtype="<u4")
-                n.append(len(ids))
-                ids_hash.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids.tolist())).encode()).hexdigest())
-                decoded = hashlib.sha256()
-                for part in decoder.decode(ids):
-                    decoded.update(part.encode())
-                text_hash.append(decoded.hexdigest())
+                mark = hashlib.blake2b(text.encode(), digest_size=16).digest()
+                if mark not in seen:
+                    if len(seen) >= 100_000:
+                        seen.clear()
+                    seen[mark] = describe(text)
+                rows.append(seen[mark])
+            n, ids_hash, text_hash = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = f"`{key}` {df.schema[key].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
