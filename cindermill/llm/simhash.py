@@ -119,6 +119,20 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     return fps.join(answer, "fp").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def row_key(key: str, text: str) -> Column:
+    """Tells rows with different keys or texts apart, null keys included; orders by key, null last."""
+    return F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("id"), F.xxhash64(text).alias("mark"))
+
+
+def keep_rows(df: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows whose row_key is among the chosen ones in column row_; of rows with equal key and text one stays."""
+    wanted = chosen.select(F.col("row_.id").alias("id_"), F.col("row_.mark").alias("mark_"))
+    marked = df.withColumn("row_mark_", F.xxhash64(text))
+    kept = marked.join(wanted.hint("merge"), F.col(key).eqNullSafe(F.col("id_")) & (F.col("row_mark_") == F.col("mark_")), "left_semi")
+    repeated = marked.groupBy(key, "row_mark_").count().where("count > 1").limit(1).count()
+    return (kept.dropDuplicates([key, "row_mark_"]) if repeated else kept).drop("row_mark_")
+
+
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that have the smallest key of their component; of repeated keys one row stays."""
     chosen = near_duplicates(df, key, text, **options).where(F.col(key) == F.col("component_id")).select(key).distinct()

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cindermill.llm import ann, html_template, media, queries, simhash, warc
+from cindermill.llm import ann, html_template, jaccard, media, queries, simhash, warc
 
 SF = "/root/testdata/sf0.01"
 
@@ -84,6 +84,24 @@ def test_repeated_ids_stay_once(spark):
     assert [r["doc_id"] for r in simhash.keep_one(docs).collect()] == [1]
 
 
+def test_near_copies_of_similarity_are_caught(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(3000)]
+    rows, similar = [], {}
+    for i in range(60):
+        first = [words[k] for k in rng.integers(0, 3000, 300)]
+        second = list(first)
+        for at in rng.integers(0, 300, 1 + i % 8):
+            second[at] = "changed"
+        rows += [(2 * i, " ".join(first)), (2 * i + 1, " ".join(second))]
+        a, b = ({tuple(w[k:k + 5]) for k in range(296)} for w in (first, second))
+        similar[2 * i] = len(a & b) / len(a | b) >= 0.8
+    got = {r["doc_id"] for r in corpus_pipeline.distinct(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()}
+    assert got == {k for k, _ in rows if k % 2 == 0 or not similar[k - 1]}
+    crowd = spark.createDataFrame([(i, " ".join(["same"] * 3 + [str(x) for x in range(200)] + [f"end{i}"])) for i in range(300)] + [(900, "alone")], "doc_id long, text string")
+    assert {r["doc_id"] for r in jaccard.keep_one(crowd).collect()} == {0, 900}
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     points = rng.standard_normal((1500, 24))
