@@ -134,8 +134,6 @@ def keep_rows(df: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFram
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents that have the smallest key of their component; of repeated keys one row stays."""
-    chosen = near_duplicates(df, key, text, **options).where(F.col(key) == F.col("component_id")).select(key).distinct()
-    repeated = df.groupBy(key).count().where("count > 1").limit(1).count()
-    kept = df.join(chosen.hint("merge"), key, "left_semi")
-    return kept.dropDuplicates([key]) if repeated else kept
+    """One row of each component, the one with the smallest key."""
+    rows = near_duplicates(df.select(row_key(key, text).alias("row_"), F.col(text).alias("text_")), "row_", "text_", **options)
+    return keep_rows(df, rows.where("row_ <=> component_id").select("row_"), key, text)

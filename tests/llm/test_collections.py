@@ -102,6 +102,14 @@ def test_near_copies_of_similarity_are_caught(spark):
     assert {r["doc_id"] for r in jaccard.keep_one(crowd).collect()} == {0, 900}
 
 
+def test_null_and_clashing_ids_keep_their_texts(spark):
+    rows = [(None, "only here"), (None, "b c d"), (1, "a text"), (1, "another text"), (2, "b c d"), (2, "b c d"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for keep in (simhash.keep_one, jaccard.keep_one):
+        got = [(r["doc_id"], r["text"]) for r in keep(docs).collect()]
+        assert sorted(got, key=str) == sorted([(None, "only here"), (1, "a text"), (1, "another text"), (2, "b c d"), (None, None)], key=str)
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     points = rng.standard_normal((1500, 24))
