@@ -11,8 +11,8 @@ grouped by origin identifier, ordered by segment number and joined after their n
 length are verified, then the chunked framing is decoded.
 
 Defined cases: null html is an empty payload; repeated rows with the smallest page_id are each a
-response and come back as often as they went in; a null page_id comes after every other. A damaged
-or incomplete record comes back with verified = false and null measures.
+response and come back as often as they went in; a null page_id comes after every other. Records are
+named by page_id and payload digest, so rows with one id, or none, and different html stay apart. A damaged or incomplete record comes back with verified = false and null measures.
 """
 
 from __future__ import annotations
@@ -68,17 +68,19 @@ def _record(fields: list[tuple[str, object]], block: bytes) -> bytes:
 
 def page_records(page_id: int | None, url: str | None, payload: bytes, first_id: int | None, segment: int) -> Iterator[bytes]:
     """The records of one page; first_id is the page that has this payload first."""
-    origin = f"<urn:page:{'' if page_id is None else page_id}>"
-    common = [("WARC-Date", DATE), ("WARC-Target-URI", quote(url or "", safe=":/?#[]@!$&'()*+,;=%~")), ("Page-Id", page_id), ("WARC-Payload-Digest", f"sha1:{payload_digest(payload)}"), ("Payload-Bytes", len(payload)), ("Content-Type", "application/http;msgtype=response")]
+    digest = payload_digest(payload)
+    name = lambda key, *more: f"<urn:page:{':'.join(['' if key is None else str(key), digest, *more])}>"
+    origin = name(page_id)
+    common = [("WARC-Date", DATE), ("WARC-Target-URI", quote(url or "", safe=":/?#[]@!$&'()*+,;=%~")), ("Page-Id", page_id), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Payload-Bytes", len(payload)), ("Content-Type", "application/http;msgtype=response")]
     if page_id != first_id:
-        yield _record([("WARC-Type", "revisit"), ("WARC-Record-ID", origin), ("WARC-Refers-To", f"<urn:page:{first_id}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), *common], HTTP)
+        yield _record([("WARC-Type", "revisit"), ("WARC-Record-ID", origin), ("WARC-Refers-To", name(first_id)), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), *common], HTTP)
         return
     block = HTTP + chunked(payload)
     parts = [block[a:a + segment] for a in range(0, len(block), segment)]
     split = len(parts) > 1
     yield _record([("WARC-Type", "response"), ("WARC-Record-ID", origin), ("WARC-Segment-Number", 1 if split else None), *common], parts[0])
     for number, part in enumerate(parts[1:], start=2):
-        yield _record([("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}:{number}>"), ("WARC-Segment-Origin-ID", origin), ("WARC-Segment-Number", number), ("WARC-Segment-Total-Length", len(block) if number == len(parts) else None), ("WARC-Date", DATE), ("WARC-Target-URI", common[1][1])], part)
+        yield _record([("WARC-Type", "continuation"), ("WARC-Record-ID", name(page_id, str(number))), ("WARC-Segment-Origin-ID", origin), ("WARC-Segment-Number", number), ("WARC-Segment-Total-Length", len(block) if number == len(parts) else None), ("WARC-Date", DATE), ("WARC-Target-URI", common[1][1])], part)
 
 
 def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -127,7 +129,7 @@ def _measured(block: bytes) -> tuple[int | None, str | None]:
 
 def _describe(fields: dict[str, str], block: bytes) -> dict:
     number = lambda name: int(fields[name]) if fields.get(name) else None
-    refers = fields.get("warc-refers-to", "").removeprefix("<urn:page:").rstrip(">")
+    refers = fields.get("warc-refers-to", "").removeprefix("<urn:page:").rstrip(">").split(":")[0]
     row = {"page_id": number("page-id"), "record_type": fields["warc-type"], "refers_to": int(refers) if refers else None, "claimed": fields.get("warc-payload-digest", "").removeprefix("sha1:") or None, "n_bytes": number("payload-bytes"), "segment": number("warc-segment-number"), "total": number("warc-segment-total-length")}
     if row["segment"]:
         return row | {"origin": fields.get("warc-segment-origin-id", fields["warc-record-id"]), "block": block}

@@ -230,6 +230,13 @@ def test_archive_round_trip(spark):
     assert warc.archive(repeated.where("false")).count() == 0
 
 
+def test_long_pages_with_null_or_clashing_ids_stay_apart(spark):
+    rows = [(None, "u", "p" * 3000), (None, "u", "q" * 3500), (None, "u", "q" * 3500), (5, "u", "r" * 4000), (5, "u", "s" * 4500), (6, "u", "s" * 4500)]
+    got = warc.archive(spark.createDataFrame(rows, "page_id long, url string, html string"), segment=1000).collect()
+    want = [(i, len(h), warc.payload_digest(h.encode()), "revisit" if i == 6 else "response", 5 if i == 6 else None, True) for i, _, h in rows]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_damaged_segments_are_reported(spark, tmp_path):
     records = list(warc.page_records(7, "u", b"payload " * 500, 7, 1000))
     with gzip.open(tmp_path / "part.gz", "wb") as out:
