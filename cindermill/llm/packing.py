@@ -10,13 +10,16 @@ rank; the filled gaps join the class of their remainder; pieces without any gap
 as many pieces in each as fit. Every round leaves placement runs (length, first rank, count, first
 sequence, offset), and each task finds its pieces' places in those by rank.
 
-Defined cases: a null or empty text is its end token alone; repeated rows are packed as often as they
+Defined cases: the literal of an added token of the vocabulary is that token's id where `added_tokens`
+is set, as by the tokenizers library's default, and ordinary text otherwise, as with its
+encode_special_tokens; a null or empty text is its end token alone; repeated rows are packed as often as they
 occur; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -43,21 +46,40 @@ def tokenizer_ranks(path: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if rank not in special}
 
 
-def tokenised_pieces(df: DataFrame, path: str, pattern: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def added_token_ids(path: str) -> dict[str, int]:
+    """Ids of the added tokens of a tokenizers .json file by their literals."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens", [])
+    if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that match more or less than their literal")
+    return {t["content"]: t["id"] for t in added}
+
+
+def tokenised_pieces(df: DataFrame, path: str, pattern: str, capacity: int = 2048, end_id: int = 0, added_tokens: bool = False) -> DataFrame:
     """One row per piece of each document's ids and end token, with the crc32 of its little-endian 32-bit ids."""
-    shared = df.sparkSession.sparkContext.broadcast((tokenizer_ranks(path), pattern))
+    shared = df.sparkSession.sparkContext.broadcast((tokenizer_ranks(path), pattern, added_token_ids(path) if added_tokens else {}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        ranks, pattern = shared.value
+        ranks, pattern, added = shared.value
         encode = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         encoder = ChunkEncoder(lambda chunk: np.array(encode(chunk), dtype="<u4").tobytes(), 300_000)
         end = np.array([end_id], dtype="<u4").tobytes()
+        literals = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
+        packed = {literal: np.array([i], dtype="<u4").tobytes() for literal, i in added.items()}
+
+        def encoded(text: str) -> bytes:
+            out, at = [], 0
+            for found in literals.finditer(text):
+                out += [encoder(text[at:found.start()]), packed[found[0]]]
+                at = found.end()
+            return b"".join([*out, encoder(text[at:])])
+
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                ids = encoder(text) + end
+                ids = (encoded(text) if added else encoder(text)) + end
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
                 rows += [(key, k, a, b - a, zlib.crc32(ids[4 * a:4 * b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
@@ -146,6 +168,6 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
 
 
-def pack_documents(df: DataFrame, path: str, pattern: str, capacity: int = 2048) -> DataFrame:
+def pack_documents(df: DataFrame, path: str, pattern: str, capacity: int = 2048, added_tokens: bool = False) -> DataFrame:
     """Tokenise documents and pack their pieces."""
-    return pack(materialise(tokenised_pieces(df, path, pattern, capacity)), capacity)
+    return pack(materialise(tokenised_pieces(df, path, pattern, capacity, added_tokens=added_tokens)), capacity)

@@ -23,7 +23,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, public_tokenizers.path(JSON_TOKENIZER), public_tokenizers.PATTERN)
+    return packing.pack_documents(docs, public_tokenizers.path(JSON_TOKENIZER), public_tokenizers.PATTERN, added_tokens=True)
 
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

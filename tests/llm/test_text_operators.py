@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cindermill.llm import bpe, langid, packing, quality, toxicity
+from cindermill.llm import bpe, langid, packing, quality, queries, toxicity
 from cindermill.llm.common import id_remainder
 
 SF = "/root/testdata/sf0.01"
@@ -99,6 +99,17 @@ def test_packing(spark, documents):
     assert packing.pack_documents(empty(docs), path, PATTERN).count() == 0
 
 
+def test_added_tokens_are_as_by_the_library(spark, tmp_path):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    some = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y  z ", "<|endoftext", "plain text"]
+    spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op2_best_fit_packing(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(some):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+        assert (got[i]["length"], got[i]["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert (50256 in library.encode(some[0], add_special_tokens=False).ids)
+
+
 def test_best_fit_is_best_fit_decreasing():
     rng = np.random.default_rng(1)
     for capacity in (10, 37):
