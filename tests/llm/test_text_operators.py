@@ -236,3 +236,13 @@ def test_quality_keeps_good_and_drops_bad(spark, documents):
     assert quality.judge(odd, empty(labels)).where("keep").count() == odd.count()
     assert quality.judge(empty(odd), labels).count() == 0
     assert quality.keep_documents(odd, labels).columns == odd.columns
+
+
+def test_scarce_language_keeps_unseen_clean_texts(spark):
+    tables = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{tables}/documents.parquet").join(spark.read.parquet(f"{tables}/labels.parquet").where("quality = 1"), "doc_id").select("doc_id", "lang", "text").where("lang in ('en', 'es')").orderBy("doc_id").toPandas()
+    scarce, others = rows[rows.lang == "es"].head(80), rows[rows.lang == "en"].head(150)
+    docs = spark.createDataFrame([*scarce.itertuples(index=False, name=None), *others.itertuples(index=False, name=None)], "doc_id long, lang string, text string")
+    trusted = [(int(i),) for i in [*scarce.doc_id[:10], *others.doc_id[:100]]]
+    kept = {r["doc_id"] for r in quality.judge(docs, spark.createDataFrame(trusted, "doc_id long")).where("keep").collect()}
+    assert len(kept & set(scarce.doc_id[10:])) > 0.95 * 70 and len(kept & set(others.doc_id[100:])) > 0.95 * 50
