@@ -2,13 +2,14 @@
 
 Documents become pieces (only those over the capacity are cut; the first piece takes the odd
 length). Pieces are sorted by length over range partitions, so that each has a rank among the
-pieces of its length. Pieces of one length are interchangeable, and so are gaps of one size; rounds
-therefore work on size classes, of which there are no more than the capacity, while pieces stay
-where they are. A round takes the longest unplaced class and sweeps the gaps upwards: its pieces go
-to the successor, the smallest gap that holds them, where two claims for one gap are settled by
-rank; the filled gaps join the class of their remainder; pieces without any gap open new sequences,
-as many pieces in each as fit. Every round leaves placement runs (length, first rank, count, first
-sequence, offset), and each task finds its pieces' places in those by rank.
+pieces of its length. Pieces of one length are interchangeable, and so are gaps of one size, so best
+fit decreasing needs only the number of pieces of each length: Spark counts them, and a sequential
+loop on the driver (best_fit_runs) packs the histogram, the longest class first. Its pieces go to the
+smallest gaps that hold them, the filled gaps join the class of their remainder, and pieces without
+any gap open new sequences, as many pieces in each as fit. This replaces distributed successor sweeps
+over a dataset of gaps with conflicts settled by rank: neither gaps nor claims are ever in Spark.
+Every step leaves placement runs (length, first rank, count, first sequence, offset), and each task
+finds its pieces' places in those by rank.
 
 Defined cases: the literal of an added token of the vocabulary is that token's id where `added_tokens`
 is set, as by the tokenizers library's default, and ordinary text otherwise, as with its

@@ -4,9 +4,9 @@ A fingerprint has eight positional bytes. Two fingerprints that differ in at mos
 agree in at least 8 - distance of them, the guaranteed minimum. Postings of single bytes would hold
 a 256th of all rows each, so a posting here is a set of that many positions with their bytes: every
 pair that reaches the minimum meets in one, no other pair meets at all, and a posting has at most
-256 ** distance different fingerprints however many rows there are. For each pair that meets, the
-shared positional bytes are tallied, pairs below the minimum go, and the differing bits of the rest
-are counted. Equal fingerprints are one entry of the index.
+256 ** distance different fingerprints however many rows there are. These composite
+keys replace the tally of shared bytes: every pair that meets has the minimum already, so the filter
+by shared_bytes removes nothing, and the differing bits of the pairs are counted. Equal fingerprints are one entry of the index.
 
 Groups are connected components of the links, found by alternating large-star and small-star steps,
 each written to the shared folder; every step works on the linked fingerprints alone.
