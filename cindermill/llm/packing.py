@@ -1,18 +1,20 @@
-"""Best-fit packing of tokenised documents into sequences of a fixed capacity.
+"""Bulk-synchronous best-fit packing of tokenised documents into sequences of a fixed capacity.
 
 Documents become pieces (only those over the capacity are cut; the first piece takes the odd
-length). Pieces are sorted by length over range partitions, so that each has a rank among the
-pieces of its length. Pieces of one length are interchangeable, and so are gaps of one size, so best
-fit decreasing needs only the number of pieces of each length: Spark counts them, and a sequential
-loop on the driver (best_fit_runs) packs the histogram, the longest class first. Its pieces go to the
-smallest gaps that hold them, the filled gaps join the class of their remainder, and pieces without
-any gap open new sequences, as many pieces in each as fit. This replaces distributed successor sweeps
-over a dataset of gaps with conflicts settled by rank: neither gaps nor claims are ever in Spark.
-Every step leaves placement runs (length, first rank, count, first sequence, offset), and each task
-finds its pieces' places in those by rank.
+length). Pieces over half the capacity open a sequence each. The others follow in bands of lengths
+(lo, hi], hi = 2 lo, the longest band first, in rounds over two datasets, pieces and gaps:
+
+1. pieces and gaps are range-sorted together, by size from the largest;
+2. each range is swept: a piece takes the gap met last, which is its successor, the smallest that
+   holds it. A gap of at least hi has room for size / hi pieces, a smaller one for one;
+3. pieces left over claim gaps left over in earlier ranges. Claims are settled by rank: only the totals of
+   the ranges go to the driver, which deals each range's left pieces, by rank, to the nearest earlier
+   ranges with gaps left, and a join on (range, place) brings both together;
+4. gaps are updated; pieces without any gap open new sequences, the longest kind first, as many of
+   consecutive rank in each as fit; what is left goes to the next round.
 
 Defined cases: the literal of an added token of the vocabulary is that token's id where `added_tokens`
-is set, as by the tokenizers library's default, and ordinary text otherwise, as with its
+is set, as it is unless told otherwise and by the tokenizers library's default, and ordinary text else, as with its
 encode_special_tokens; a null or empty text is its end token alone; repeated rows are packed as often as they
 occur; an empty table gives an empty result.
 """
@@ -23,19 +25,17 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cindermill.llm.bpe import ChunkEncoder
 from cindermill.llm.common import materialise, texts
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-
-
 def tokenizer_ranks(path: str) -> dict[bytes, int]:
     """Token ranks of a byte-level BPE in a tokenizers .json file, without its special tokens."""
     with open(path, encoding="utf-8") as file:
@@ -56,7 +56,7 @@ def added_token_ids(path: str) -> dict[str, int]:
     return {t["content"]: t["id"] for t in added}
 
 
-def tokenised_pieces(df: DataFrame, path: str, pattern: str, capacity: int = 2048, end_id: int = 0, added_tokens: bool = False) -> DataFrame:
+def tokenised_pieces(df: DataFrame, path: str, pattern: str, capacity: int = 2048, end_id: int = 0, added_tokens: bool = True) -> DataFrame:
     """One row per piece of each document's ids and end token, with the crc32 of its little-endian 32-bit ids."""
     shared = df.sparkSession.sparkContext.broadcast((tokenizer_ranks(path), pattern, added_token_ids(path) if added_tokens else {}))
 
@@ -65,110 +65,174 @@ def tokenised_pieces(df: DataFrame, path: str, pattern: str, capacity: int = 204
 
         ranks, pattern, added = shared.value
         encode = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        encoder = ChunkEncoder(lambda chunk: np.array(encode(chunk), dtype="<u4").tobytes(), 300_000)
+        encoder = ChunkEncoder(lambda chunks: {chunk: np.array(encode(chunk), dtype="<u4").tobytes() for chunk in chunks}, 300_000)
         end = np.array([end_id], dtype="<u4").tobytes()
         literals = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
         packed = {literal: np.array([i], dtype="<u4").tobytes() for literal, i in added.items()}
 
-        def encoded(text: str) -> bytes:
-            out, at = [], 0
-            for found in literals.finditer(text):
-                out += [encoder(text[at:found.start()]), packed[found[0]]]
-                at = found.end()
-            return b"".join([*out, encoder(text[at:])])
+        def plain(values: Iterator[str]) -> Iterator[str]:
+            """What stands between the literals of each text, in order."""
+            for text in values:
+                yield from literals.split(text)
 
         for batch in batches:
             rows = []
-            for key, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                ids = (encoded(text) if added else encoder(text)) + end
+            parts = encoder.of(plain(texts(batch.column(1))))
+            for at, text in enumerate(texts(batch.column(1))):
+                whole = [*next(parts), *(x for literal in literals.findall(text) for x in (packed[literal], *next(parts)))]
+                ids = b"".join(whole) + end
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
-                rows += [(key, k, a, b - a, zlib.crc32(ids[4 * a:4 * b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-            columns = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                rows += [(at, k, a, b - a, zlib.crc32(ids[4 * a:4 * b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+            columns = [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(columns[0]), *columns[1:]], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return df.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+    return df.select("doc_id", "text").mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
-def best_fit_runs(counts: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
-    """Placement runs for counts[length] pieces of each length, and the number of sequences.
+GAP, PIECE, PLACED = 0, 1, 2
+SWEPT = "kind int, id long, size long, sequence_id long, room long, part int, place long, before long"
+_SWEPT = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in ("id", "size", "sequence_id", "room")), ("part", pa.int32()), ("place", pa.int64()), ("before", pa.int64())])
+EXACT = 16
 
-    Each row: position of its first piece (pieces counted from the longest), count, first sequence, offset.
-    """
-    gaps: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # by size: (first sequence, count)
-    filled = np.zeros(capacity + 1, dtype=np.int64)
-    runs, opened, position = [], 0, 0
-    for length in range(capacity, 0, -1):
-        left = int(counts[length])
-        while left:
-            fitting = np.flatnonzero(filled[length:])
-            if not len(fitting):
-                break
-            size = int(fitting[0]) + length
-            first, n = gaps[size].pop()
-            taken = min(n, left)
-            if taken < n:
-                gaps[size].append((first + taken, n - taken))
-            filled[size] -= taken
-            runs.append((position, taken, first, capacity - size))
-            position, left = position + taken, left - taken
-            if size > length:
-                gaps[size - length].append((first, taken))
-                filled[size - length] += taken
-        per = capacity // length
-        for each, n in ((per, left // per), (left % per, 1)):
-            if each and n:
-                for k in range(each):
-                    runs.append((position, n, opened, k * length))
-                    position += n
-                if capacity > each * length:
-                    gaps[capacity - each * length].append((opened, n))
-                    filled[capacity - each * length] += n
-                opened += n
-    return np.array(runs, dtype=np.int64).reshape(-1, 4), opened
 
+def _sweep(hi: int):
+    """Over one range of gaps and pieces, largest first: pieces with their gaps, then what is left of either.
 
-def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
-    """Adds sequence_id and offset to rows with doc_id, piece and length."""
-    at = pieces.columns.index("length")
-    ranged = pieces.repartitionByRange(F.col("length").desc(), F.xxhash64("doc_id", "piece"), "doc_id", "piece").sortWithinPartitions(F.col("length").desc(), "doc_id", "piece")
+    A left piece has its number in `place` and the lengths before it in `before`; a left gap has its first slot and its slots.
+    """
 
-    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last, following = TaskContext.get().partitionId(), -1, 0
-        for batch in batches:
-            lengths = batch.column(at).to_numpy()
-            starts = np.flatnonzero(np.r_[True, lengths[1:] != lengths[:-1]]) if len(lengths) else np.empty(0, dtype=np.int64)
-            ranks = np.arange(len(lengths)) - np.repeat(starts, np.diff(np.r_[starts, len(lengths)]))
-            if len(lengths) and lengths[0] == last:
-                first_run = starts[1] if len(starts) > 1 else len(lengths)
-                ranks[:first_run] += following
-            if len(lengths):
-                last, following = lengths[-1], ranks[-1] + 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(lengths), part, dtype=np.int32)), pa.array(ranks.astype(np.int64))], names=[*batch.schema.names, "_part", "_rank"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    ranked = materialise(ranged.mapInArrow(rank, f"{fields}, _part int, _rank long"))
-    # a partition holds few lengths, so this has about as many rows as there are partitions and lengths
-    held = ranked.groupBy("length", "_part").count().orderBy(F.col("length").desc(), "_part").toPandas()
-    counts = np.zeros(capacity + 1, dtype=np.int64)
-    np.add.at(counts, held["length"].to_numpy(dtype=np.int64), held["count"].to_numpy(dtype=np.int64))
-    runs, _ = best_fit_runs(counts, capacity)
-    begins = dict(zip(zip(held["length"].tolist(), held["_part"].tolist()), (held["count"].cumsum() - held["count"]).tolist()))
-    shared = pieces.sparkSession.sparkContext.broadcast((runs, begins))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, begins = shared.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, open_, pieces, length = TaskContext.get().partitionId(), [], 0, 0
         for batch in batches:
-            *columns, part, ranks = batch.columns
-            lengths = columns[at].to_pylist()
-            position = np.array([begins[x] for x in zip(lengths, part.to_pylist())], dtype=np.int64) + ranks.to_numpy()
-            run = np.searchsorted(runs[:, 0], position, side="right") - 1
-            sequence = runs[run, 2] + position - runs[run, 0]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence), pa.array(runs[run, 3])], names=[*batch.schema.names[:-2], "sequence_id", "offset"])
+            rows = []
+            for kind, ident, size in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if kind == GAP:
+                    open_.append([ident, size, max(1, size // hi)])
+                elif open_:
+                    gap = open_[-1]
+                    rows.append((PLACED, ident, size, gap[0], gap[1], part, 0, 0))
+                    gap[2] -= 1
+                    if not gap[2]:
+                        open_.pop()
+                else:
+                    rows.append((PIECE, ident, size, None, None, part, pieces, length))
+                    pieces, length = pieces + 1, length + size
+            yield _rows(rows)
+        slots = 0
+        for at in range(0, len(open_), 10_000):
+            rows = []
+            for ident, size, left in open_[at:at + 10_000]:
+                rows.append((GAP, ident, left, ident, size, part, slots, 0))
+                slots += left
+            yield _rows(rows)
 
-    return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return run
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(_SWEPT)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SWEPT)], schema=_SWEPT)
+
+
+def deal_claims(totals: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int, int, int]], dict[int, int], dict[int, int]]:
+    """Claims of ranges on earlier ranges from rows (range, pieces left, slots left) in order.
+
+    Gives (range, first piece, end, range of the gaps, slot of the first piece; the next ones take the slots below),
+    the number of each range's pieces that have a claim, and the slots that stay free in each range.
+    """
+    free, claims, claimed = [], [], {}
+    for part, pieces, slots in totals:
+        done = 0
+        while done < pieces and free:
+            other, top = free[-1]
+            taken = min(top, pieces - done)
+            claims.append((part, done, done + taken, other, top - 1))
+            done += taken
+            if taken == top:
+                free.pop()
+            else:
+                free[-1] = (other, top - taken)
+        claimed[part] = done
+        if slots:
+            free.append((part, slots))
+    return claims, claimed, {part: top for part, top in free}
+
+
+def _round(state: DataFrame, hi: int, capacity: int) -> tuple[DataFrame, int]:
+    """One round for pieces of lengths in (hi / 2, hi]: the next state with the pieces placed, and how many are left."""
+    spark, lo = state.sparkSession, hi // 2
+    state = state.select("kind", "id", "size")
+    order = [F.col("size").desc(), F.col("kind"), F.col("id")]
+    active = state.where((F.col("kind") == PIECE) | (F.col("size") > lo))
+    swept = materialise(active.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_sweep(hi), SWEPT))
+    # one row for each range
+    counted = swept.where(F.col("kind") != PLACED).groupBy("part").agg(F.count_if(F.col("kind") == PIECE).alias("pieces"), F.sum(F.when(F.col("kind") == GAP, F.col("size")).otherwise(0)).alias("slots"))
+    totals = sorted((r["part"], r["pieces"], r["slots"]) for r in counted.collect())
+    claims, claimed, free = deal_claims(totals)
+    left = swept.where(F.col("kind") == PIECE).select("id", "size", "part", "place", "before")
+    matched = swept.where(F.col("kind") == PLACED).select("id", "size", "sequence_id", "room")
+    if claims:
+        dealt = F.broadcast(spark.createDataFrame(claims, "part int, first long, end long, other int, slot long"))  # at most two rows a range
+        kept = F.broadcast(spark.createDataFrame(sorted((part, free.get(part, 0)) for part, _, _ in totals), "other int, free long"))
+        wanted = left.join(dealt, "part").where("place >= first AND place < end").select("id", "size", "other", (F.col("slot") - (F.col("place") - F.col("first"))).alias("slot"))
+        gaps = swept.where(F.col("kind") == GAP).select("sequence_id", "room", F.col("part").alias("other"), "place", "size").join(kept, "other").where("place + size > free")
+        slots = gaps.select("sequence_id", "room", "other", F.explode(F.sequence(F.greatest("place", "free"), F.col("place") + F.col("size") - 1)).alias("slot"))
+        matched = matched.unionByName(wanted.join(slots, ["other", "slot"]).select("id", "size", "sequence_id", "room"))
+    in_gap = Window.partitionBy("sequence_id").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    placed = [matched.select(F.lit(PLACED).alias("kind"), "id", "size", "sequence_id", (F.lit(capacity) - F.col("room") + F.sum("size").over(in_gap) - F.col("size")).alias("offset"))]
+    used = matched.groupBy(F.col("sequence_id").alias("id")).agg(F.sum("size").alias("used"))
+    none = F.lit(None).cast("long")
+    gaps = active.where(F.col("kind") == GAP).join(used, "id", "left").select("kind", "id", (F.col("size") - F.coalesce("used", F.lit(0))).alias("size"), none.alias("sequence_id"), none.alias("offset")).where("size > 0")
+    idle = state.where((F.col("kind") == GAP) & (F.col("size") <= lo)).select("kind", "id", "size", none.alias("sequence_id"), none.alias("offset"))
+    more, remaining = [], sum(pieces - claimed[part] for part, pieces, _ in totals)
+    if remaining:
+        firsts = F.broadcast(spark.createDataFrame(sorted(claimed.items()), "part int, claimed long"))
+        homeless = left.join(firsts, "part").where("place >= claimed")
+        fits = F.least(F.floor(F.lit(capacity) / F.col("size")), F.lit(EXACT))
+        stats = homeless.groupBy("part", fits.alias("fits")).agg(F.count("*").alias("n"), F.sum("size").alias("length"), F.min("before").alias("before")).collect()  # the ranges, and one more for each of at most EXACT kinds
+        most, begins, ranks, lengths = min(r["fits"] for r in stats), [], 0, 0
+        for part in sorted({r["part"] for r in stats}):
+            mine = [r for r in stats if r["part"] == part]
+            begins.append((part, ranks, lengths - min(r["before"] for r in mine)))
+            ranks, lengths = ranks + sum(r["n"] for r in mine), lengths + sum(r["length"] for r in mine)
+        ranked = homeless.join(F.broadcast(spark.createDataFrame(begins, "part int, rank0 long, length0 long")), "part").withColumn("rank", F.col("rank0") + F.col("place") - F.col("claimed"))
+        opens = fits == most
+        group = F.floor(F.col("rank") / F.lit(most)) if most < EXACT else F.floor((F.col("length0") + F.col("before")) / F.lit(capacity - hi))
+        opening = ranked.where(opens).withColumn("group", group)
+        inside = Window.partitionBy("group").orderBy("rank")
+        placed.append(opening.select(F.lit(PLACED).alias("kind"), "id", "size", F.first("id").over(inside).alias("sequence_id"), (F.sum("size").over(inside) - F.col("size")).alias("offset")))
+        more.append(opening.groupBy("group").agg(F.min_by("id", "rank").alias("id"), (F.lit(capacity) - F.sum("size")).alias("size")).where("size > 0").select(F.lit(GAP).alias("kind"), "id", "size", none.alias("sequence_id"), none.alias("offset")))
+        more.append(ranked.where(~opens).select(F.lit(PIECE).alias("kind"), "id", "size", none.alias("sequence_id"), none.alias("offset")))
+        remaining -= sum(r["n"] for r in stats if r["fits"] == most)
+    return materialise(reduce(DataFrame.unionByName, [*placed, gaps, idle, *more])), remaining
+
+
+def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
+    """Adds sequence_id and offset to rows with a length of 1 to capacity."""
+    numbered = materialise(pieces.withColumn("_item", F.monotonically_increasing_id()))
+    half, none = capacity // 2, F.lit(None).cast("long")
+    large = numbered.where(F.col("length") > half)
+    rounds = [large.select(F.col("_item").alias("id"), F.col("_item").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
+    state = large.where(F.col("length") < capacity).select(F.lit(GAP).alias("kind"), F.col("_item").alias("id"), (F.lit(capacity) - F.col("length")).alias("size"))
+    bands = [half >> k for k in range(half.bit_length())]
+    band = F.lit(None)
+    for hi in bands:
+        band = F.when((F.col("length") <= hi) & (F.col("length") > hi // 2), hi).otherwise(band)
+    sizes = {r["band"]: r["count"] for r in numbered.groupBy(band.alias("band")).count().collect()}
+    for hi in bands:
+        left = sizes.get(hi, 0)
+        if left:
+            mine = numbered.where((F.col("length") <= hi) & (F.col("length") > hi // 2))
+            state = state.select("kind", "id", "size").unionByName(mine.select(F.lit(PIECE).alias("kind"), F.col("_item").alias("id"), F.col("length").alias("size")))
+        while left:
+            made, left = _round(state, hi, capacity)
+            rounds.append(made.where(F.col("kind") == PLACED).select("id", "sequence_id", "offset"))
+            state = made.where(F.col("kind") != PLACED)
+    places = reduce(DataFrame.unionByName, rounds).withColumnRenamed("id", "_item")
+    return numbered.join(places, "_item").drop("_item")
 
 
-def pack_documents(df: DataFrame, path: str, pattern: str, capacity: int = 2048, added_tokens: bool = False) -> DataFrame:
+def pack_documents(df: DataFrame, path: str, pattern: str, capacity: int = 2048, added_tokens: bool = True) -> DataFrame:
     """Tokenise documents and pack their pieces."""
-    return pack(materialise(tokenised_pieces(df, path, pattern, capacity, added_tokens=added_tokens)), capacity)
+    return pack(tokenised_pieces(df, path, pattern, capacity, added_tokens=added_tokens), capacity)

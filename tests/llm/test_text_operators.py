@@ -44,10 +44,22 @@ def encoding():
 
 def test_transducer_equals_library_on_random_texts():
     encode, own, rng = encoding().encode_ordinary, bpe.pattern_encoder(RANKS, PATTERN), random.Random(3)
+    texts = []
     parts = ["a", "b", " ", "  ", "\n", "\t", "é", "日", "😀", "'s", "'t", "12", "!", "the", "ing", "\x1c", " ", "'", "A", "tion", " the", "\r\n"]
     for _ in range(5000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 20)))
-        assert np.frombuffer(own(text), "<u4").tolist() == encode(text), text
+        texts.append(text)
+    for text, parts in zip(texts, own.of(texts)):
+        assert bpe.ids_of(parts).tolist() == encode(text), text
+        assert b" ".join([decimal for _, decimal in parts if decimal]).decode() == " ".join(map(str, encode(text)))
+
+
+def test_chunk_encoder_with_a_small_cache_and_small_groups():
+    encode, own = encoding().encode_ordinary, bpe.pattern_encoder(RANKS, PATTERN, cached=20)
+    own.group = 50
+    texts = [f"the word{i % 37} and {'x' * (i % 90)} {i} é" for i in range(300)]
+    for _ in range(2):
+        assert [bpe.ids_of(parts).tolist() for parts in own.of(texts)] == [encode(text) for text in texts]
 
 
 def test_transducer_with_few_states_and_short_lookahead():
@@ -82,7 +94,6 @@ def test_encode_decode(spark):
 def test_packing(spark, documents):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     docs = odd_documents(spark).select("doc_id", "text").unionByName(documents.limit(300).select(F.col("doc_id") + 1000, "text").toDF("doc_id", "text"))
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     got = packing.pack_documents(docs, path, PATTERN).toPandas()
@@ -110,20 +121,51 @@ def test_added_tokens_are_as_by_the_library(spark, tmp_path):
     assert (50256 in library.encode(some[0], add_special_tokens=False).ids)
 
 
-def test_best_fit_is_best_fit_decreasing():
+def best_fit_decreasing(lengths, capacity):
+    gaps, opened = [], 0
+    for x in sorted(lengths, reverse=True):
+        fit = min((g for g in gaps if g >= x), default=None)
+        if fit is None:
+            opened += 1
+            gaps.append(capacity - x)
+        else:
+            gaps.remove(fit)
+            gaps.append(fit - x)
+    return opened
+
+
+@pytest.mark.parametrize("kind", ["even", "short", "one length", "over a third", "full"])
+def test_rounds_are_as_good_as_best_fit_decreasing(spark, kind):
     rng = np.random.default_rng(1)
-    for capacity in (10, 37):
-        lengths = rng.integers(1, capacity + 1, 200)
-        runs, opened = packing.best_fit_runs(np.bincount(lengths, minlength=capacity + 1), capacity)
-        gaps = []
-        for x in sorted(lengths, reverse=True):
-            fit = min((g for g in gaps if g >= x), default=None)
-            if fit is None:
-                gaps.append(capacity - x)
-            else:
-                gaps.remove(fit)
-                gaps.append(fit - x)
-        assert opened == len(gaps) and runs[:, 1].sum() == 200
+    draw = {"even": lambda: rng.integers(1, 101, 400), "short": lambda: rng.integers(1, 8, 600), "one length": lambda: np.full(300, 7), "over a third": lambda: rng.integers(20, 55, 300), "full": lambda: np.full(9, 100)}
+    lengths = draw[kind]().tolist()
+    rows = spark.createDataFrame([(i % 5, x) for i, x in enumerate(lengths)], "doc_id int, length long")
+    got = packing.pack(rows, 100).toPandas().sort_values(["sequence_id", "offset"])
+    assert sorted(got["length"]) == sorted(lengths)
+    for _, placed in got.groupby("sequence_id"):
+        assert placed["offset"].tolist() == np.r_[0, placed["length"].cumsum()[:-1]].tolist() and placed["length"].sum() <= 100
+    assert got["sequence_id"].nunique() <= best_fit_decreasing(lengths, 100) + 1
+
+
+def test_a_round_gives_pieces_their_best_gaps(spark):
+    rng = np.random.default_rng(4)
+    gaps, pieces = rng.integers(20, 60, 300).tolist(), rng.integers(33, 65, 200).tolist()
+    rows = [(packing.GAP, i, g) for i, g in enumerate(gaps)] + [(packing.PIECE, 1000 + i, x) for i, x in enumerate(pieces)]
+    made, _ = packing._round(spark.createDataFrame(rows, "kind int, id long, size long"), 64, 100)
+    free, want = sorted(gaps), []
+    for x in sorted(pieces, reverse=True):  # one piece a gap, each in the smallest that holds it
+        fit = next((g for g in free if g >= x), None)
+        if fit is not None:
+            free.remove(fit)
+            want.append((x, fit))
+    got = [(r["size"], gaps[r["sequence_id"]]) for r in made.where("kind = 2 AND sequence_id < 1000").collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_claims_are_dealt_to_the_nearest_earlier_ranges():
+    claims, claimed, free = packing.deal_claims([(0, 1, 3), (1, 0, 2), (2, 3, 1), (5, 4, 0)])
+    assert claims == [(2, 0, 2, 1, 1), (2, 2, 3, 0, 2), (5, 0, 1, 2, 0), (5, 1, 3, 0, 1)]
+    assert claimed == {0: 0, 1: 0, 2: 3, 5: 3} and free == {}
 
 
 def test_language_held_out(spark, documents):
