@@ -2,8 +2,9 @@
 
 Training counts character n-grams by language, keeps an n-gram for a language where its relative
 frequency is at least a share of that in the language using it most, and writes the kept n-grams to
-a bit-sliced Bloom filter: slot i holds one 64-bit word whose bit l belongs to the filter of language
-l, so that AND-ing the words of an n-gram's slots yields every language containing it at once.
+a bit-sliced Bloom filter: slot i holds one 64-bit word for every 64 languages, whose bit l belongs to
+the filter of language l, so that AND-ing the words of an n-gram's slots yields every language
+containing it at once.
 Prediction adds up the bits by language, corrects each count for that filter's false positives and
 takes the largest.
 
@@ -50,13 +51,13 @@ def _codes(text: str) -> np.ndarray:
     return out
 
 
-def _hashes(codes: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the n-grams of all sizes that have letters inside and spaces at the ends only."""
+def _hashes(codes: np.ndarray, starts: int) -> np.ndarray:
+    """64-bit hashes of the n-grams of all sizes at the first `starts` places that have letters inside and spaces at the ends only."""
     letter = codes != _SPACE
     wide = codes.astype(np.uint64)
     found = []
     for n in SIZES:
-        last = len(codes) - n + 1
+        last = min(starts, len(codes) - n + 1)
         if last < 1:
             continue
         valid = letter[1:last + 1] | letter[:last] if n == 2 else letter[1:last + 1].copy()
@@ -73,11 +74,11 @@ def _hashes(codes: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
 
 
-def ngram_hashes(text: str) -> Iterator[np.ndarray]:
-    """The n-gram hashes of the whole text, in pieces of bounded size."""
+def ngram_hashes(text: str, chunk: int = CHUNK) -> Iterator[np.ndarray]:
+    """The n-gram hashes of the whole text, in pieces of bounded size: each n-gram belongs to the piece where it starts."""
     codes = _codes(text)
-    for start in range(0, max(1, len(codes) - max(SIZES) + 1), CHUNK):
-        yield _hashes(codes[start:start + CHUNK + max(SIZES) - 1]) if len(codes) > CHUNK else _hashes(codes)
+    for start in range(0, len(codes), chunk):
+        yield _hashes(codes[start:start + chunk + max(SIZES) - 1], chunk)
 
 
 def _slots(hashes: np.ndarray, n_slots: int) -> list[np.ndarray]:
@@ -88,7 +89,7 @@ def _slots(hashes: np.ndarray, n_slots: int) -> list[np.ndarray]:
 
 @dataclass
 class LanguageFilters:
-    """Fitted filters; `slots` has one bitmask of languages for each slot."""
+    """Fitted filters; `slots` has a row for each slot with a bitmask for every 64 languages."""
 
     languages: list[str]
     slots: np.ndarray
@@ -99,15 +100,18 @@ class LanguageFilters:
         total, hits = 0, np.zeros(len(self.languages), dtype=np.int64)
         for hashes in ngram_hashes(text):
             total += len(hashes)
-            masks = None
-            for slot in _slots(hashes, len(self.slots)):
-                masks = self.slots[slot] if masks is None else masks & self.slots[slot]
-            if len(self.languages) <= 8:
-                seen = np.bincount(masks.astype(np.int64), minlength=1 << len(self.languages))
-                values = np.arange(len(seen))
-                hits += np.array([seen[(values >> lang) & 1 == 1].sum() for lang in range(len(self.languages))])
-            else:
-                hits += np.array([int(((masks >> np.uint64(lang)) & np.uint64(1)).sum()) for lang in range(len(self.languages))])
+            places = _slots(hashes, len(self.slots))
+            for word in range(self.slots.shape[1]):
+                masks, here = self.slots[places[0], word], self.languages[64 * word:64 * word + 64]
+                for slot in places[1:]:
+                    masks &= self.slots[slot, word]
+                if len(here) <= 8:
+                    seen = np.bincount(masks.astype(np.int64), minlength=1 << len(here))
+                    values = np.arange(len(seen))
+                    counts = [seen[(values >> lang) & 1 == 1].sum() for lang in range(len(here))]
+                else:
+                    counts = [int(((masks >> np.uint64(lang)) & np.uint64(1)).sum()) for lang in range(len(here))]
+                hits[64 * word:64 * word + len(here)] += np.array(counts, dtype=np.int64)
         return total, hits
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
@@ -124,18 +128,25 @@ class LanguageFilters:
         return self.languages[best], score, float(share[best])
 
 
-def _count_batches(languages: list[str]):
+def _count_batches(languages: list[str], most: int = 1 << 22):
     index = {name: k for k, name in enumerate(languages)}
 
+    def counted(lang: int, found: list[np.ndarray]) -> pa.RecordBatch:
+        grams, counts = np.unique(np.concatenate(found), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(np.full(len(grams), lang, dtype=np.int32)), pa.array(counts.astype(np.int64))], names=["gram", "lang", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list[np.ndarray]] = {}
+        held = 0
         for batch in batches:
-            parts: dict[int, list[np.ndarray]] = {}
             for text, lang in zip(batch.column(0), batch.column(1)):
                 for hashes in ngram_hashes(text.as_py() or ""):
                     parts.setdefault(index[lang.as_py()], []).append(hashes)
-            for lang, found in parts.items():
-                grams, counts = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(np.full(len(grams), lang, dtype=np.int32)), pa.array(counts.astype(np.int64))], names=["gram", "lang", "n"])
+                    held += len(hashes)
+                if held >= most:  # no more n-grams at once, and one text's
+                    yield from (counted(lang, found) for lang, found in parts.items())
+                    parts, held = {}, 0
+        yield from (counted(lang, found) for lang, found in parts.items())
 
     return run
 
@@ -144,15 +155,13 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     """Learn the filters from labelled rows.
 
     docs_per_language bounds (in expectation, by a hash of `key`) the rows read for each language.
-    The filter has n_slots words whatever the input, so it can be sent to every task.
+    The filter has n_slots words for every 64 languages whatever the input, so it can be sent to every task.
     """
     rows = labelled.where(F.col(lang).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     seen = sorted(((r["count"], r["lang"]) for r in rows.groupBy("lang").count().collect()), key=lambda x: (-x[0], x[1]))
-    if len(seen) > 64:
-        raise ValueError("a slot's bitmask holds 64 languages")
     languages = [name for _, name in seen]
     if not languages:
-        return LanguageFilters([], np.zeros(n_slots, dtype=np.uint64), np.zeros(0))
+        return LanguageFilters([], np.zeros((n_slots, 1), dtype=np.uint64), np.zeros(0))
     fraction = F.lit(0.0)
     for n, name in seen:
         fraction = F.when(F.col("lang") == name, F.lit(min(1.0, docs_per_language / n))).otherwise(fraction)
@@ -160,19 +169,19 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     counts = sample.mapInArrow(_count_batches(languages), "gram long, lang int, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     by_gram = counts.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total")).groupBy("gram").agg(F.collect_list(F.struct("lang", "n", "rate")).alias("uses"), F.max("rate").alias("top"))
-    bits = F.aggregate(F.filter("uses", lambda u: (u["rate"] >= share * F.col("top")) & (u["n"] >= min_count)), F.lit(0).cast("long"), lambda acc, u: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), u["lang"])))
-    kept = by_gram.select("gram", bits.alias("bits")).where("bits != 0")
+    uses = F.filter("uses", lambda u: (u["rate"] >= share * F.col("top")) & (u["n"] >= min_count))
+    kept = by_gram.select("gram", F.explode(uses).alias("use")).groupBy("gram", F.floor(F.col("use.lang") / 64).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("use.lang", F.lit(64)))).alias("bits"))
 
     def to_slots(batches):
         for batch in batches:
-            hashes, masks = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            hashes, words, masks = batch.column(0).to_numpy().view(np.uint64), batch.column(1), batch.column(2)
             for slot in _slots(hashes, n_slots):
-                yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(masks)], names=["slot", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), words, masks], names=["slot", "word", "bits"])
 
-    words = kept.mapInArrow(to_slots, "slot int, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()  # n_slots rows at most
-    slots = np.zeros(n_slots, dtype=np.uint64)
-    slots[words.column("slot").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    fill = np.array([((slots >> np.uint64(k)) & np.uint64(1)).mean() for k in range(len(languages))])
+    filled = kept.mapInArrow(to_slots, "slot int, word int, bits long").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits")).toArrow()  # n_slots rows at most for every 64 languages
+    slots = np.zeros((n_slots, -(-len(languages) // 64)), dtype=np.uint64)
+    slots[filled.column("slot").to_numpy(), filled.column("word").to_numpy()] = filled.column("bits").to_numpy().view(np.uint64)
+    fill = np.array([((slots[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean() for k in range(len(languages))])
     return LanguageFilters(languages, slots, np.minimum(fill ** PROBES, 0.99))
 
 
