@@ -1,12 +1,14 @@
 """SimHash near-duplicates by a byte-position inverted index with count filtering.
 
 A fingerprint has eight positional bytes. Two fingerprints that differ in at most `distance` bits
-agree in at least 8 - distance of them, the guaranteed minimum. Postings of single bytes would hold
-a 256th of all rows each, so a posting here is a set of that many positions with their bytes: every
-pair that reaches the minimum meets in one, no other pair meets at all, and a posting has at most
-256 ** distance different fingerprints however many rows there are. These composite
-keys replace the tally of shared bytes: every pair that meets has the minimum already, so the filter
-by shared_bytes removes nothing, and the differing bits of the pairs are counted. Equal fingerprints are one entry of the index.
+agree in at least 8 - distance of them. Postings of single bytes would hold a 256th of all rows each, so
+a posting is a set of two positions fewer than that with their bytes. A pair that shares s bytes meets in
+as many postings as there are such sets among s positions, so the guaranteed minimum of shared bytes is one of
+met postings too: meetings are tallied by pair, pairs below it are removed, and the
+others are verified by their differing bits. Equal fingerprints are one entry of the index.
+
+A posting with more than CROWD different fingerprints is not paired. Each of its fingerprints looks up every value
+within `distance` bits of it instead, so the work stays in proportion to the rows and no link is lost.
 
 Groups are connected components of the links, found by alternating large-star and small-star steps,
 each written to the shared folder; every step works on the linked fingerprints alone.
@@ -19,8 +21,8 @@ doc_id is a row like any other and never the smallest id, unless all in its comp
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ from cindermill.llm.common import materialise, texts
 
 POSITIONS = 8
 BLOCK = 1 << 16
+CROWD = 2000
 
 
 def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
@@ -67,25 +70,41 @@ def _byte_masks(positions: tuple[int, ...]) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def shared_bytes(a: Column, b: Column) -> Column:
-    """How many positional bytes two fingerprints share."""
-    differing = a.bitwiseXOR(b)
-    return reduce(lambda x, y: x + y, [F.when(differing.bitwiseAND(F.lit(_byte_masks((p,)))) == 0, 1).otherwise(0) for p in range(POSITIONS)])
+def postings(fps: DataFrame, width: int) -> DataFrame:
+    """fp, kind, bytes: each different fingerprint once for every set of `width` positions."""
+    sets = F.array(*[F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(F.lit(_byte_masks(chosen))).alias("bytes")) for k, chosen in enumerate(combinations(range(POSITIONS), width))])
+    return fps.select("fp").distinct().select("fp", F.explode(sets).alias("p")).select("fp", "p.kind", "p.bytes")
 
 
-def links(fps: DataFrame, distance: int = 2) -> DataFrame:
-    """Pairs (a, b), a < b, of different fingerprints in column fp that differ in at most `distance` bits."""
-    least = POSITIONS - distance
-    postings = F.array(*[F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(F.lit(_byte_masks(chosen))).alias("bytes")) for k, chosen in enumerate(combinations(range(POSITIONS), least))])
-    index = fps.select("fp").distinct().select("fp", F.explode(postings).alias("p")).select("fp", "p.kind", "p.bytes")
+def meetings(index: DataFrame, least: int, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b), a < b, that meet in at least `least` postings of at most `crowd` entries, and the fingerprints of larger ones."""
     # only postings with a second entry can give a pair
     full = index.groupBy("kind", "bytes").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high")).where("n > 1")
     few = full.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    many = materialise(index.join(full.where("n > 2").select("kind", "bytes"), ["kind", "bytes"]))
-    left, right = many.withColumnRenamed("fp", "a"), many.withColumnRenamed("fp", "b")
-    more = left.join(right, (left["kind"] == right["kind"]) & (left["bytes"] == right["bytes"]) & (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)).select("a", "b")
-    met = few.unionByName(more).withColumn("shared", shared_bytes(F.col("a"), F.col("b")))
-    return met.where(F.col("shared") >= least).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance).select("a", "b").distinct()
+    many = materialise(index.join(full.where("n > 2").select("kind", "bytes", "n"), ["kind", "bytes"]))
+    paired = many.where(F.col("n") <= crowd)
+    left, right = paired.select("kind", "bytes", F.col("fp").alias("a")), paired.select("kind", "bytes", F.col("fp").alias("b"))
+    more = left.join(right, ["kind", "bytes"]).where("a < b").select("a", "b")
+    tally = few.unionByName(more).groupBy("a", "b").count()
+    return tally.where(F.col("count") >= least).select("a", "b"), many.where(F.col("n") > crowd).select("fp").distinct()
+
+
+def looked_up(crowded: DataFrame, distance: int) -> DataFrame:
+    """Pairs (a, b), a < b, of crowded fingerprints within `distance` bits, by looking up every value that near."""
+    flips = [sum(1 << bit for bit in bits) for n in range(1, distance + 1) for bits in combinations(range(64), n)]
+    near = F.explode(F.lit([f - (1 << 64) if f >> 63 else f for f in flips])).alias("flip")
+    return crowded.select(F.col("fp").alias("a"), near).select("a", F.col("a").bitwiseXOR(F.col("flip")).alias("b")).where("a < b").join(crowded.select(F.col("fp").alias("b")), "b", "left_semi").select("a", "b")
+
+
+def links(fps: DataFrame, distance: int = 2, crowd: int = CROWD) -> DataFrame:
+    """Pairs (a, b), a < b, of different fingerprints in column fp that differ in at most `distance` bits."""
+    shared = POSITIONS - distance
+    width = max(1, shared - 2)
+    met, crowded = meetings(postings(fps, width), comb(shared, width), crowd)
+    found = met.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
+    if crowded.limit(1).count():
+        found = found.unionByName(looked_up(materialise(crowded), distance)).distinct()
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
