@@ -37,6 +37,8 @@ def _context_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext._jsc.sc().getCheckpointDir()
     if existing.isDefined():
         return existing.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     base = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
     spark.sparkContext.setCheckpointDir(base)
     return base

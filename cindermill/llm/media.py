@@ -105,23 +105,36 @@ def encode_bmp(samples: np.ndarray) -> bytes:
     return struct.pack("<2sIHHI", b"BM", begin + rows.nbytes, 0, 0, begin) + struct.pack("<IiiHHIIiiII", 40, width, height, 1, 8, 0, rows.nbytes, 2835, 2835, 256, 0) + palette.tobytes() + rows.tobytes()
 
 
-def _cumulative(values: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """Sums of values[:p] along the first axis at fractional points, which rise from 0 to its length."""
-    low = np.minimum(np.floor(points).astype(np.int64), len(values) - 1)
-    needed = np.unique(np.r_[0, low, low + 1])
-    sums = np.add.reduceat(values, needed[:-1], axis=0, dtype=np.float64 if values.dtype.kind == "f" else np.int64)
-    upto = np.concatenate([np.zeros((1, *values.shape[1:]), dtype=sums.dtype), np.cumsum(sums, axis=0)])
-    below, above = upto[np.searchsorted(needed, low)], upto[np.searchsorted(needed, low + 1)]
-    part = (points - low).reshape(-1, *[1] * (values.ndim - 1))
-    return below + part * (above - below)
+def integral_image(image: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The integral image at the given rows: sums over all that lies above a row and left of a column.
+
+    `rows` are whole, rising and start with 0. Only they are kept, so an image of any height takes little memory.
+    """
+    kind = np.float64 if image.dtype.kind == "f" else np.int64
+    strips = np.add.reduceat(image, rows[:-1], axis=0, dtype=kind) if len(rows) > 1 else np.zeros((0, *image.shape[1:]), dtype=kind)
+    table = np.zeros((len(rows), image.shape[1] + 1, *image.shape[2:]), dtype=kind)
+    table[1:, 1:] = strips.cumsum(axis=0).cumsum(axis=1)
+    return table
 
 
 def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Means over the source areas of a height x width grid, from the integral image."""
+    """Means over the source areas of a height x width grid, each from the four corners of its area in the integral image.
+
+    Between whole places the integral image is bilinear, since samples are constant within their cells.
+    """
+    if not image.size:
+        raise ValueError("an image without samples")
     ys, xs = np.linspace(0, image.shape[0], height + 1), np.linspace(0, image.shape[1], width + 1)
-    rows = np.diff(_cumulative(image, ys), axis=0)
-    cells = np.diff(_cumulative(np.swapaxes(rows, 0, 1), xs), axis=0)
-    return np.swapaxes(cells, 0, 1) / (image.shape[0] / height * (image.shape[1] / width))
+    y0, x0 = np.minimum(ys.astype(np.int64), image.shape[0] - 1), np.minimum(xs.astype(np.int64), image.shape[1] - 1)
+    needed = np.unique(np.r_[0, y0, y0 + 1])
+    table = integral_image(image, needed)
+    grey = [1] * (image.ndim - 2)
+    dy, dx = (ys - y0).reshape(-1, 1, *grey), (xs - x0).reshape(1, -1, *grey)
+    above, below = np.searchsorted(needed, y0), np.searchsorted(needed, y0 + 1)
+    at = lambda r, c: table[r][:, c]
+    corners = (1 - dy) * ((1 - dx) * at(above, x0) + dx * at(above, x0 + 1)) + dy * ((1 - dx) * at(below, x0) + dx * at(below, x0 + 1))
+    sums = corners[1:, 1:] - corners[:-1, 1:] - corners[1:, :-1] + corners[:-1, :-1]
+    return sums / (image.shape[0] / height * (image.shape[1] / width))
 
 
 def difference_hash(image: np.ndarray) -> str:
@@ -143,20 +156,25 @@ def tiles(df: DataFrame, key: str, media: str, height: int = 64, width: int = 64
     One row per tile: key, tile_row, tile_column, npy, and the image's difference hash.
     """
 
+    parts = [(y, x) for y in range(0, height, tile) for x in range(0, width, tile)]
+
+    def cut(data: bytes | None) -> list[tuple]:
+        try:
+            image = decode_image(data or b"")
+            small, mark = np.rint(area_resize(image, height, width)).astype(np.uint8), difference_hash(image)
+        except (ValueError, OverflowError, IndexError, ZeroDivisionError, MemoryError, struct.error):
+            return [(None, None, None, None)]
+        return [(y // tile, x // tile, npy(small[y:y + tile, x:x + tile]), mark) for y, x in parts]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.string())
         for batch in batches:
-            for k, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                try:
-                    image = decode_image(value.as_py() or b"")
-                    small = np.rint(area_resize(image, height, width)).astype(np.uint8)
-                    rows = [(k, y // tile, x // tile, npy(small[y:y + tile, x:x + tile]), difference_hash(image)) for y in range(0, height, tile) for x in range(0, width, tile)]
-                except (ValueError, struct.error, IndexError):
-                    rows = [(k, None, None, None, None)]
-                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
-
-    kind = df.schema[key].dataType.simpleString()
-    schema = pa.schema([(key, {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]), ("tile_row", pa.int32()), ("tile_column", pa.int32()), ("npy", pa.binary()), ("difference_hash", pa.string())])
-    return df.select(key, media).mapInArrow(run, f"`{key}` {kind}, tile_row int, tile_column int, npy binary, difference_hash string")
+            for begin in range(0, len(batch), 256):
+                rows = [(begin + at, *made) for at, value in enumerate(batch.column(1).slice(begin, 256)) for made in cut(value.as_py())]
+                source, *columns = zip(*rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(source)), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=[key, "tile_row", "tile_column", "npy", "difference_hash"])
+
+    return df.select(key, media).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, tile_row int, tile_column int, npy binary, difference_hash string")
 
 
 def stored_as_images(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 64) -> DataFrame:

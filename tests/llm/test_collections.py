@@ -70,6 +70,22 @@ def test_dense_fingerprints_lose_no_link(spark):
     values = sorted({s[0] for s in signed})
     near = {(a, b) for i, a in enumerate(values) for b in values[i + 1:] if bin((a ^ b) & (2 ** 64 - 1)).count("1") <= 2}
     assert pairs == near
+    # with crowded postings, all or some of them, the same links come from look-ups
+    for crowd in (2, 12):
+        frame = spark.createDataFrame(signed, "fp long")
+        assert simhash.meetings(simhash.postings(frame, 4), 15, crowd)[1].count() > 0
+        found = [(r["a"], r["b"]) for r in simhash.links(frame, crowd=crowd).collect()]
+        assert set(found) == near and len(found) == len(near)
+
+
+def test_the_tally_removes_pairs(spark):
+    base = 0x1122334455667788
+    fps = spark.createDataFrame([(base,), (base ^ 1,), (base ^ 0x10101,), (base ^ 0x0101010100000000,)], "fp long")
+    index = simhash.postings(fps, 4)
+    met = {(r["a"], r["b"]) for r in simhash.meetings(index, 1)[0].collect()}
+    kept = {(r["a"], r["b"]) for r in simhash.meetings(index, 15)[0].collect()}
+    # five shared bytes meet in 5 of the 70 kinds, seven in 35: only the latter reach the 15 of six
+    assert {(base, base ^ 1), (base, base ^ 0x10101)} <= met and kept == {(base, base ^ 1), (base ^ 1, base ^ 0x10101)}
 
 
 def test_components_of_a_chain(spark):
@@ -179,6 +195,13 @@ def test_media_columns(spark):
     assert media.media_columns(docs.where("false")).count() == 0
 
 
+def test_headers_that_promise_too_much_are_no_images(spark):
+    huge = [b"P5\n99999999999999999999 99999999999\n255\n", b"P5\n0 5\n255\n", b"P2\n9 9\n255\n1", b"BM" + b"\xff" * 60, b"P5", b"P3\n1 1\n255\nx y z"]
+    df = spark.createDataFrame([(f"k{i}", bytearray(b)) for i, b in enumerate(huge)], "key string, media binary")
+    got = media.tiles(df, "key", "media").collect()
+    assert sorted(r["key"] for r in got) == [f"k{i}" for i in range(len(huge))] and all(r["npy"] is None for r in got)
+
+
 def test_tiles(spark):
     image = np.arange(64 * 64, dtype=np.uint16).reshape(64, 64).astype(np.uint8)
     df = spark.createDataFrame([(1, bytearray(media.encode_bmp(image))), (2, bytearray(b"junk")), (3, None)], "k long, m binary")

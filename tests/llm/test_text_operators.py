@@ -188,6 +188,39 @@ def test_language_filter_has_every_kept_ngram_and_few_others(spark):
     assert (filters.false_positive < 0.05).all()
 
 
+@pytest.mark.parametrize("length", [0, 1, 3, 98, 99, 100, 101, 102, 200, 1000])
+def test_language_ngrams_in_pieces_are_those_of_the_whole(length):
+    text = ("the cat's und der hund  ñandú " * 50)[:length]
+    whole, cut = (np.sort(np.concatenate(list(langid.ngram_hashes(text, chunk)))) for chunk in (10 ** 6, 100))
+    assert (whole == cut).all() and len(whole) == len(cut)
+
+
+def test_language_by_the_definition_with_more_than_64_languages(spark):
+    rng = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{k:02d}": ["".join(rng.choice(letters) for _ in range(6)) for _ in range(6)] for k in range(70)}
+    rows = [(i, " ".join(rng.choice(words) for _ in range(40)), name) for i, (name, words) in enumerate(list(own.items()) * 3)]
+    filters = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), n_slots=1 << 16)
+    assert filters.slots.shape == (1 << 16, 2) and sorted(filters.languages) == sorted(own)
+    asked = [(i, " ".join(words), name) for i, (name, words) in enumerate(own.items())]
+    for r in langid.predict(spark.createDataFrame(asked, "doc_id long, text string, lang string"), filters).collect():
+        text, name = asked[r["doc_id"]][1:]
+        hashes = np.concatenate(list(langid.ngram_hashes(text)))
+        shares = []
+        for k in range(70):  # each n-gram against each language's filter, one at a time
+            bits = [all(int(filters.slots[slot[j], k // 64]) >> (k % 64) & 1 for slot in langid._slots(hashes, 1 << 16)) for j in range(len(hashes))]
+            shares.append(max(0.0, (sum(bits) / len(bits) - filters.false_positive[k]) / (1 - filters.false_positive[k])))
+        best = max(range(70), key=lambda k: shares[k])
+        second = max(s for k, s in enumerate(shares) if k != best)
+        assert r["lang_pred"] == filters.languages[best] == name and r["score"] == pytest.approx(shares[best] / (shares[best] + second))
+
+
+def test_language_ties_go_to_the_language_seen_more(spark):
+    rows = [(i, "same words here", lang) for i, lang in enumerate(["b", "b", "b", "a", "a", "a", "c"] * 3)]
+    filters = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert filters.predict("same words here")[:2] == ("a", 0.5)
+
+
 def test_language_without_training(spark):
     none = langid.fit(empty(odd_documents(spark)))
     assert {r["lang_pred"] for r in langid.predict(odd_documents(spark), none).collect()} == {"und"}
@@ -204,11 +237,24 @@ def test_toxicity_held_out(spark, documents):
     assert toxicity.score(empty(odd_documents(spark)), model).count() == 0
 
 
-def test_toxicity_blocks_give_the_whole_text():
+@pytest.mark.parametrize("size", [0, 1, 2, 63, 64, 65, 66, 127, 128, 129, 1000])
+def test_toxicity_blocks_give_the_whole_text(size):
     model, words = toxicity.ConvolutionalClassifier.fresh(), toxicity.WordIds()
-    ids = words.of(" ".join(f"w{i % 97}" for i in range(1000)))
-    whole, cut = model.pooled(ids, 5000), model.pooled(ids, 64)
-    assert (cut >= whole - 1e-5).all()  # each block is framed by silence, as the whole text is
+    model.words[:] = np.random.default_rng(size).standard_normal(model.words.shape)
+    ids = words.of(" ".join(f"w{i}" for i in range(size)))
+    assert np.allclose(model.pooled(ids, 64), model.pooled(ids, 5000), atol=1e-5)
+
+
+def test_toxicity_score_by_the_definition(spark):
+    model, words = toxicity.ConvolutionalClassifier.fresh(seed=3), toxicity.WordIds()
+    model.biases = [b + 0.1 for b in model.biases]
+    some = ["", "one", "One, two; three!", "the same the same", "w " * 5000 + "rare " + "w " * 4500, None]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(list(enumerate(some)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(some):
+        ids = words.of(text or "")
+        rows = [np.zeros(16)] * 2 + [model.words[k >> 16] + model.prefixes[k & 0xFFFF] for k in ids] + [np.zeros(16)] * 2
+        top = [max([0.0] + [float(sum(rows[at + j] @ kernel[j, :, f] for j in range(w)) + bias[f]) for at in range(len(rows) - w + 1)]) for w, kernel, bias in zip(toxicity.WIDTHS, model.kernels, model.biases) for f in range(kernel.shape[2])] if len(rows) < 50 else model.pooled(ids, 10 ** 6)
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-(np.array(top) @ model.output + model.intercept))), abs=1e-5)
 
 
 def test_toxicity_without_labels(spark):
