@@ -3,24 +3,22 @@
 Writing: each page becomes an HTTP response in chunked transfer framing. Blocks longer than a segment
 are split into a first record and continuation records, which carry the origin's identifier and
 their segment number, the last one also the total length. A page whose payload equals that of a page
-with a smaller id is a revisit of the one with the smallest. Files are gzip-compressed and hold a
-bounded number of pages.
+with a smaller id is a revisit of the one with the smallest. Files are gzip-compressed.
 
-Reading: files are parsed as streams; complete records are decoded where they are, segments are
+Reading: files are read as lines and parsed as streams, so no file is ever held whole; complete records are decoded where they are, segments are
 grouped by origin identifier, ordered by segment number and joined after their numbers and total
-length are verified, then the chunked framing is decoded.
+length are verified, then the chunked framing is decoded. A revisit is verified against the payload of the response that it names.
 
 Defined cases: null html is an empty payload; repeated rows with the smallest page_id are each a
 response and come back as often as they went in; a null page_id comes after every other. Records are
-named by page_id and payload digest, so rows with one id, or none, and different html stay apart. A damaged or incomplete record comes back with verified = false and null measures.
+named by page_id and payload digest, so rows with one id, or none, and different html stay apart. A damaged or incomplete record, and a revisit whose response is
+missing, come back with verified = false and null measures.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
-import io
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -28,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import scratch
+from cindermill.llm.common import materialise, scratch
 
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -83,7 +81,30 @@ def page_records(page_id: int | None, url: str | None, payload: bytes, first_id:
         yield _record([("WARC-Type", "continuation"), ("WARC-Record-ID", name(page_id, str(number))), ("WARC-Segment-Origin-ID", origin), ("WARC-Segment-Number", number), ("WARC-Segment-Total-Length", len(block) if number == len(parts) else None), ("WARC-Date", DATE), ("WARC-Target-URI", common[1][1])], part)
 
 
-def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
+class Lines:
+    """A stream over the lines of files, which come without their line ends."""
+
+    def __init__(self, lines: Iterator[bytes]):
+        self.lines, self.rest = lines, b""
+
+    def readline(self) -> bytes:
+        if self.rest:
+            line, end, self.rest = self.rest.partition(b"\n")
+            return line + end
+        line = next(self.lines, None)
+        return b"" if line is None else line + b"\n"
+
+    def read(self, size: int) -> bytes:
+        parts, held = [self.rest], len(self.rest)
+        while held < size and (line := next(self.lines, None)) is not None:
+            parts += (line, b"\n")
+            held += len(line) + 1
+        data = b"".join(parts)
+        self.rest = data[size:]
+        return data[:size]
+
+
+def parse(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields (names in lower case) and block of each record of a stream."""
     while line := stream.readline():
         if not line.strip():
@@ -100,9 +121,10 @@ def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
 def write_archive(pages: DataFrame, path: str, segment: int = 16_384, pages_per_file: int = 20_000) -> None:
     """Write pages (page_id, url, html) as gzip-compressed WARC files below path."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")).withColumn("sha", F.sha1("payload"))
-    first = rows.groupBy("sha").agg(F.min("page_id").alias("first_id"))
-    ids = rows.select("page_id", "sha").distinct().join(first, "sha").select(F.col("page_id").alias("id_"), F.col("sha").alias("sha_"), "first_id")
-    known = rows.join(ids, F.col("page_id").eqNullSafe(F.col("id_")) & (F.col("sha") == F.col("sha_"))).select("page_id", "url", "payload", "first_id")
+    # one row for each payload that occurs again; written first, so that its size is known when the join is planned
+    again = materialise(rows.groupBy("sha").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("sha", "first_id", F.lit(True).alias("again")))
+    first = F.when(F.col("again"), F.col("first_id")).otherwise(F.col("page_id"))
+    known = rows.join(again, "sha", "left").select("page_id", "url", "payload", first.alias("first_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,8 +137,8 @@ def write_archive(pages: DataFrame, path: str, segment: int = 16_384, pages_per_
     known.mapInArrow(run, "record binary").select(F.col("record").cast("string")).write.option("compression", "gzip").option("lineSep", "\n").option("maxRecordsPerFile", pages_per_file).text(path)
 
 
-RECORDS = "page_id long, record_type string, refers_to long, claimed string, n_bytes long, payload_bytes long, payload_digest string, origin string, segment int, total long, block binary"
-_COLUMNS = pa.schema([("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("claimed", pa.string()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("origin", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary())])
+_COLUMNS = pa.schema([("page_id", pa.int64()), ("record_type", pa.string()), ("record", pa.string()), ("refers", pa.string()), ("claimed", pa.string()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("origin", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary())])
+RECORDS = "page_id long, record_type string, record string, refers string, claimed string, n_bytes long, payload_bytes long, payload_digest string, origin string, segment int, total long, block binary"
 
 
 def _measured(block: bytes) -> tuple[int | None, str | None]:
@@ -129,52 +151,56 @@ def _measured(block: bytes) -> tuple[int | None, str | None]:
 
 def _describe(fields: dict[str, str], block: bytes) -> dict:
     number = lambda name: int(fields[name]) if fields.get(name) else None
-    refers = fields.get("warc-refers-to", "").removeprefix("<urn:page:").rstrip(">").split(":")[0]
-    row = {"page_id": number("page-id"), "record_type": fields["warc-type"], "refers_to": int(refers) if refers else None, "claimed": fields.get("warc-payload-digest", "").removeprefix("sha1:") or None, "n_bytes": number("payload-bytes"), "segment": number("warc-segment-number"), "total": number("warc-segment-total-length")}
+    row = {"page_id": number("page-id"), "record_type": fields["warc-type"], "record": fields["warc-record-id"], "refers": fields.get("warc-refers-to"), "claimed": fields.get("warc-payload-digest", "").removeprefix("sha1:") or None, "n_bytes": number("payload-bytes"), "segment": number("warc-segment-number"), "total": number("warc-segment-total-length")}
     if row["segment"]:
         return row | {"origin": fields.get("warc-segment-origin-id", fields["warc-record-id"]), "block": block}
     if row["record_type"] == "revisit":
-        return row | {"payload_bytes": row["n_bytes"], "payload_digest": row["claimed"]}
+        return row
     return row | dict(zip(("payload_bytes", "payload_digest"), _measured(block)))
 
 
-def read_records(spark, path: str) -> DataFrame:
+def read_records(spark, path: str, held_bytes: int = 8 << 20) -> DataFrame:
     """Every record of the archives below path; complete ones measured, segments with their blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                rows = []
-                for fields, block in parse(io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content.as_py())), 1 << 20)):
-                    rows.append(_describe(fields, block))
-                    if len(rows) == 500:
-                        yield pa.RecordBatch.from_pylist(rows, schema=_COLUMNS)
-                        rows = []
+        rows, held = [], 0
+        for fields, block in parse(Lines(line for batch in batches for line in batch.column(0).to_pylist())):
+            rows.append(_describe(fields, block))
+            held += 500 + len(rows[-1].get("block", b""))
+            if held >= held_bytes:
                 yield pa.RecordBatch.from_pylist(rows, schema=_COLUMNS)
+                rows, held = [], 0
+        yield pa.RecordBatch.from_pylist(rows, schema=_COLUMNS)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(run, RECORDS)
+    # whole records are in one file, and files of one task follow each other
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.gz").text(path)
+    return lines.select(F.col("value").cast("binary")).mapInArrow(run, RECORDS)
 
 
 def read_archive(spark, path: str) -> DataFrame:
     """One row per page of the archives: page_id, payload_bytes, payload_digest, record_type, refers_to, verified."""
-    records = read_records(spark, path)
-    measures = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "claimed", "n_bytes"]
-    whole = records.where("segment IS NULL").select(*measures)
+    records = materialise(read_records(spark, path))
+    measures = ["page_id", "payload_bytes", "payload_digest", "record_type", "record", "claimed", "n_bytes"]
+    whole = records.where("segment IS NULL AND record_type <> 'revisit'").select(*measures)
     segments = records.where("segment IS NOT NULL").groupBy("origin", "segment").agg(F.first("block").alias("block"), F.max("total").alias("total"), F.count("*").alias("times"), *(F.max(c).alias(c) for c in ("page_id", "claimed", "n_bytes")))
     joined = segments.groupBy("origin").agg(F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("parts"), F.max("total").alias("total"), F.max("times").alias("times"), *(F.max(c).alias(c) for c in ("page_id", "claimed", "n_bytes")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(len(batch)):
+                row = batch.slice(at, 1).to_pylist()[0]
                 block = b"".join(p["block"] for p in row["parts"])
                 whole = [p["segment"] for p in row["parts"]] == list(range(1, len(row["parts"]) + 1)) and len(block) == row["total"]
                 size, digest = _measured(block) if whole else (None, None)
-                out = {"page_id": row["page_id"], "payload_bytes": size, "payload_digest": digest, "record_type": "response", "refers_to": None, "claimed": row["claimed"], "n_bytes": row["n_bytes"]}
+                out = {"page_id": row["page_id"], "payload_bytes": size, "payload_digest": digest, "record_type": "response", "record": row["origin"], "claimed": row["claimed"], "n_bytes": row["n_bytes"]}
                 yield pa.RecordBatch.from_pylist([out] * row["times"], schema=pa.schema([_COLUMNS.field(c) for c in measures]))
 
-    kinds = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, claimed string, n_bytes long"
-    rows = whole.unionByName(joined.mapInArrow(run, kinds))
+    kinds = "page_id long, payload_bytes long, payload_digest string, record_type string, record string, claimed string, n_bytes long"
+    responses = materialise(whole.unionByName(joined.mapInArrow(run, kinds)))
+    revisits = records.where("record_type = 'revisit'").select("page_id", "record_type", "refers", "claimed", "n_bytes")
+    # what the revisits name, one row for each response; written first, so that its size is known when the join is planned
+    named = materialise(responses.join(revisits.select(F.col("refers").alias("record")).distinct(), "record", "left_semi").groupBy(F.col("record").alias("refers")).agg(F.max("page_id").alias("refers_to"), F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("payload_digest")))
+    rows = responses.withColumn("refers_to", F.lit(None).cast("long")).drop("record").unionByName(revisits.join(named, "refers", "left").drop("refers"))
     verified = F.coalesce((F.col("payload_digest") == F.col("claimed")) & (F.col("payload_bytes") == F.col("n_bytes")), F.lit(False))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", verified.alias("verified"))
 

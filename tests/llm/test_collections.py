@@ -268,6 +268,25 @@ def test_damaged_segments_are_reported(spark, tmp_path):
     assert row["verified"] is False and row["payload_bytes"] is None
 
 
+def test_revisits_are_verified_against_their_response(spark, tmp_path):
+    good, altered = (list(warc.page_records(7, "u", p, 7, 10 ** 6))[0] for p in (b"payload", b"PAYLOAD"))
+    digest = warc.payload_digest(b"payload").encode()
+    for name, response in (("good", good), ("altered", altered.replace(warc.payload_digest(b"PAYLOAD").encode(), digest)), ("missing", b"")):
+        (tmp_path / name).mkdir()
+        with gzip.open(tmp_path / name / "part.gz", "wb") as out:
+            out.write(response + b"".join(warc.page_records(8, "u", b"payload", 7, 10 ** 6)))
+        row = warc.read_archive(spark, str(tmp_path / name)).where("record_type = 'revisit'").first()
+        assert (row["page_id"], row["verified"], row["refers_to"]) == (8, name == "good", None if name == "missing" else 7)
+
+
+def test_lines_are_a_stream():
+    data = b"a\r\n\r\nbody\nmore\n\nlast\n"
+    for size in range(1, 12):
+        stream, plain = warc.Lines(iter(data[:-1].split(b"\n"))), io.BytesIO(data)
+        while got := plain.read(size):
+            assert stream.read(size) == got and stream.readline() == plain.readline()
+
+
 def test_chunked_framing():
     for data in (b"", b"x", b"y" * 10_000):
         assert warc.unchunked(warc.chunked(data, 999)) == data
