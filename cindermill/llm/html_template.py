@@ -1,17 +1,23 @@
 """Main text of web pages by template deduction over the pages of a host.
 
-Tokens are tags, told apart by the containers around them, and short text nodes. Over all pages of a
-host each token has an occurrence vector, one count per page. Vectors are compared by a sum of page
+Pages of a host are put together by layout, a hash of the kinds of containers that they have. Tokens are
+tags, told apart by the containers around them, and text nodes. Over all pages of a layout each token has
+an occurrence vector, one count per page. Vectors are compared by a sum of page
 hashes times counts, which Spark adds up in parts, so no host's pages have to come together. Tokens
 with equal vectors form a class; a class is valid if it has several tokens, enough of the pages, and
 an order (by mean place; a token met more than once in a page stands for a repeated part). The
-largest valid class with one occurrence a page is the template's root: its tokens, in order, leave
-slots between them, and the other classes nest in the slots where they stand. The slot that holds
-most text outside links and boilerplate containers names the main container; a page's text is all of
-its blocks in that container, or in the body without template text where no container is found.
+largest valid class with one occurrence a page is the template's root: its tags, in order, leave
+slots between them, and the other classes nest in the slots where they stand, with the text nodes that
+belong to the template. The slot that holds most text outside links names the main container, and its slots
+are those to extract: a page is read along the root, and what stands in these slots and is not the template's is
+its text. Template text that makes up two thirds of a page's slots stays: such pages are copies of each other.
+
+Elements for navigation, forms and the like never hold article text. Words in classes and ids only settle what the
+template leaves open: a container that they mark as boilerplate is left out, unless it is or holds an article or main
+element, or has more than half of the page's text and does not hold comments.
 
 Defined cases: null or empty html, or a page without text, gives an empty text; a page that lacks the
-host's main container is read by its own single-page template; a null url counts as a host of its
+layout's main container, or whose layout has none, is read by its own single-page template; a null url counts as a host of its
 own; cut-off pages end where they are cut; repeated rows are pages like any other.
 """
 
@@ -20,7 +26,9 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -36,88 +44,141 @@ BLOCKS = frozenset("html head body header nav main article section aside footer
 #: Words in a container's class, id or role that mark boilerplate.
 BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert popup modal overlay comment comments disqus replies sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead related recommended share sharing social newsletter subscribe subscription signup login search pagination pager widget toolbar copyright".split())
 
+#: Those of these words that comments go by, and beginnings of a class that say what surrounds it.
+COMMENTS = frozenset("comment comments disqus replies".split())
+AROUND = ("has-", "with-", "no-", "without-")
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _MARKS = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _RAW = {name: re.compile(rf"</{name}\s*>|\Z", re.I) for name in ("script", "style")}
-SHORT = 80
-
-
-class Page:
-    """Walks a page: (token or None for text, text, container path, boilerplate?, in a link?, begins a block?)."""
-
-    def __init__(self, html: str):
-        self.html = html
-
-    def __iter__(self) -> Iterator[tuple[str | None, str, str, bool, bool, bool]]:
-        html, at, stack, path, barred, link = self.html, 0, [], "", False, False
-        while True:
-            found = _TAG.search(html, at)
-            if found is None:
-                rest = html[at:]
-                cut = re.search(r"<(?:[a-zA-Z/!?]|\Z)", rest)  # a tag that the page's end cuts off
-                rest = rest[:cut.start()] if cut else rest
-                if rest.strip():
-                    yield None, rest, path, barred, link, False
-                return
-            if found.start() > at:
-                text = html[at:found.start()]
-                if not text.isspace():
-                    yield None, text, path, barred, link, False
-                elif text:
-                    yield None, " ", path, barred, link, False
-            at = found.end()
-            if found[2] is None:
-                continue
-            name, closing = found[2].lower(), bool(found[1])
-            if name in _RAW and not closing:
-                at = _RAW[name].search(html, at).end()
-                continue
-            if name == "a":
-                link = not closing
-            label = name
-            if name in CONTAINERS:
-                if closing:
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] == name:
-                            del stack[k:]
-                            break
-                else:
-                    marks = " ".join(v for m in _MARKS.finditer(found[3]) for v in m.groups() if v).lower()
-                    label = name + (f"[{re.sub(r'[0-9]+', '0', marks)}]" if marks else "")
-                    inside = any(s[0] in ("article", "main") for s in stack)
-                    bad = name in EXCLUDED or (name == "header" and not inside) or (name not in ("html", "body") and not BOILERPLATE.isdisjoint(re.split(r"[^a-z]+", marks)))
-                    if not found[3].endswith("/"):
-                        stack.append((name, label, bad))
-                if closing:
-                    path, barred = "/".join(s[1] for s in stack), any(s[2] for s in stack)
-            yield f"{path}<{'/' if closing else ''}{label}>", "", path, barred, link, name in BLOCKS
-            if name in CONTAINERS and not closing:
-                path, barred = "/".join(s[1] for s in stack), any(s[2] for s in stack)
-
-
-def page_tokens(html: str) -> dict[str, list[float]]:
+#: Tags that tell layouts apart.
+LAYOUT = r"<(?:main|article|section|aside|header|footer|nav|div|form|table)(?:\s+(?:class|id)=[\"'][^\"'>]*)?"
+
+
+class Container(NamedTuple):
+    """An open element: its name, its label with classes and ids, whether it never holds article text, its number if its marks say boilerplate."""
+
+    name: str
+    label: str
+    excluded: bool
+    marked: int | None
+
+
+class Node(NamedTuple):
+    """A tag with its token, or text (token None), with the containers around it."""
+
+    token: str | None
+    text: str
+    path: str
+    barred: bool
+    link: bool
+    block: bool
+
+
+def _boilerplate(marks: str) -> tuple[bool, bool]:
+    """Whether classes and ids mark boilerplate, and whether comments."""
+    words = {w for mark in marks.split() if not mark.startswith(AROUND) for w in re.split(r"[^a-z]+", mark)}
+    return not BOILERPLATE.isdisjoint(words), not COMMENTS.isdisjoint(words)
+
+
+def page_nodes(html: str) -> list[Node]:
+    """The page in order."""
+    nodes, stack, at, link = [], [], 0, False
+    held: list[int] = []  # characters outside links in each marked container
+    stays: set[int] = set()
+    comments: set[int] = set()
+    total = 0
+    path, excluded, marked = "", False, ()
+
+    def surroundings() -> tuple[str, bool, tuple[int, ...]]:
+        return "/".join(s.label for s in stack), any(s.excluded for s in stack), tuple(s.marked for s in stack if s.marked is not None)
+
+    def add_text(text: str) -> None:
+        nonlocal total
+        if not link and not excluded:
+            size = len(text.strip())
+            total += size
+            for k in marked:
+                held[k] += size
+        nodes.append((None, text, path, excluded, marked, link, False))
+
+    while True:
+        found = _TAG.search(html, at)
+        if found is None:
+            rest = html[at:]
+            cut = re.search(r"<(?:[a-zA-Z/!?]|\Z)", rest)  # a tag that the page's end cuts off
+            rest = rest[:cut.start()] if cut else rest
+            if rest.strip():
+                add_text(rest)
+            break
+        if found.start() > at:
+            text = html[at:found.start()]
+            add_text(" " if text.isspace() else text)
+        at = found.end()
+        if found[2] is None:
+            continue
+        name, closing = found[2].lower(), bool(found[1])
+        if name in _RAW and not closing:
+            at = _RAW[name].search(html, at).end()
+            continue
+        if name == "a":
+            link = not closing
+        label = name
+        if name not in CONTAINERS:
+            nodes.append((f"{path}<{'/' if closing else ''}{label}>", "", path, excluded, marked, link, name in BLOCKS))
+            continue
+        if closing:
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k].name == name:
+                    del stack[k:]
+                    break
+            path, excluded, marked = surroundings()
+            nodes.append((f"{path}</{label}>", "", path, excluded, marked, link, name in BLOCKS))
+            continue
+        marks = " ".join(v for m in _MARKS.finditer(found[3]) for v in m.groups() if v).lower()
+        label = name + (f"[{re.sub(r'[0-9]+', '0', marks)}]" if marks else "")
+        article = name in ("article", "main")
+        if article:
+            stays.update(marked)  # what holds an article is no boilerplate
+        bad, comment = _boilerplate(marks) if marks and not article and name not in ("html", "body") else (False, False)
+        if bad:
+            held.append(0)
+            if comment:
+                comments.add(len(held) - 1)
+        nodes.append((f"{path}<{label}>", "", path, excluded, marked, link, name in BLOCKS))
+        if not found[3].endswith("/"):
+            inside = any(s.name in ("article", "main") for s in stack)
+            stack.append(Container(name, label, name in EXCLUDED or (name == "header" and not inside), len(held) - 1 if bad else None))
+            path, excluded, marked = surroundings()
+    stays.update(k for k, size in enumerate(held) if 2 * size > total and k not in comments)
+    return [Node(token, text, path, excluded or any(k not in stays for k in marked), link, block) for token, text, path, excluded, marked, link, block in nodes]
+
+
+def text_mark(text: str) -> str:
+    return xxhash.xxh64_hexdigest(" ".join(text.split()))
+
+
+def page_tokens(nodes: list[Node]) -> dict[str, list[float]]:
     """token -> [count, sum of places, characters that follow outside links and boilerplate, the path of those]."""
     out: dict[str, list] = {}
     last, place = None, 0
-    for token, text, path, barred, link, _ in Page(html):
-        if token is None:
-            text = text.strip()
+    for node in nodes:
+        if node.token is None:
+            text = node.text.strip()
             if not text:
                 continue
-            if last is not None and not barred and not link:
+            if last is not None and not node.barred and not node.link:
                 out[last][2] += len(text)
-                out[last][3] = path
-            if len(text) <= SHORT:
-                node = f"{path}#{xxhash.xxh64_hexdigest(' '.join(text.split()))}"
-                row = out.setdefault(node, [0, 0, 0, path])
-                row[0] += 1
-                row[1] += place
+                out[last][3] = node.path
+            row = out.setdefault(f"{node.path}#{text_mark(text)}", [0, 0, 0, node.path])
+            row[0] += 1
+            row[1] += place
             continue
         place += 1
-        row = out.setdefault(token, [0, 0, 0, path])
+        row = out.setdefault(node.token, [0, 0, 0, node.path])
         row[0] += 1
         row[1] += place
-        last = token
+        last = node.token
     return out
 
 
@@ -132,7 +193,7 @@ def token_table(pages: DataFrame) -> DataFrame:
             sums: dict[tuple[str, str], list] = {}
             for k, (host, html) in enumerate(zip(batch.column(0).to_pylist(), texts(batch.column(1)))):
                 mark = xxhash.xxh64_intdigest(html) | 1
-                for token, (n, places, chars, path) in [*page_tokens(html).items(), ("", (1, 0, 0, ""))]:
+                for token, (n, places, chars, path) in [*page_tokens(page_nodes(html)).items(), ("", (1, 0, 0, ""))]:
                     row = sums.setdefault((host, token), [0, 0, 0, 0.0, 0, path])
                     row[0] += 1
                     row[1] += n
@@ -150,8 +211,12 @@ def token_table(pages: DataFrame) -> DataFrame:
     return parts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum(low).alias("low"), F.sum(high).alias("high"), F.sum("places").alias("places"), F.sum("chars").alias("chars"), F.max("path").alias("path")).withColumn("vector", F.concat_ws(":", "low", "high")).drop("low", "high")
 
 
+def _within(path: str, container: str) -> bool:
+    return path == container or path.startswith(f"{container}/")
+
+
 def deduce(rows: list[dict], pages: int) -> dict:
-    """Template of one host from its tokens: root tokens, nested classes by slot, main container and template text."""
+    """Template of one layout from its tokens: the root's tags in order, the slots to extract, the main container, and template text by slot."""
     classes: dict[tuple, list[dict]] = {}
     for row in rows:
         classes.setdefault((row["pages"], row["total"], row["vector"]), []).append(row)
@@ -159,41 +224,41 @@ def deduce(rows: list[dict], pages: int) -> dict:
     valid = {key: sorted(members, key=lambda r: (order(r), r["token"])) for key, members in classes.items() if len(members) > 1 and any("#" not in m["token"] for m in members)}
     single = [key for key in valid if key[0] == key[1]]
     if not single:
-        return {"main": None, "text": [], "root": [], "nested": {}}
-    top = max(single, key=lambda key: (len(valid[key]), key[0]))
+        return {"main": None, "root": [], "slots": [], "text": {}}
+    top = max(single, key=lambda key: (sum("#" not in m["token"] for m in valid[key]), key[0]))
     root = [m for m in valid[top] if "#" not in m["token"]]
     begins = [order(m) for m in root]
     held = [m["chars"] for m in root]
-    nested: dict[int, list[list[str]]] = {}
-    for key, members in {**valid, **{k: v for k, v in classes.items() if k not in valid}}.items():
-        if key == top:
-            continue
-        slot = {sum(b <= order(m) for b in begins) - 1 for m in members}
+    nested: dict[int, set[str]] = {}
+    for key, members in classes.items():
         for m in members:
-            at = sum(b <= order(m) for b in begins) - 1
-            if at >= 0:
-                held[at] += m["chars"]
-        if key in valid and len(slot) == 1:
-            nested.setdefault(slot.pop(), []).append([m["token"] for m in members])
+            at = bisect_right(begins, order(m)) - 1
+            if at < 0 or (key == top and "#" not in m["token"]):
+                continue
+            held[at] += m["chars"]
+            if "#" in m["token"] and key in valid and pages >= 3:
+                nested.setdefault(at, set()).add(m["token"].rsplit("#", 1)[1])
     best = max(range(len(root)), key=lambda i: (held[i], -i))
-    token = root[best]["token"]
-    if not held[best]:
-        main = None
-    elif "</" in token:
-        main = root[best]["path"] if root[best]["chars"] else token[:token.index("<")]
-    else:
-        inner = token[token.index("<") + 1:-1]
-        name = inner.split("[")[0]
-        main = token[:token.index("<")]
-        main = f"{main}/{inner}".strip("/") if name in CONTAINERS else main
-    constant = [r["token"].rsplit("#", 1)[1] for r in rows if "#" in r["token"] and pages >= 3]
-    return {"main": main, "text": constant, "root": [m["token"] for m in root], "nested": nested}
+    after = [_after(m) for m in root]
+    main = after[best] if held[best] else None
+    slots = [i for i, path in enumerate(after) if main is not None and _within(path, main)]
+    return {"main": main, "root": [m["token"] for m in root], "slots": slots, "text": {str(at): sorted(nested[at]) for at in slots if at in nested}}
+
+
+def _after(row: dict) -> str:
+    """The container in which the text stands that follows a tag."""
+    token = row["token"]
+    outer, tag = token[:token.index("<")], token[token.index("<") + 1:-1]
+    if tag.startswith("/"):
+        return row["path"] if row["chars"] else outer
+    return f"{outer}/{tag}".strip("/") if tag.split("[")[0] in CONTAINERS else outer
 
 
 def templates(pages: DataFrame, support: float = 0.5) -> DataFrame:
-    """host, template (JSON) for every host."""
+    """host, template (JSON) for every value of host, which here stands for a layout of a host."""
     tokens = materialise(token_table(pages))
     hosts = tokens.where("token = ''").select("host", F.col("pages").alias("n"))
+    # tokens on half of the pages are no more than twice those of a page
     frequent = tokens.where("token != ''").join(hosts, "host").where(F.col("pages") >= support * F.col("n"))
 
     def build(group: pa.Table) -> pa.Table:
@@ -203,37 +268,64 @@ def templates(pages: DataFrame, support: float = 0.5) -> DataFrame:
     return frequent.groupBy("host").applyInArrow(build, "host string, template string")
 
 
+#: Containers that hold whole pages, so that they say nothing of where the text is.
+WHOLE = (None, "", "html", "body", "html/body")
+
+
+def _slot_text(nodes: list[Node], template: dict) -> list[list[str]] | None:
+    """The blocks in the slots to extract, read along the root; None if the page lacks the main container."""
+    main, at, met = template["main"], -1, False
+    numbers, slots = {token: i for i, token in enumerate(template["root"])}, set(template["slots"])
+    constant = {int(k): set(marks) for k, marks in template["text"].items()}
+    blocks, kept, left_out, chars = [[]], [[]], 0, 0
+    for node in nodes:
+        if node.token is not None:
+            at = numbers.get(node.token, at)
+            if node.block:
+                blocks.append([])
+                kept.append([])
+        elif at in slots and _within(node.path, main):
+            met = True
+            if not node.barred:
+                blocks[-1].append(node.text)
+                chars += len(node.text.strip())
+                if at in constant and text_mark(node.text) in constant[at]:
+                    left_out += len(node.text.strip())
+                else:
+                    kept[-1].append(node.text)
+        met |= _within(node.path, main)
+    if not met:
+        return None
+    return kept if 3 * left_out <= 2 * chars else blocks
+
+
 def extract(html: str, template: dict | None) -> str:
     """The main text of one page."""
-    main, constant = (template["main"], set(template["text"])) if template else (None, set())
-    for attempt in (main, None):
-        if attempt is None and main is not None:  # the page lacks the container
-            own = deduce([{"token": t, "pages": 1, "total": n, "vector": str(n), "places": p / n, "chars": c, "path": path} for t, (n, p, c, path) in page_tokens(html).items()], 1)
-            attempt, constant = own["main"], set()
-        container = attempt is not None and attempt not in ("html", "html/body", "body", "")
-        blocks, words, met = [], [], False
-        for token, text, path, barred, _, block in Page(html):
-            inside = not container or path == attempt or path.startswith(f"{attempt}/")
-            met |= inside
-            if token is not None:
-                if block and words:
-                    blocks.append(words)
-                    words = []
-            elif inside and not barred and (container or not constant or xxhash.xxh64_hexdigest(" ".join(text.split())) not in constant):
-                words.append(text)
-        blocks.append(words)
-        if met:
-            break
+    nodes, blocks = page_nodes(html), None
+    if template and template["main"] not in WHOLE:
+        blocks = _slot_text(nodes, template)
+    if blocks is None:
+        own = deduce([{"token": t, "pages": 1, "total": n, "vector": str(n), "places": p / n, "chars": c, "path": path} for t, (n, p, c, path) in page_tokens(nodes).items()], 1)
+        blocks = _slot_text(nodes, own) if own["main"] not in WHOLE else None
+    if blocks is None:  # no container: all that is no boilerplate
+        blocks = [[]]
+        for node in nodes:
+            if node.token is None:
+                if not node.barred:
+                    blocks[-1].append(node.text)
+            elif node.block:
+                blocks.append([])
     lines = (" ".join(entities.unescape("".join(b)).split()) for b in blocks)
     return "\n".join(line for line in lines if line)
 
 
-def main_text(pages: DataFrame, broadcast_hosts: int = 20_000) -> DataFrame:
+def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for rows with page_id, url and html."""
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
-    rows = pages.select("page_id", "url", "html", host.alias("host"))
-    made = materialise(templates(rows))
-    joined = rows.join(F.broadcast(made) if made.count() <= broadcast_hosts else made, "host", "left").select("page_id", "url", "html", "template")
+    layout = F.array_sort(F.array_distinct(F.regexp_extract_all(F.regexp_replace(F.coalesce(F.col("html"), F.lit("")), "[0-9]+", "0"), F.lit(LAYOUT), F.lit(0))))
+    rows = pages.select("page_id", "url", "html", F.concat_ws(" ", host, F.hex(F.xxhash64(layout))).alias("host"))
+    made = materialise(templates(rows))  # Spark plans the join by its size
+    joined = rows.join(made, "host", "left").select("page_id", "url", "html", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str | None, dict | None] = {None: None}
