@@ -17,8 +17,8 @@ need, so a vector that is repeated often costs no more than once.
 
 Defined cases: vectors that are null, zero, of a length other than the most usual one (of equally
 usual ones the longer), or with null or non-finite components take no part; a query without
-candidates has no rows; repeated ids count as separate candidates, and a query never meets its own
-id. Ties go to the smaller id.
+candidates has no rows; repeated ids count as separate candidates, a query id with several vectors asks with
+the smallest of them, and a query never meets its own id. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -146,7 +146,7 @@ def nearest(df: DataFrame, key: str, vector: str, is_query, k: int = 10, sample_
     entries = numbered.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     shards = max(1, -(-count // shard_rows))
     index = entries.select(F.pmod(F.xxhash64("v"), F.lit(shards)).alias("shard"), "v", "ids")
-    asked = rows.where(is_query(F.col("id"))).dropDuplicates(["id"])
+    asked = rows.where(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v"))
     blocks = max(1, -(-asked.count() // query_block))
     copies = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), "id", "v")
     queries = copies.groupBy("shard", "block").agg(F.collect_list("id").alias("ids"), F.collect_list("v").alias("vs"))  # about query_block rows

@@ -150,6 +150,12 @@ def test_neighbours(spark):
     assert [r["rank"] for r in few] == [1, 2]
 
 
+def test_a_repeated_query_id_asks_with_its_smallest_vector(spark):
+    rows = [(0, [5.0, 5.0]), (0, [1.0, 9.0]), (0, [1.0, 2.0]), (1, [1.0, 2.5]), (2, [5.0, 5.1])]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding", lambda i: i == 0).orderBy("rank").collect()
+    assert [(r["vec_id"], round(r["score"], 6)) for r in got] == [(1, 0.5), (2, round((4 ** 2 + 3.1 ** 2) ** 0.5, 6))]
+
+
 def test_radius_search_is_complete():
     rng = np.random.default_rng(8)
     vectors = rng.standard_normal((2000, 32))
@@ -221,6 +227,46 @@ def test_template_without_article_element(spark):
         assert got[i] == "\n".join([f"T{i}", *(f"{w} {i} & more" for w in words[:2 + i % 4])])
 
 
+def texts_of(spark, rows):
+    return {r["page_id"]: r["text"] for r in html_template.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_layouts_without_marks_on_one_dominant_host(spark):
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    body = lambda i: "".join(f"<p>{words[(i + k) % 8]} {i} text of page {k}</p>" for k in range(3 + i % 4))
+    story = lambda i: "\n".join(f"{words[(i + k) % 8]} {i} text of page {k}" for k in range(3 + i % 4))
+    layouts = [
+        lambda i: f"<html><body><div><a href=/>Home</a> <a href=/x>More</a></div><table><tr><td>{body(i)}</td></tr></table><div>All rights kept by the owners of this site, which sells no data to anyone at all, ever.</div></body></html>",
+        lambda i: f"<html><body><section><div>{body(i)}</div><div>Our notice is the same on every page of this kind and a good deal longer than eighty characters.</div></section></body></html>",
+        lambda i: f"<html><body><div><div><ul><li><a href=/>a</a></li></ul></div><div>{body(i)}<div>Share this page</div></div></div><footer>end</footer></body></html>",
+    ]
+    rows = [(i, "http://big.example/p", layouts[i % 3](i)) for i in range(45)] + [(100 + i, f"http://small{i}.example/p", layouts[i % 3](i)) for i in range(3)]
+    got = texts_of(spark, rows)
+    for i in range(45):
+        assert got[i] == story(i), i
+    assert all(story(i) in got[100 + i] for i in range(3))  # a single page has no template to take away
+
+
+def test_misleading_class_names_lose_no_article(spark):
+    rows = [
+        (1, "http://a.example/", "<article class='promo story'><p>Body text</p></article>"),
+        (2, "http://b.example/", "<article class=widget><p>Body text</p></article>"),
+        (3, "http://c.example/", "<div class='content has-sidebar'><p>Body text</p></div><div class=sidebar>Side</div>"),
+        (4, "http://d.example/", "<div id='banner page'><main><p>Body text</p></main></div>"),
+        (5, "http://e.example/", "<div class='share box'><p>Body text, and this is long</p></div><div class=ad>Buy</div>"),
+        (6, "http://f.example/", "<article><p>Body text</p><div class=comments><p>I am a long comment, longer than the text</p></div></article>"),
+    ]
+    got = texts_of(spark, rows)
+    assert got == {1: "Body text", 2: "Body text", 3: "Body text", 4: "Body text", 5: "Body text, and this is long", 6: "Body text"}
+
+
+def test_copies_and_long_pages_keep_their_text(spark):
+    long = "".join(f"<p>paragraph {k} with words</p>" for k in range(20_000))
+    rows = [(i, "http://h.example/", "<html><body><nav>menu</nav><article><p>One and the same</p></article></body></html>") for i in range(6)] + [(9, "http://l.example/", f"<html><body><div class=story>{long}</div></body></html>")]
+    got = texts_of(spark, rows)
+    assert all(got[i] == "One and the same" for i in range(6)) and got[9].count("\n") == 19_999
+
+
 def test_pages_of_the_table(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r["page_id"]: r for r in html_template.main_text(pages).collect()}
