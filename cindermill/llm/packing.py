@@ -25,6 +25,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -90,17 +91,28 @@ def tokenised_pieces(df: DataFrame, path: str, pattern: str, capacity: int = 204
     return df.select("doc_id", "text").mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
-GAP, PIECE, PLACED = 0, 1, 2
+GAP, PIECE, PLACED, CLAIM, SLOT = range(5)
+#: place and before: a left piece's number in its range and the lengths before it; a gap's first slot and its slots that are left.
 SWEPT = "kind int, id long, size long, sequence_id long, room long, part int, place long, before long"
-_SWEPT = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in ("id", "size", "sequence_id", "room")), ("part", pa.int32()), ("place", pa.int64()), ("before", pa.int64())])
+#: other and slot: the range and place that a claim and a slot meet at.
+SETTLED = "kind int, id long, size long, sequence_id long, room long, other int, slot long"
 EXACT = 16
 
 
-def _sweep(hi: int):
-    """Over one range of gaps and pieces, largest first: pieces with their gaps, then what is left of either.
+def _fits(capacity: int, size: int) -> int:
+    """How many pieces of a size fit in a sequence; from 8 on kinds are two wide, and from EXACT on there is one."""
+    fits = min(capacity // size, EXACT)
+    return fits if fits < 8 else fits - fits % 2
+
+
+def _batch(rows: list[tuple], kind: str) -> pa.RecordBatch:
+    names, kinds = zip(*(field.split(" ") for field in kind.split(", ")))
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, {"int": pa.int32(), "long": pa.int64()}[k]) for c, k in zip(columns, kinds)], names=list(names))
 
-    A left piece has its number in `place` and the lengths before it in `before`; a left gap has its first slot and its slots.
-    """
+
+def _sweep(hi: int):
+    """Over one range of gaps and pieces, largest first: pieces with their gaps, the pieces left over, and every gap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, open_, pieces, length = TaskContext.get().partitionId(), [], 0, 0
@@ -115,26 +127,22 @@ def _sweep(hi: int):
                     gap[2] -= 1
                     if not gap[2]:
                         open_.pop()
+                        rows.append((GAP, gap[0], gap[1], gap[0], gap[1], part, 0, 0))
                 else:
                     rows.append((PIECE, ident, size, None, None, part, pieces, length))
                     pieces, length = pieces + 1, length + size
-            yield _rows(rows)
+            yield _batch(rows, SWEPT)
         slots = 0
         for at in range(0, len(open_), 10_000):
             rows = []
             for ident, size, left in open_[at:at + 10_000]:
-                rows.append((GAP, ident, left, ident, size, part, slots, 0))
+                rows.append((GAP, ident, size, ident, size, part, slots, left))
                 slots += left
-            yield _rows(rows)
+            yield _batch(rows, SWEPT)
 
     return run
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * len(_SWEPT)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SWEPT)], schema=_SWEPT)
-
-
 def deal_claims(totals: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int, int, int]], dict[int, int], dict[int, int]]:
     """Claims of ranges on earlier ranges from rows (range, pieces left, slots left) in order.
 
@@ -159,53 +167,103 @@ def deal_claims(totals: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int
     return claims, claimed, {part: top for part, top in free}
 
 
-def _round(state: DataFrame, hi: int, capacity: int) -> tuple[DataFrame, int]:
+@dataclass
+class Settlement:
+    """What one round decides, by range: claims, slots that stay free, and where the ranks of pieces without a gap begin."""
+
+    claims: dict[int, list[tuple[int, int, int, int]]]  # first piece, end, range of the gaps, slot of the first piece
+    free: dict[int, int]
+    claimed: dict[int, int]
+    ranks: dict[int, int]
+    lengths: dict[int, int]
+    most: int  # the pieces without a gap of which so many fit in a sequence open new ones
+    label: int
+
+    @classmethod
+    def of(cls, totals: list, label: int) -> tuple[Settlement, int]:
+        """From the totals by range and by how many pieces fit in a sequence; also how many pieces are left for the next round."""
+        by_part: dict[int, list] = {}
+        for row in sorted(totals, key=lambda r: (r["part"], r["fits"])):
+            by_part.setdefault(row["part"], []).append(row)
+        claims, claimed, free = deal_claims([(part, sum(r["pieces"] for r in rows), sum(r["slots"] for r in rows)) for part, rows in by_part.items()])
+        made = cls({}, free, claimed, {}, {}, EXACT + 1, label)
+        for part, *claim in claims:
+            made.claims.setdefault(part, []).append(tuple(claim))
+        homeless: dict[int, int] = {}
+        ranks = lengths = 0
+        for part, rows in by_part.items():  # in rank order: the longest pieces, of which fewest fit, first
+            made.ranks[part], made.lengths[part] = ranks, lengths
+            done = claimed[part]
+            for r in rows:
+                left = r["pieces"] - min(done, r["pieces"])
+                done -= r["pieces"] - left
+                if left:
+                    homeless[r["fits"]] = homeless.get(r["fits"], 0) + left
+                ranks += left
+                lengths += r["length"]
+        made.most = min(homeless, default=EXACT + 1)
+        return made, sum(n for fits, n in homeless.items() if fits != made.most)
+
+    def settle(self, hi: int, capacity: int):
+        """Gives every piece left over its claim, its new sequence or the next round, and turns the wanted gaps into slots."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            opened = 0
+            for batch in batches:
+                rows = []
+                for kind, ident, size, sequence, room, part, place, before in zip(*(c.to_pylist() for c in batch.columns)):
+                    if kind == PLACED:
+                        rows.append((PLACED, ident, size, sequence, room, None, None))
+                    elif kind == GAP:
+                        rows.append((GAP, ident, size, sequence, room, None, None))
+                        rows += [(SLOT, None, None, sequence, room, part, slot) for slot in range(max(place, self.free.get(part, 0)), place + before)]
+                    elif place < self.claimed[part]:
+                        first, _, other, slot = next(c for c in self.claims[part] if c[0] <= place < c[1])
+                        rows.append((CLAIM, ident, size, None, None, other, slot - (place - first)))
+                    elif _fits(capacity, size) != self.most:
+                        rows.append((PIECE, ident, size, None, None, None, None))
+                    else:
+                        rank = self.ranks[part] + place - self.claimed[part]
+                        group = rank // self.most if self.most < EXACT else (self.lengths[part] + before) // (capacity - hi)
+                        new = -((self.label << 44) + group + 1)  # no piece has a negative number
+                        if new != opened:  # a sequence whose pieces are in several tasks is opened more than once, and counted once
+                            opened = new
+                            rows.append((GAP, new, capacity, new, capacity, None, None))
+                        rows.append((PLACED, ident, size, new, capacity, None, None))
+                yield _batch(rows, SETTLED)
+
+        return run
+
+
+def _round(state: DataFrame, hi: int, capacity: int, label: int = 0) -> tuple[DataFrame, int]:
     """One round for pieces of lengths in (hi / 2, hi]: the next state with the pieces placed, and how many are left."""
-    spark, lo = state.sparkSession, hi // 2
+    lo = hi // 2
     state = state.select("kind", "id", "size")
     order = [F.col("size").desc(), F.col("kind"), F.col("id")]
     active = state.where((F.col("kind") == PIECE) | (F.col("size") > lo))
     swept = materialise(active.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_sweep(hi), SWEPT))
-    # one row for each range
-    counted = swept.where(F.col("kind") != PLACED).groupBy("part").agg(F.count_if(F.col("kind") == PIECE).alias("pieces"), F.sum(F.when(F.col("kind") == GAP, F.col("size")).otherwise(0)).alias("slots"))
-    totals = sorted((r["part"], r["pieces"], r["slots"]) for r in counted.collect())
-    claims, claimed, free = deal_claims(totals)
-    left = swept.where(F.col("kind") == PIECE).select("id", "size", "part", "place", "before")
-    matched = swept.where(F.col("kind") == PLACED).select("id", "size", "sequence_id", "room")
-    if claims:
-        dealt = F.broadcast(spark.createDataFrame(claims, "part int, first long, end long, other int, slot long"))  # at most two rows a range
-        kept = F.broadcast(spark.createDataFrame(sorted((part, free.get(part, 0)) for part, _, _ in totals), "other int, free long"))
-        wanted = left.join(dealt, "part").where("place >= first AND place < end").select("id", "size", "other", (F.col("slot") - (F.col("place") - F.col("first"))).alias("slot"))
-        gaps = swept.where(F.col("kind") == GAP).select("sequence_id", "room", F.col("part").alias("other"), "place", "size").join(kept, "other").where("place + size > free")
-        slots = gaps.select("sequence_id", "room", "other", F.explode(F.sequence(F.greatest("place", "free"), F.col("place") + F.col("size") - 1)).alias("slot"))
-        matched = matched.unionByName(wanted.join(slots, ["other", "slot"]).select("id", "size", "sequence_id", "room"))
-    in_gap = Window.partitionBy("sequence_id").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    placed = [matched.select(F.lit(PLACED).alias("kind"), "id", "size", "sequence_id", (F.lit(capacity) - F.col("room") + F.sum("size").over(in_gap) - F.col("size")).alias("offset"))]
-    used = matched.groupBy(F.col("sequence_id").alias("id")).agg(F.sum("size").alias("used"))
+    # the ranges, and one more row for each of at most EXACT kinds
+    fits = F.least(F.floor(F.lit(capacity) / F.col("size")), F.lit(EXACT))
+    fits = F.when(F.col("kind") == PIECE, F.when(fits < 8, fits).otherwise(fits - fits % 2)).otherwise(0)
+    piece = F.col("kind") == PIECE
+    counted = swept.where(F.col("kind") != PLACED).groupBy("part", fits.alias("fits")).agg(F.count_if(piece).alias("pieces"), F.sum(F.when(piece, F.col("size")).otherwise(0)).alias("length"), F.sum(F.when(piece, 0).otherwise(F.col("before"))).alias("slots"))
+    settlement, left = Settlement.of(counted.collect(), label)
+    settled = swept.mapInArrow(settlement.settle(hi, capacity), SETTLED)
+    rows = settled.where(F.col("kind") <= PLACED).drop("other", "slot")
+    if settlement.claims:
+        claims = settled.where(F.col("kind") == CLAIM).select("id", "size", "other", "slot")
+        slots = settled.where(F.col("kind") == SLOT).select("sequence_id", "room", "other", "slot")
+        rows = rows.unionByName(claims.join(slots, ["other", "slot"]).select(F.lit(PLACED).alias("kind"), "id", "size", "sequence_id", "room"))
+    in_gap = Window.partitionBy("sequence_id").orderBy("kind", "id")
+    length = F.when(F.col("kind") == PLACED, F.col("size")).otherwise(0)
+    # a gap comes before its pieces: they are put one after the other, and what is left is a gap again
+    updated = rows.where(F.col("kind") != PIECE).withColumns({"number": F.row_number().over(in_gap), "upto": F.sum(length).over(in_gap.rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum(length).over(Window.partitionBy("sequence_id"))})
     none = F.lit(None).cast("long")
-    gaps = active.where(F.col("kind") == GAP).join(used, "id", "left").select("kind", "id", (F.col("size") - F.coalesce("used", F.lit(0))).alias("size"), none.alias("sequence_id"), none.alias("offset")).where("size > 0")
-    idle = state.where((F.col("kind") == GAP) & (F.col("size") <= lo)).select("kind", "id", "size", none.alias("sequence_id"), none.alias("offset"))
-    more, remaining = [], sum(pieces - claimed[part] for part, pieces, _ in totals)
-    if remaining:
-        firsts = F.broadcast(spark.createDataFrame(sorted(claimed.items()), "part int, claimed long"))
-        homeless = left.join(firsts, "part").where("place >= claimed")
-        fits = F.least(F.floor(F.lit(capacity) / F.col("size")), F.lit(EXACT))
-        stats = homeless.groupBy("part", fits.alias("fits")).agg(F.count("*").alias("n"), F.sum("size").alias("length"), F.min("before").alias("before")).collect()  # the ranges, and one more for each of at most EXACT kinds
-        most, begins, ranks, lengths = min(r["fits"] for r in stats), [], 0, 0
-        for part in sorted({r["part"] for r in stats}):
-            mine = [r for r in stats if r["part"] == part]
-            begins.append((part, ranks, lengths - min(r["before"] for r in mine)))
-            ranks, lengths = ranks + sum(r["n"] for r in mine), lengths + sum(r["length"] for r in mine)
-        ranked = homeless.join(F.broadcast(spark.createDataFrame(begins, "part int, rank0 long, length0 long")), "part").withColumn("rank", F.col("rank0") + F.col("place") - F.col("claimed"))
-        opens = fits == most
-        group = F.floor(F.col("rank") / F.lit(most)) if most < EXACT else F.floor((F.col("length0") + F.col("before")) / F.lit(capacity - hi))
-        opening = ranked.where(opens).withColumn("group", group)
-        inside = Window.partitionBy("group").orderBy("rank")
-        placed.append(opening.select(F.lit(PLACED).alias("kind"), "id", "size", F.first("id").over(inside).alias("sequence_id"), (F.sum("size").over(inside) - F.col("size")).alias("offset")))
-        more.append(opening.groupBy("group").agg(F.min_by("id", "rank").alias("id"), (F.lit(capacity) - F.sum("size")).alias("size")).where("size > 0").select(F.lit(GAP).alias("kind"), "id", "size", none.alias("sequence_id"), none.alias("offset")))
-        more.append(ranked.where(~opens).select(F.lit(PIECE).alias("kind"), "id", "size", none.alias("sequence_id"), none.alias("offset")))
-        remaining -= sum(r["n"] for r in stats if r["fits"] == most)
-    return materialise(reduce(DataFrame.unionByName, [*placed, gaps, idle, *more])), remaining
+    placed = F.col("kind") == PLACED
+    kept = updated.where(placed | ((F.col("number") == 1) & (F.col("all") < F.col("room"))))
+    made = kept.select("kind", "id", F.when(placed, F.col("size")).otherwise(F.col("room") - F.col("all")).alias("size"), F.when(placed, F.col("sequence_id")).alias("sequence_id"), F.when(placed, F.lit(capacity) - F.col("room") + F.col("upto") - F.col("size")).alias("offset"))
+    waiting = rows.where(F.col("kind") == PIECE).unionByName(state.where((F.col("kind") == GAP) & (F.col("size") <= lo)), allowMissingColumns=True)
+    return materialise(made.unionByName(waiting.select("kind", "id", "size", none.alias("sequence_id"), none.alias("offset")))), left
 
 
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
@@ -226,7 +284,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
             mine = numbered.where((F.col("length") <= hi) & (F.col("length") > hi // 2))
             state = state.select("kind", "id", "size").unionByName(mine.select(F.lit(PIECE).alias("kind"), F.col("_item").alias("id"), F.col("length").alias("size")))
         while left:
-            made, left = _round(state, hi, capacity)
+            made, left = _round(state, hi, capacity, len(rounds))
             rounds.append(made.where(F.col("kind") == PLACED).select("id", "sequence_id", "offset"))
             state = made.where(F.col("kind") != PLACED)
     places = reduce(DataFrame.unionByName, rounds).withColumnRenamed("id", "_item")
