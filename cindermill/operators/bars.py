@@ -18,6 +18,11 @@ MARKET_ZONES = {"us_stocks": "America/New_York", "index": "America/New_York", "i
 BLOCK_HOURS = 4
 
 
+def series_keys(df: DataFrame) -> tuple[str, ...]:
+    """What tells the series of a bar table apart: the symbol, and the timeframe where there is one."""
+    return ("symbol", "timeframe") if "timeframe" in df.columns else ("symbol",)
+
+
 def from_ticks(ticks: DataFrame, unit: str) -> DataFrame:
     """OHLCV bars from (symbol, timestamp, price, volume, tie); unit is a date_trunc unit."""
     return ticks.groupBy("symbol", F.date_trunc(unit, "timestamp").alias("timestamp")).agg(F.min_by("price", "tie").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "tie").alias("close"), F.sum("volume").alias("volume"))
@@ -39,8 +44,9 @@ def to_utc(timestamp: Column, market: Column, tz_hint: Column | None = None) ->
 def dedupe(bars: DataFrame, keys=("symbol", "timeframe", "timestamp"), newest: str = "_ingested_at", *ties: str) -> DataFrame:
     """One bar per key, the one ingested last; further columns settle ties, larger first."""
     # a maximum of structs is combined before the shuffle, so copies of one key stay few
-    rest = [c for c in bars.columns if c not in keys and c != newest and c not in ties]
-    best = F.max(F.struct(newest, *ties, *rest)).alias("best")
+    keys = [k for k in keys if k in bars.columns]
+    first = [c for c in (newest, *ties) if c in bars.columns]
+    best = F.max(F.struct(*first, *[c for c in bars.columns if c not in keys and c not in first])).alias("best")
     return bars.groupBy(*keys).agg(best).select(*keys, "best.*").select(*bars.columns)
 
 
@@ -50,7 +56,7 @@ def _typical() -> Column:
 
 def add_derived(bars: DataFrame, *by: str, session_vwap: bool = False) -> DataFrame:
     """log_return, dollar_volume, spread_hl, and for intraday bars the VWAP since the start of the UTC day."""
-    by = by or ("symbol",)
+    by = by or series_keys(bars)
     order = Window.partitionBy(*by).orderBy("timestamp")
     out = bars.withColumns({"log_return": F.ln(F.col("close") / F.lag("close").over(order)), "dollar_volume": F.col("close") * F.col("volume"), "spread_hl": (F.col("high") - F.col("low")) / F.col("close")})
     if session_vwap:
@@ -65,12 +71,17 @@ def add_flags(bars: DataFrame, is_adjusted: bool = True, adj_factor: float = 1.0
 
 
 def add_metadata(bars: DataFrame, timeframe: str, source: str, version: str) -> DataFrame:
-    return bars.drop("staleness").withColumns({"timeframe": F.lit(timeframe), "data_source": F.lit(source), "processing_version": F.lit(version)})
+    """A timeframe and a source that the bars have stay; the source is that of the rows (_source), first in name order within a series."""
+    named = F.first("_source", ignorenulls=True).over(Window.partitionBy(*series_keys(bars)).orderBy(F.col("_source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) if "_source" in bars.columns else F.lit(None).cast("string")
+    made = {"data_source": F.coalesce(named, F.lit(source)), "processing_version": F.lit(version)}
+    if "timeframe" not in bars.columns:
+        made["timeframe"] = F.lit(timeframe)
+    return bars.withColumns(made).drop("staleness", *AUDIT)
 
 
 def flag_clean(bars: DataFrame, *by: str, limit: float = 4.0, also: Column | None = None) -> DataFrame:
     """is_clean: consistent prices and no outlying return; null where the return is null and nothing else fails."""
-    every = Window.partitionBy(*(by or ("symbol",)))
+    every = Window.partitionBy(*(by or series_keys(bars)))
     deviation, mean = F.stddev_samp("log_return").over(every), F.avg("log_return").over(every)
     within = F.when(deviation > 0, F.abs((F.col("log_return") - mean) / deviation) <= limit).otherwise(F.col("log_return").isNotNull() | F.lit(None).cast("boolean"))
     ordered = (F.col("high") >= F.col("low")) & F.col("open").between(F.col("low"), F.col("high")) & F.col("close").between(F.col("low"), F.col("high"))
@@ -81,9 +92,18 @@ def flag_clean(bars: DataFrame, *by: str, limit: float = 4.0, also: Column | Non
     return bars.withColumn("is_clean", clean if also is None else clean & also)
 
 
-def silver(bars: DataFrame, timeframe: str, source: str = "primary", version: str = "1", session_vwap: bool = False) -> DataFrame:
-    """Normalised bars with derived columns, flags, metadata and is_clean, for all symbols at once."""
-    return flag_clean(add_metadata(add_flags(add_derived(normalise_columns(bars), session_vwap=session_vwap)), timeframe, source, version))
+def silver(bars: DataFrame, timeframe: str, source: str = "primary", version: str = "1", session_vwap: bool = False, unique: bool = False) -> DataFrame:
+    """Silver bars of all series at once: typed, in UTC, one row a key, derived columns, flags, is_clean, then metadata.
+
+    Timestamps are local to _tz_hint, or else to the market, where the bars have one of these columns. Of several rows with one key that
+    ingested last stays; unique says that there are none. A stale bar is never clean.
+    """
+    typed = bars.withColumns({c: F.col(c).cast("double") for c in PRICES} | {"volume": F.col("volume").cast("long")})
+    if "_tz_hint" in bars.columns or "market" in bars.columns:
+        market = F.col("market") if "market" in bars.columns else F.lit("")
+        typed = typed.withColumn("timestamp", to_utc(F.col("timestamp"), market, F.col("_tz_hint") if "_tz_hint" in bars.columns else None))
+    once = typed if unique else dedupe(typed)
+    return add_metadata(flag_clean(add_flags(add_derived(once, session_vwap=session_vwap))), timeframe, source, version)
 
 
 def block_start(timestamp: Column) -> Column:

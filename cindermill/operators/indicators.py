@@ -12,23 +12,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cindermill.operators.bars import series_keys
+from cindermill.operators.macro import as_of
+from cindermill.sources.storage import layer_one
+
 EMA_PERIODS = (9, 21, 50, 200)
 RSI_PERIODS = (14, 28)
 
 
-def _trailing(rows: int):
-    return Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(1 - rows, 0)
+def _trailing(rows: int, by: tuple[str, ...]):
+    return Window.partitionBy(*by).orderBy("timestamp").rowsBetween(1 - rows, 0)
 
 
-def sma(column: str, rows: int = 20) -> Column:
-    """Mean of the last rows values, null until there are that many."""
-    frame = _trailing(rows)
+def sma(column: str, rows: int = 20, by: tuple[str, ...] = ("symbol",)) -> Column:
+    """Mean of the last rows values of a series, null until there are that many."""
+    frame = _trailing(rows, by)
     return F.when(F.count(column).over(frame) == rows, F.avg(column).over(frame))
 
 
 def add_bollinger(bars: DataFrame, rows: int = 20, width: float = 2.0) -> DataFrame:
     """bb_mid, bb_upper and bb_lower with the population deviation."""
-    frame = _trailing(rows)
+    frame = _trailing(rows, series_keys(bars))
     enough = F.count("close").over(frame) == rows
     mid, deviation = F.avg("close").over(frame), F.stddev_pop("close").over(frame)
     return bars.withColumns({"bb_mid": F.when(enough, mid), "bb_upper": F.when(enough, mid + width * deviation), "bb_lower": F.when(enough, mid - width * deviation)})
@@ -36,7 +40,7 @@ def add_bollinger(bars: DataFrame, rows: int = 20, width: float = 2.0) -> DataFr
 
 def add_momentum(bars: DataFrame) -> DataFrame:
     """volume_sma_20, relative_volume, trend_strength (close above ema_50) and momentum_score (rsi_14 - 50)."""
-    out = bars.withColumn("volume_sma_20", sma("volume"))
+    out = bars.withColumn("volume_sma_20", sma("volume", by=series_keys(bars)))
     return out.withColumns({"relative_volume": F.col("volume") / F.when(F.col("volume_sma_20") == 0, 1.0).otherwise(F.col("volume_sma_20")), "trend_strength": (F.col("close") > F.col("ema_50")).cast("int"), "momentum_score": F.col("rsi_14") - 50})
 
 
@@ -76,12 +80,36 @@ def add_recurrences(bars: DataFrame, *by: str) -> DataFrame:
     """EMA, RSI, MACD, ATR, directional indicators and ADX."""
     bars = bars.drop(*RECURRENT)
     schema = T.StructType([*bars.schema.fields, *(T.StructField(c, T.DoubleType()) for c in RECURRENT)])
-    return bars.groupBy(*(by or ("symbol",))).applyInPandas(_recurrences, schema)
+    return bars.groupBy(*(by or series_keys(bars))).applyInPandas(_recurrences, schema)
+
+
+def volatility_levels(days: DataFrame, *series: DataFrame) -> DataFrame:
+    """vix_level for each day: the last value on or before it of the first of the series (date, value) that has one, else 0.
+
+    Days and series are no longer than the calendar.
+    """
+    out, found = days.select("day").distinct(), []
+    for k, one in enumerate(series):
+        facts = one.select(F.lit(0).alias("one"), F.to_date("date").alias("date"), F.col("value").cast("double").alias(f"v{k}_")).where(F.col(f"v{k}_").isNotNull())
+        out = as_of(facts, out.withColumn("one", F.lit(0)), "one", "date", "day", f"v{k}_").drop("one", "fact_time")
+        found.append(F.col(f"v{k}_"))
+    return out.select("day", F.coalesce(*found, F.lit(0.0)).alias("vix_level"))
+
 
+def technical_signals(bars: DataFrame, symbols: DataFrame | None = None, volatility: float | DataFrame | list[DataFrame] | None = None, limit: float = 40.0) -> DataFrame:
+    """All indicators over clean bars of the listed symbols, with the volatility flag; series by symbol and timeframe.
 
-def technical_signals(bars: DataFrame, symbols: DataFrame | None = None, volatility: float | None = None, limit: float = 40.0) -> DataFrame:
-    """All indicators over clean bars of the listed symbols (all if none are listed), with the volatility flag."""
+    Without a list, or with an empty one, all symbols are taken, of layer one where bars have a market. Volatility is a
+    level, or series (date, value) in order of preference, such as an index's bars and a macro series, read as of each bar's day.
+    """
     clean = bars.where("is_clean")
-    chosen = clean if symbols is None else clean.join(symbols.select("symbol"), "symbol", "left_semi")
+    if symbols is not None and not symbols.isEmpty():
+        chosen = clean.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    else:
+        chosen = layer_one(clean) if "market" in clean.columns else clean
     out = add_momentum(add_bollinger(add_recurrences(chosen)))
-    return out.withColumns({"vix_level": F.lit(0.0 if volatility is None else float(volatility)), "high_volatility_flag": F.lit(volatility is not None and volatility > limit)})
+    if volatility is None or isinstance(volatility, (int, float)):
+        return out.withColumns({"vix_level": F.lit(float(volatility or 0.0)), "high_volatility_flag": F.lit(volatility is not None and volatility > limit)})
+    series = [volatility] if isinstance(volatility, DataFrame) else volatility
+    levels = volatility_levels(chosen.select(F.to_date("timestamp").alias("day")), *series)
+    return out.withColumn("day", F.to_date("timestamp")).join(levels, "day", "left").drop("day").withColumn("high_volatility_flag", F.coalesce(F.col("vix_level") > limit, F.lit(False)))

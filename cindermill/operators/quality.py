@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cindermill.operators.bars import series_keys
+
 CRITICAL, WARNING, INFO = "CRITICAL", "WARNING", "INFO"
 
 
@@ -38,8 +40,9 @@ def coverage(bars: DataFrame, universe: DataFrame, run_date: Column, days: int =
 
 def gaps(bars: DataFrame, days: int = 5) -> DataFrame:
     """symbol, date, gap_days of bars more than `days` after the one before."""
-    order = Window.partitionBy("symbol").orderBy("date")
-    return bars.select("symbol", F.to_date("timestamp").alias("date")).withColumn("gap_days", F.datediff("date", F.lag("date").over(order))).where(F.col("gap_days") > days)
+    keys = series_keys(bars)
+    order = Window.partitionBy(*keys).orderBy("date")
+    return bars.select(*keys, F.to_date("timestamp").alias("date")).withColumn("gap_days", F.datediff("date", F.lag("date").over(order))).where(F.col("gap_days") > days)
 
 
 def gap_detection(bars: DataFrame, days: int = 5, allowed: int = 50, name: str = "gap_detection", severity: str = WARNING) -> DataFrame:
@@ -48,7 +51,7 @@ def gap_detection(bars: DataFrame, days: int = 5, allowed: int = 50, name: str =
 
 def outliers(bars: DataFrame, limit: float = 4.0) -> DataFrame:
     """The bars with z, the log return's distance from the symbol's mean in standard deviations, and is_outlier."""
-    every = Window.partitionBy("symbol")
+    every = Window.partitionBy(*series_keys(bars))
     deviation = F.stddev_samp("log_return").over(every)
     z = F.when(deviation > 0, (F.col("log_return") - F.avg("log_return").over(every)) / deviation)
     return bars.withColumn("z", z).withColumn("is_outlier", F.coalesce(F.abs("z") > limit, F.lit(False)))

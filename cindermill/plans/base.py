@@ -62,7 +62,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.silver(daily(spark, sf_dir), "1D")
+    return B.silver(daily(spark, sf_dir), "1D", unique=True)
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,6 +80,38 @@ def dedupe_bars(spark, sf_dir):
     return rounded(B.dedupe(raw, ("symbol", "timestamp"), "k", "n").drop("k", "n"), 8)
 
 
+_STAMPED = "SELECT *, '1D' AS timeframe, CAST(year(t) % 2 = 0 AND day(t) = 13 AS BOOLEAN) AS stale FROM daily UNION ALL SELECT *, '1W', FALSE FROM weekly"
+_SERIES = """SELECT *, high >= low AND open BETWEEN low AND high AND close BETWEEN low AND high AND CASE WHEN sd > 0 THEN abs((log_return - mean) / sd) <= 4 WHEN log_return IS NOT NULL THEN TRUE END AND NOT stale AS is_clean
+FROM (SELECT *, avg(log_return) OVER (PARTITION BY symbol, timeframe) AS mean, stddev_samp(log_return) OVER (PARTITION BY symbol, timeframe) AS sd FROM (SELECT *, ln(close / lag(close) OVER (PARTITION BY symbol, timeframe ORDER BY t)) AS log_return FROM st))"""
+
+
+def _landed(spark, sf_dir) -> DataFrame:
+    """Daily and weekly bars in one table, every bar landed twice, the second time with its prices, the first with zeros; some are stale."""
+    ticks = A.ticks(spark, sf_dir)
+    day, week = (B.from_ticks(ticks, unit).withColumn("timeframe", F.lit(tf)) for unit, tf in (("day", "1D"), ("week", "1W")))
+    stale = (F.year("timestamp") % 2 == 0) & (F.dayofmonth("timestamp") == 13) & (F.col("timeframe") == "1D")
+    bars = day.unionByName(week).withColumns({"staleness": stale, "_source": F.lit("second"), "_ingested_at": F.lit(2)})
+    return bars.unionByName(bars.withColumns({c: F.lit(0.0) for c in B.PRICES} | {"_source": F.lit("first"), "_ingested_at": F.lit(1)}))
+
+
+@query(sql(f"SELECT symbol, timeframe, CAST(t AS DATE) AS date, {_BAR}, round(log_return, 6) AS log_return, is_clean, 'second' AS data_source FROM se", "daily", "weekly", st=_STAMPED, se=_SERIES))
+def silver_of_landed_bars(spark, sf_dir):
+    out = _dated(B.silver(_landed(spark, sf_dir), "1D")).select("symbol", "timeframe", "date", "open", "high", "low", "close", "volume", "log_return", "is_clean", "data_source")
+    return rounded(out, 8, log_return=6)
+
+
+_VIX = "SELECT CAST(o_orderdate AS DATE) AS d, avg(o_totalprice) / 5000 AS v FROM orders WHERE day(o_orderdate) = 5 GROUP BY 1"
+
+
+@query(sql("SELECT symbol, timeframe, count(*) AS n_bars, count(*) FILTER (coalesce(v, 0) > 30) AS n_flagged, count(vs) AS n_volume_sma, round(sum(coalesce(v, 0)), 4) AS level_sum FROM (SELECT * FROM (SELECT symbol, timeframe, CAST(t AS DATE) AS day, CASE WHEN count(volume) OVER w = 20 THEN avg(volume) OVER w END AS vs FROM se WHERE is_clean WINDOW w AS (PARTITION BY symbol, timeframe ORDER BY t ROWS 19 PRECEDING)) b ASOF LEFT JOIN vix ON b.day >= vix.d) GROUP BY 1, 2", "daily", "weekly", st=_STAMPED, se=_SERIES, vix=_VIX))
+def signals_by_timeframe(spark, sf_dir):
+    orders = A.table(spark, sf_dir, "orders").where(F.dayofmonth("o_orderdate") == 5)
+    level = orders.groupBy(F.to_date("o_orderdate").alias("date")).agg((F.avg("o_totalprice") / 5000).alias("value"))
+    none = spark.createDataFrame([], "date date, value double")
+    out = indicators.technical_signals(B.silver(_landed(spark, sf_dir), "1D"), spark.createDataFrame([], "symbol string"), [none, level], limit=30.0)
+    return rounded(out.groupBy("symbol", "timeframe").agg(F.count("*").alias("n_bars"), F.count_if("high_volatility_flag").alias("n_flagged"), F.count("volume_sma_20").alias("n_volume_sma"), F.sum("vix_level").alias("level_sum")))
+
+
 # universe
 
 @query(sql("""SELECT m.symbol, m.market, round(dv, 2) AS dollar_volume_20d, n AS clean_days, round(last_close, 8) AS last_close, reason AS eligibility_reason FROM (
@@ -89,7 +121,7 @@ SELECT c.symbol, d.market, c.close, c.volume, row_number() OVER (PARTITION BY c.
 def active_universe(spark, sf_dir):
     bars = clean_daily(spark, sf_dir)
     limits = {"us_stocks": (20_000.0, 1.0, 5), "idx": (20_000.0, 50.0, 5)}  # the generated volumes are small
-    out = universe.active(bars, A.instruments(spark, sf_dir), last_day(daily(spark, sf_dir)), limits)
+    out = universe.active(bars, A.instruments(spark, sf_dir), last_day(A.ticks(spark, sf_dir)), limits)
     return rounded(out.drop("resolver_version", "is_fallback"), dollar_volume_20d=2, last_close=8)
 
 
@@ -132,7 +164,7 @@ _COVERED = "SELECT count(*) AS n, avg(CASE WHEN symbol IN (SELECT symbol FROM cl
 def quality_checks(spark, sf_dir):
     bars = clean_daily(spark, sf_dir)
     vintages = A.macro_observations(spark, sf_dir).where("vintage = 1").withColumn("vintage_date", F.date_add("observation_date", 30))
-    return rounded(quality.check_table(bars, A.instruments(spark, sf_dir), vintages, last_day(daily(spark, sf_dir))))
+    return rounded(quality.check_table(bars, A.instruments(spark, sf_dir), vintages, last_day(A.ticks(spark, sf_dir))))
 
 
 @query(sql("SELECT market, count(*) AS expected, count(*) FILTER (NOT p) AS missing, count(*) FILTER (NOT p) > 5 AS alert FROM (SELECT market, symbol IN (SELECT symbol FROM daily, run WHERE CAST(t AS DATE) = run_date) AS p FROM dim) GROUP BY market", "daily", "dim", "run"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +25,28 @@ def layer_two(bars: DataFrame) -> DataFrame:
     return bars.where(F.col("market") == CONTEXT)
 
 
-def append_new(df: DataFrame, path: str, keys: list[str], partitions: list[str]) -> DataFrame:
-    """Append the rows whose keys the table does not have yet; returns what was appended."""
-    fresh = df
-    try:
-        fresh = df.join(df.sparkSession.read.parquet(path).select(*keys).distinct(), keys, "left_anti")
-    except AnalysisException:  # no table yet
-        pass
+def stamp(df: DataFrame, source: str, symbol: str = "symbol") -> DataFrame:
+    """Audit columns of landed rows: where and when they were ingested, and the symbol that was asked for."""
+    return df.withColumns({"_source": F.lit(source), "_ingested_at": F.current_timestamp(), "_symbol": F.col(symbol)})
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+
+
+def append_new(df: DataFrame, path: str, keys: list[str], partitions: list[str], source: str | None = None) -> DataFrame:
+    """Append the rows whose keys the table does not have yet, stamped if a source is named; returns what was appended.
+
+    Only the partitions that df has rows for are read.
+    """
+    spark, fresh = df.sparkSession, df if source is None else stamp(df, source)
+    if exists(spark, path):
+        present = spark.read.parquet(path)
+        same = [c for c in partitions if c in present.columns]
+        if same:
+            present = present.join(F.broadcast(df.select(*same).distinct()), same, "left_semi")
+        fresh = fresh.join(present.select(*keys).distinct(), keys, "left_anti")
     fresh.write.mode("append").partitionBy(*partitions).option("compression", "snappy").parquet(path)
     return fresh
 
@@ -76,7 +90,7 @@ def file_freshness(spark: SparkSession, path: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Replace a whole table at once: readers see the old one until the new one is complete."""
+    """Replace a whole table: the old one is there until the new one is complete, but for the moment between two renames."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     target, staged, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path.rstrip('/')}.staged", f"{path.rstrip('/')}.old"))
