@@ -153,6 +153,8 @@ class KneserNeyTables:
             else:
                 rows = rows.withColumn("suffix", _suffix("gram", k - 1)).join(below, "suffix")
             below = rows.select(F.col("gram").alias("suffix"), (F.coalesce("own", F.lit(0.0)) + F.coalesce("gamma", F.lit(1.0)) * F.col("p")).alias("p"))
+            if k < ORDER:  # written order by order, which keeps each plan small
+                below = materialise(below)
         return below.select(F.col("suffix").alias("gram"), F.log2("p").cast("float").alias("logp"))
 
 
