@@ -103,13 +103,13 @@ def silver_of_landed_bars(spark, sf_dir):
 _VIX = "SELECT CAST(o_orderdate AS DATE) AS d, avg(o_totalprice) / 5000 AS v FROM orders WHERE day(o_orderdate) = 5 GROUP BY 1"
 
 
-@query(sql("SELECT symbol, timeframe, count(*) AS n_bars, count(*) FILTER (coalesce(v, 0) > 30) AS n_flagged, count(vs) AS n_volume_sma, round(sum(coalesce(v, 0)), 4) AS level_sum FROM (SELECT * FROM (SELECT symbol, timeframe, CAST(t AS DATE) AS day, CASE WHEN count(volume) OVER w = 20 THEN avg(volume) OVER w END AS vs FROM se WHERE is_clean WINDOW w AS (PARTITION BY symbol, timeframe ORDER BY t ROWS 19 PRECEDING)) b ASOF LEFT JOIN vix ON b.day >= vix.d) GROUP BY 1, 2", "daily", "weekly", st=_STAMPED, se=_SERIES, vix=_VIX))
+@query(sql("SELECT symbol, timeframe, count(*) AS n_bars, count(*) FILTER (coalesce(v, 0) > 30) AS n_flagged, count(vs) AS n_volume_sma, round(sum(coalesce(v, 0)), 2) AS level_sum FROM (SELECT * FROM (SELECT symbol, timeframe, CAST(t AS DATE) AS day, CASE WHEN count(volume) OVER w = 20 THEN avg(volume) OVER w END AS vs FROM se WHERE is_clean WINDOW w AS (PARTITION BY symbol, timeframe ORDER BY t ROWS 19 PRECEDING)) b ASOF LEFT JOIN vix ON b.day >= vix.d) GROUP BY 1, 2", "daily", "weekly", st=_STAMPED, se=_SERIES, vix=_VIX))
 def signals_by_timeframe(spark, sf_dir):
     orders = A.table(spark, sf_dir, "orders").where(F.dayofmonth("o_orderdate") == 5)
     level = orders.groupBy(F.to_date("o_orderdate").alias("date")).agg((F.avg("o_totalprice") / 5000).alias("value"))
     none = spark.createDataFrame([], "date date, value double")
     out = indicators.technical_signals(B.silver(_landed(spark, sf_dir), "1D"), spark.createDataFrame([], "symbol string"), [none, level], limit=30.0)
-    return rounded(out.groupBy("symbol", "timeframe").agg(F.count("*").alias("n_bars"), F.count_if("high_volatility_flag").alias("n_flagged"), F.count("volume_sma_20").alias("n_volume_sma"), F.sum("vix_level").alias("level_sum")))
+    return rounded(out.groupBy("symbol", "timeframe").agg(F.count("*").alias("n_bars"), F.count_if("high_volatility_flag").alias("n_flagged"), F.count("volume_sma_20").alias("n_volume_sma"), F.sum("vix_level").alias("level_sum")), level_sum=2)
 
 
 # universe
