@@ -8,7 +8,7 @@ length). Pieces over half the capacity open a sequence each. The others follow i
 2. each range is swept: a piece takes the gap met last, which is its successor, the smallest that
    holds it. A gap of at least hi has room for size / hi pieces, a smaller one for one;
 3. pieces left over claim gaps left over in earlier ranges. Claims are settled by rank: only the totals of
-   the ranges go to the driver, which deals each range's left pieces, by rank, to the nearest earlier
+   the ranges, which their sweeps have counted, go to the driver, which deals each range's left pieces, by rank, to the nearest earlier
    ranges with gaps left, and a join on (range, place) brings both together;
 4. gaps are updated; pieces without any gap open new sequences, the longest kind first, as many of
    consecutive rank in each as fit; what is left goes to the next round.
@@ -91,7 +91,8 @@ def tokenised_pieces(df: DataFrame, path: str, pattern: str, capacity: int = 204
     return df.select("doc_id", "text").mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
-GAP, PIECE, PLACED, CLAIM, SLOT = range(5)
+GAP, PIECE, PLACED, CLAIM, SLOT, TOTAL = range(6)
+#: A total's id is how many of its pieces fit in a sequence, size the number of pieces, sequence_id their length, room the slots.
 #: place and before: a left piece's number in its range and the lengths before it; a gap's first slot and its slots that are left.
 SWEPT = "kind int, id long, size long, sequence_id long, room long, part int, place long, before long"
 #: other and slot: the range and place that a claim and a slot meet at.
@@ -111,11 +112,12 @@ def _batch(rows: list[tuple], kind: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, {"int": pa.int32(), "long": pa.int64()}[k]) for c, k in zip(columns, kinds)], names=list(names))
 
 
-def _sweep(hi: int):
-    """Over one range of gaps and pieces, largest first: pieces with their gaps, the pieces left over, and every gap."""
+def _sweep(hi: int, capacity: int):
+    """Over one range of gaps and pieces, largest first: pieces with their gaps, the pieces left over, every gap, and the totals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, open_, pieces, length = TaskContext.get().partitionId(), [], 0, 0
+        totals: dict[int, list[int]] = {}
         for batch in batches:
             rows = []
             for kind, ident, size in zip(*(batch.column(k).to_pylist() for k in range(3))):
@@ -131,6 +133,8 @@ def _sweep(hi: int):
                 else:
                     rows.append((PIECE, ident, size, None, None, part, pieces, length))
                     pieces, length = pieces + 1, length + size
+                    total = totals.setdefault(_fits(capacity, size), [0, 0])
+                    total[0], total[1] = total[0] + 1, total[1] + size
             yield _batch(rows, SWEPT)
         slots = 0
         for at in range(0, len(open_), 10_000):
@@ -139,6 +143,8 @@ def _sweep(hi: int):
                 rows.append((GAP, ident, size, ident, size, part, slots, left))
                 slots += left
             yield _batch(rows, SWEPT)
+        rows = [(TOTAL, fits, *total, 0, part, 0, 0) for fits, total in totals.items()]
+        yield _batch(rows + [(TOTAL, 0, 0, 0, slots, part, 0, 0)] if slots else rows, SWEPT)
 
     return run
 
@@ -241,14 +247,11 @@ def _round(state: DataFrame, hi: int, capacity: int, label: int = 0) -> tuple[Da
     state = state.select("kind", "id", "size")
     order = [F.col("size").desc(), F.col("kind"), F.col("id")]
     active = state.where((F.col("kind") == PIECE) | (F.col("size") > lo))
-    swept = materialise(active.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_sweep(hi), SWEPT))
-    # the ranges, and one more row for each of at most EXACT kinds
-    fits = F.least(F.floor(F.lit(capacity) / F.col("size")), F.lit(EXACT))
-    fits = F.when(F.col("kind") == PIECE, F.when(fits < 8, fits).otherwise(fits - fits % 2)).otherwise(0)
-    piece = F.col("kind") == PIECE
-    counted = swept.where(F.col("kind") != PLACED).groupBy("part", fits.alias("fits")).agg(F.count_if(piece).alias("pieces"), F.sum(F.when(piece, F.col("size")).otherwise(0)).alias("length"), F.sum(F.when(piece, 0).otherwise(F.col("before"))).alias("slots"))
-    settlement, left = Settlement.of(counted.collect(), label)
-    settled = swept.mapInArrow(settlement.settle(hi, capacity), SETTLED)
+    swept = materialise(active.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_sweep(hi, capacity), SWEPT))
+    # a row for each range and each of its at most EXACT kinds
+    totals = swept.where(F.col("kind") == TOTAL).select("part", F.col("id").alias("fits"), F.col("size").alias("pieces"), F.col("sequence_id").alias("length"), F.col("room").alias("slots"))
+    settlement, left = Settlement.of(totals.collect(), label)
+    settled = swept.where(F.col("kind") != TOTAL).mapInArrow(settlement.settle(hi, capacity), SETTLED)
     rows = settled.where(F.col("kind") <= PLACED).drop("other", "slot")
     if settlement.claims:
         claims = settled.where(F.col("kind") == CLAIM).select("id", "size", "other", "slot")
