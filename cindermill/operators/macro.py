@@ -60,15 +60,23 @@ def rate_grid(decisions: DataFrame, run_date: Column, breaks=BREAKS, stale_days:
 def as_of(facts: DataFrame, decisions: DataFrame, key: str, fact_time: str, decision_time: str, *values: str, strict: bool = False) -> DataFrame:
     """For each decision row the values of its key's last fact before (strict) or at its time; no pairs are made.
 
-    Facts and decisions are ordered together and the last fact is carried forward.
+    Facts and decisions of a key's day are ordered together and the last fact is carried forward, so a key's rows
+    are dealt by day. Each day starts with the last fact of the key's earlier days, which comes from one row a day.
+    Times that are neither dates nor timestamps are not dealt by day. Null keys and null times equal each other,
+    and a null time is the earliest; of facts at one time the largest values count.
     """
     ids = decisions.columns
     carried = F.struct(F.col(fact_time).alias("fact_time"), *values)
     rank = 1 if strict else 0  # at equal times facts come first unless they have to be earlier
     union = facts.select(F.col(key).alias("k_"), F.col(fact_time).alias("t_"), F.lit(rank).alias("o_"), carried.alias("f_"), F.lit(None).cast(decisions.select(F.struct(*ids).alias("d")).schema["d"].dataType).alias("d_"))
     union = union.unionByName(decisions.select(F.col(key).alias("k_"), F.col(decision_time).alias("t_"), F.lit(1 - rank).alias("o_"), F.lit(None).cast(union.schema["f_"].dataType).alias("f_"), F.struct(*ids).alias("d_")))
-    upto = Window.partitionBy("k_").orderBy("t_", "o_", F.col("f_").asc()).rowsBetween(Window.unboundedPreceding, 0)
-    found = union.withColumn("f_", F.last("f_", ignorenulls=True).over(upto)).where("d_ IS NOT NULL")
+    days = {"date": F.unix_date("t_"), "timestamp": F.floor(F.unix_seconds("t_") / 86400), "timestamp_ntz": F.unix_date(F.col("t_").cast("date"))}
+    union = union.withColumn("day_", days.get(union.schema["t_"].dataType.typeName(), F.lit(0)).cast("long"))
+    earlier = Window.partitionBy("k_").orderBy("day_").rowsBetween(Window.unboundedPreceding, -1)
+    starts = union.groupBy("k_", "day_").agg(F.max("f_").alias("f_")).withColumn("f_", F.last("f_", ignorenulls=True).over(earlier)).where("f_ IS NOT NULL")
+    starts = starts.select("k_", F.lit(None).cast(union.schema["t_"].dataType).alias("t_"), F.lit(-1).alias("o_"), "f_", F.lit(None).cast(union.schema["d_"].dataType).alias("d_"), "day_")
+    upto = Window.partitionBy("k_", "day_").orderBy(F.col("o_") >= 0, "t_", "o_", F.col("f_").asc()).rowsBetween(Window.unboundedPreceding, 0)
+    found = union.unionByName(starts).withColumn("f_", F.last("f_", ignorenulls=True).over(upto)).where("d_ IS NOT NULL")
     return found.select("d_.*", "f_.*")
 
 

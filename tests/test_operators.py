@@ -1,6 +1,7 @@
 """Operators on small hand-made frames."""
 
 import datetime as dt
+import random
 
 import numpy as np
 import pandas as pd
@@ -123,6 +124,27 @@ def test_as_of_strict_and_not(spark):
     assert got(False)[("A", 3)] == 30.0
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "int"])
+@pytest.mark.parametrize("strict", [False, True])
+def test_as_of_over_days_equals_brute_force(spark, kind, strict):
+    draw = random.Random(7)
+    time = lambda: None if draw.random() < 0.05 else draw.randrange(-40, 120)
+    keys = ["a", "a", "a", "b", None]
+    facts = [(draw.choice(keys), time(), draw.randrange(9)) for _ in range(60)]
+    asked = [(i, draw.choice([*keys, "c"]), time()) for i in range(80)]
+    moment = {"int": "t", "date": "date_from_unix_date(t)", "timestamp": "timestamp_seconds(t * 30000)", "timestamp_ntz": "cast(timestamp_seconds(t * 30000) as timestamp_ntz)"}[kind]
+    left = spark.createDataFrame(facts, "k string, t int, v int").selectExpr("k", f"{moment} AS t", "v")
+    right = spark.createDataFrame(asked, "id int, k string, t int").selectExpr("id", "k", f"{moment} AS d")
+    order = lambda t: float("-inf") if t is None else t
+    want = {}
+    for i, k, t in asked:
+        known = [(order(u), v) for q, u, v in facts if q == k and (order(u) < order(t) if strict else order(u) <= order(t))]
+        want[i] = max(known)[1] if known else None
+    got = {r["id"]: r["v"] for r in macro.as_of(left, right, "k", "t", "d", "v", strict=strict).collect()}
+    assert got == want
+
+
+
 @pytest.mark.parametrize("vix, spread, cpi, gdp, name", [(35.0, 0.5, 3.0, 2.0, "RISK_OFF"), (20.0, 0.5, 6.0, 0.5, "STAGFLATION"), (20.0, 0.5, 2.0, 2.0, "DISINFLATION"), (15.0, 0.5, 3.0, 2.0, "RISK_ON"), (22.0, 1.0, 3.0, 2.0, "REFLATION")])
 def test_regimes(spark, vix, spread, cpi, gdp, name):
     row = signals.regime(spark.createDataFrame([(vix, spread, cpi, gdp, None)], "vix double, yield_spread double, cpi double, gdp double, dxy double")).first()
