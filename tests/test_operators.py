@@ -304,3 +304,18 @@ def test_instrument_selection(spark):
 def test_quote_payload(spark):
     row = payloads.quotes(spark.createDataFrame([("A", '{"c": 2.5, "t": 60}')], "symbol string, payload string")).first()
     assert row["close"] == 2.5 and row["high"] is None and row["timestamp"] == dt.datetime(1970, 1, 1, 0, 1)
+
+
+@pytest.mark.parametrize("blocks", [1, 3, 8])
+def test_pair_correlations_are_the_same_in_any_number_of_blocks(spark, blocks):
+    draw = np.random.default_rng(3)
+    wide = pd.DataFrame(draw.normal(size=(60, 7)), columns=list("abcdefg"))
+    wide.iloc[5:9, 2] = np.nan
+    wide.iloc[:40, 6] = np.nan  # too short a history
+    rows = [(s, D(2020, 1, 1) + dt.timedelta(days=i), None if np.isnan(wide.at[i, s]) else float(wide.at[i, s])) for s in wide for i in wide.index]
+    got = correlate.pair_correlations(spark.createDataFrame(rows, "symbol string, date date, log_return double"), blocks=blocks).toPandas()
+    assert len(got) == 15
+    want = wide.corr()
+    for r in got.itertuples():
+        assert r.correlation == pytest.approx(want.at[r.symbol_a, r.symbol_b])
+        assert r.n_obs == wide[[r.symbol_a, r.symbol_b]].dropna().shape[0]
