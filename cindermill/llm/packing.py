@@ -24,19 +24,20 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cindermill.llm.bpe import ChunkEncoder
 from cindermill.llm.common import materialise, texts
 
+
 def tokenizer_ranks(path: str) -> dict[bytes, int]:
     """Token ranks of a byte-level BPE in a tokenizers .json file, without its special tokens."""
     with open(path, encoding="utf-8") as file:
@@ -57,31 +58,45 @@ def added_token_ids(path: str) -> dict[str, int]:
     return {t["content"]: t["id"] for t in added}
 
 
+def shared_encoder(df: DataFrame, path: str, pattern: str, added_tokens: bool = True) -> Broadcast:
+    """What id_encoder needs, for every task: a vocabulary file's ranks, the pattern and the added tokens."""
+    return df.sparkSession.sparkContext.broadcast((tokenizer_ranks(path), pattern, added_token_ids(path) if added_tokens else {}))
+
+
+def id_encoder(spec: tuple[dict[bytes, int], str, dict[str, int]]) -> Callable[[pa.Array], Iterator[bytes]]:
+    """Turns a column of texts into their packed little-endian 32-bit ids; words are cached over columns."""
+    import tiktoken
+
+    ranks, pattern, added = spec
+    encode = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encoder = ChunkEncoder(lambda chunks: {chunk: np.array(encode(chunk), dtype="<u4").tobytes() for chunk in chunks}, 300_000)
+    literals = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
+    packed = {literal: np.array([i], dtype="<u4").tobytes() for literal, i in added.items()}
+
+    def plain(values: Iterator[str]) -> Iterator[str]:
+        """What stands between the literals of each text, in order."""
+        for text in values:
+            yield from literals.split(text)
+
+    def of(column: pa.Array) -> Iterator[bytes]:
+        parts = encoder.of(plain(texts(column)))
+        for text in texts(column):
+            yield b"".join([*next(parts), *(x for literal in literals.findall(text) for x in (packed[literal], *next(parts)))])
+
+    return of
+
+
 def tokenised_pieces(df: DataFrame, path: str, pattern: str, capacity: int = 2048, end_id: int = 0, added_tokens: bool = True) -> DataFrame:
     """One row per piece of each document's ids and end token, with the crc32 of its little-endian 32-bit ids."""
-    shared = df.sparkSession.sparkContext.broadcast((tokenizer_ranks(path), pattern, added_token_ids(path) if added_tokens else {}))
+    shared = shared_encoder(df, path, pattern, added_tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-
-        ranks, pattern, added = shared.value
-        encode = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        encoder = ChunkEncoder(lambda chunks: {chunk: np.array(encode(chunk), dtype="<u4").tobytes() for chunk in chunks}, 300_000)
+        encode = id_encoder(shared.value)
         end = np.array([end_id], dtype="<u4").tobytes()
-        literals = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
-        packed = {literal: np.array([i], dtype="<u4").tobytes() for literal, i in added.items()}
-
-        def plain(values: Iterator[str]) -> Iterator[str]:
-            """What stands between the literals of each text, in order."""
-            for text in values:
-                yield from literals.split(text)
-
         for batch in batches:
             rows = []
-            parts = encoder.of(plain(texts(batch.column(1))))
-            for at, text in enumerate(texts(batch.column(1))):
-                whole = [*next(parts), *(x for literal in literals.findall(text) for x in (packed[literal], *next(parts)))]
-                ids = b"".join(whole) + end
+            for at, ids in enumerate(encode(batch.column(1))):
+                ids += end
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
                 rows += [(at, k, a, b - a, zlib.crc32(ids[4 * a:4 * b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]

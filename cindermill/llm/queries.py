@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cindermill.llm import ann, bpe, html_template, langid, media, packing, quality, simhash, toxicity, warc
+from cindermill.llm import ann, bpe, conversations, html_template, langid, media, ordered_packing, packing, quality, simhash, toxicity, variants, warc
 from cindermill.llm.common import id_remainder, table
 
 JSON_TOKENIZER = "byte_bpe_50k.json"
@@ -63,7 +63,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_media_columns, op4_html_extraction, op5_warc, op6_quality_classifier, op7_nearest_neighbours, op8_byte_bpe, op9_language_id, op10_simhash)}
+def op11_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ordered_packing.pack_in_order(docs, public_tokenizers.path(JSON_TOKENIZER), public_tokenizers.PATTERN)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repaired_conversations(rows, conversations.damage(rows))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), modulus=199)
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_media_columns, op4_html_extraction, op5_warc, op6_quality_classifier, op7_nearest_neighbours, op8_byte_bpe, op9_language_id, op10_simhash, op11_ordered_packing, op12_conversation_repair, op13_spelling_variants)}
 
 #: base32 of the SHA-1 in SQL: 160 bits from the hex digits, five at a time.
 WARC_SQL = """
