@@ -17,6 +17,7 @@ document longer than a run is a run of its own; an empty table gives an empty re
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from cindermill.llm.bpe import kept_by_worker
 from cindermill.llm.packing import id_encoder, shared_encoder
 
 CAPACITY, RUN_TOKENS = 2048, 1 << 20
@@ -134,11 +136,11 @@ class Run:
 
 def pack_in_order(df: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, end_id: int = 1, added_tokens: bool = True, sentence: int = SENTENCE, within: int = WITHIN, run_tokens: int = RUN_TOKENS) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset for every piece of the documents' ids and end tokens."""
-    shared = shared_encoder(df, path, pattern, added_tokens)
+    shared, mark = shared_encoder(df, path, pattern, added_tokens), uuid.uuid4().hex
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, marks = id_encoder(shared.value), sentence_marks(shared.value[0])
+        encode, marks = kept_by_worker(mark, lambda: (id_encoder(shared.value), sentence_marks(shared.value[0])))
         end, sequence = np.array([end_id], dtype="<u4").tobytes(), TaskContext.get().partitionId() << 40
         held, keys = Run(sentence), []
 

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -34,7 +35,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cindermill.llm.bpe import ChunkEncoder
+from cindermill.llm.bpe import ChunkEncoder, kept_by_worker
 from cindermill.llm.common import materialise, texts
 
 
@@ -88,10 +89,10 @@ def id_encoder(spec: tuple[dict[bytes, int], str, dict[str, int]]) -> Callable[[
 
 def tokenised_pieces(df: DataFrame, path: str, pattern: str, capacity: int = 2048, end_id: int = 0, added_tokens: bool = True) -> DataFrame:
     """One row per piece of each document's ids and end token, with the crc32 of its little-endian 32-bit ids."""
-    shared = shared_encoder(df, path, pattern, added_tokens)
+    shared, mark = shared_encoder(df, path, pattern, added_tokens), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = id_encoder(shared.value)
+        encode = kept_by_worker(mark, lambda: id_encoder(shared.value))
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows = []
