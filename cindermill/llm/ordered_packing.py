@@ -51,7 +51,7 @@ def sentence_ends(ids: np.ndarray, marks: tuple[np.ndarray, np.ndarray, np.ndarr
     return np.flatnonzero((stops[:-1] & space[1:]) | (breaks[:-1] & ~breaks[1:])) + 1
 
 
-def cut_places(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY, within: int = WITHIN) -> tuple[list[int], list[int]]:
+def cut_places(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY, within: int = WITHIN) -> tuple[np.ndarray, np.ndarray]:
     """Rising places with their penalties, and every place of the spans between them that are longer than a window."""
     long = np.flatnonzero(np.diff(places, prepend=0) > capacity)
     if len(long):
@@ -59,33 +59,42 @@ def cut_places(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACI
         order = np.argsort(np.concatenate([places, more]), kind="stable")
         penalties = np.concatenate([penalties, np.full(len(more), within)])[order]
         places = np.concatenate([places, more])[order]
-    return places.tolist(), penalties.tolist()
+    return places, penalties
 
 
-def cheapest_cuts(places: list[int], penalties: list[int], capacity: int = CAPACITY) -> list[int]:
+def unpadded(places: np.ndarray, capacity: int) -> tuple[list[int], list[int]]:
+    """Numbers (j, i) of places a power of two apart, i before j, in order of j; place 0 has number 0, others count from 1."""
+    whole = np.concatenate([[0], places])
+    ends, begins = [], []
+    for power in (1 << k for k in range(capacity.bit_length())):
+        at = np.searchsorted(whole, whole - power)
+        found = np.flatnonzero(whole[at] == whole - power)
+        ends.append(found)
+        begins.append(at[found])
+    ends, begins = np.concatenate(ends), np.concatenate(begins)
+    order = np.argsort(ends, kind="stable")
+    return ends[order].tolist(), begins[order].tolist()
+
+
+def cheapest_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY) -> list[int]:
     """The places of the cheapest cuts from 0 to the last place; no two neighbouring places may be more than capacity apart."""
-    powers = [1 << k for k in range(capacity.bit_length()) if 1 << k <= capacity]
-    number = {0: 0}  # of the places that a window may still begin at
-    at, cost, back = [0], [0], [-1]
+    ends, begins = unpadded(places, capacity)
+    ends.append(-1)
+    at, cost, back, pair = [0, *places.tolist()], [0], [-1], 0
     queue = deque([0])  # candidates i with rising cost + place
-    oldest = 0
-    for k, (place, penalty) in enumerate(zip(places, penalties), 1):
+    for k, (place, penalty) in enumerate(zip(at[1:], penalties.tolist()), 1):
         while at[queue[0]] < place - capacity:
             queue.popleft()
-        while at[oldest] < place - capacity:
-            del number[at[oldest]]
-            oldest += 1
         begin = queue[0]
         least = cost[begin] + at[begin] + capacity - place
-        for power in powers:
-            i = number.get(place - power)
-            if i is not None and cost[i] < least:
+        while ends[pair] == k:
+            i = begins[pair]
+            pair += 1
+            if cost[i] < least:
                 least, begin = cost[i], i
         least += penalty
-        at.append(place)
         cost.append(least)
         back.append(begin)
-        number[place] = k
         value = least + place
         while queue and cost[queue[-1]] + at[queue[-1]] >= value:
             queue.pop()

@@ -127,7 +127,9 @@ def with_roots(found: DataFrame) -> DataFrame:
 
 def spelling_variants(documents: DataFrame, least_length: int = 6, least_count: int = 5, ratio: int = 5, modulus: int | None = None) -> DataFrame:
     """word, form, root, n, n_near, form_n of all words; a modulus misspells the runs that it chooses first."""
-    found = runs(documents)
+    if least_length < PREFIX + 1:
+        raise ValueError(f"words need at least {PREFIX} bigrams")
+    found = runs(documents).where(F.length("run") >= least_length)  # a misspelling only shortens
     word = F.col("run") if modulus is None else misspelt(F.col("doc"), F.col("run"), modulus)
     counts = materialise(word_counts(found.select(word.alias("word")), least_length, least_count))
     return with_roots(forms(counts, ratio)).select("word", "form", "root", "n", "n_near", "form_n")
