@@ -23,9 +23,18 @@ def series_keys(df: DataFrame) -> tuple[str, ...]:
     return ("symbol", "timeframe") if "timeframe" in df.columns else ("symbol",)
 
 
-def from_ticks(ticks: DataFrame, unit: str) -> DataFrame:
-    """OHLCV bars from (symbol, timestamp, price, volume, tie); unit is a date_trunc unit."""
-    return ticks.groupBy("symbol", F.date_trunc(unit, "timestamp").alias("timestamp")).agg(F.min_by("price", "tie").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "tie").alias("close"), F.sum("volume").alias("volume"))
+def from_ticks(ticks: DataFrame, unit: str, ties: bool = False) -> DataFrame:
+    """OHLCV bars from (symbol, timestamp, price, volume, tie); unit is a date_trunc unit.
+
+    With ties the bars also have the ties of their first and last tick, so that roll_up can make longer bars of them.
+    """
+    ends = [F.min("tie").alias("first_tie"), F.max("tie").alias("last_tie")] if ties else []
+    return ticks.groupBy("symbol", F.date_trunc(unit, "timestamp").alias("timestamp")).agg(F.min_by("price", "tie").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "tie").alias("close"), F.sum("volume").alias("volume"), *ends)
+
+
+def roll_up(bars: DataFrame, unit: str) -> DataFrame:
+    """Longer bars from bars with ties, the same as from their ticks."""
+    return bars.groupBy("symbol", F.date_trunc(unit, "timestamp").alias("timestamp")).agg(F.min_by("open", "first_tie").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "last_tie").alias("close"), F.sum("volume").alias("volume"))
 
 
 def normalise_columns(bars: DataFrame) -> DataFrame:

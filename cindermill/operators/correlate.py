@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cindermill.sources.scratch import Scratch
+
 
 def recent_returns(bars: DataFrame, lookback: int = 65) -> DataFrame:
     """symbol, date, log_return of each symbol's last clean bars."""
@@ -27,47 +29,77 @@ def pair_correlations(returns: DataFrame, min_history: int = 52, blocks: int = 8
     return a.join(b, ["date", "block_a", "block_b"]).where("symbol_a < symbol_b").groupBy("symbol_a", "symbol_b").agg(F.corr("r_a", "r_b").alias("correlation"), F.count("*").alias("n_obs"))
 
 
-def _average_linkage(distance: np.ndarray, clusters: int) -> np.ndarray:
-    """Labels by average linkage, clusters numbered by their first member."""
-    groups = {i: [i] for i in range(len(distance))}
-    between = {(i, j): distance[i, j] for i in groups for j in groups if i < j}
-    while len(groups) > clusters:
-        i, j = min(between, key=lambda pair: (between[pair], pair))
-        for other in groups:
-            if other not in (i, j):
-                x, y = tuple(sorted((i, other))), tuple(sorted((j, other)))
-                between[x] = (len(groups[i]) * between[x] + len(groups[j]) * between.pop(y)) / (len(groups[i]) + len(groups[j]))
-        del between[(i, j)]
-        groups[i] += groups.pop(j)
-    labels = np.empty(len(distance), dtype=int)
-    for number, members in enumerate(sorted(groups.values(), key=min)):
-        labels[members] = number
-    return labels
-
-
-def clusters(pairs: DataFrame, *scope: str, largest: int = 2000) -> DataFrame:
-    """symbol, cluster_id, correlation_avg, n_cluster_members by average linkage on 1 - |correlation| within each scope.
+def linkage(pairs: DataFrame, *scope: str) -> tuple[DataFrame, DataFrame]:
+    """Average linkage on 1 - |correlation| in rounds: merges (scope, a, b, height, round_) and symbols (scope, symbol).
 
-    A scope is a universe of screened symbols; one with more than `largest` is an error, since linkage needs its matrix.
+    A cluster goes by its first symbol in name order. In each round every cluster finds its nearest, of equals the first by
+    names; two that are each other's nearest merge, b into a, and the strengths to them add up. Merging
+    never brings a third cluster nearer, so these are the merges of the one-by-one method, found by its height in the end.
+    A state is the pair table with its sums of |correlation|, written once a round; pairs without correlation have strength 0 and
+    are not held.
     """
+    kept = Scratch(pairs.sparkSession)
+    a, b, keys = F.least("symbol_a", "symbol_b"), F.greatest("symbol_a", "symbol_b"), list(scope)
+    one = F.lit(1).cast("long")
+    strong = pairs.where("symbol_a != symbol_b").select(*keys, a.alias("a"), b.alias("b"), F.abs("correlation").alias("s"), one.alias("n_a"), one.alias("n_b"))
+    symbols = kept.keep("symbols", pairs.select(*keys, F.explode(F.array("symbol_a", "symbol_b")).alias("symbol")).distinct())
+    state = kept.keep("pairs", strong.where("s > 0 AND NOT isnan(s)").groupBy(*keys, "a", "b").agg(F.max("s").alias("s"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b")))
+    merged = []
+    while not state.isEmpty():
+        far = state.withColumn("height", 1 - F.col("s") / (F.col("n_a") * F.col("n_b")))
+        sides = far.select(*keys, F.explode(F.array("a", "b")).alias("cluster"), F.struct("height", "a", "b", "n_a", "n_b").alias("pair"))
+        nearest = sides.groupBy(*keys, "cluster").agg(F.min("pair").alias("pair"))
+        mutual = nearest.groupBy(*keys, "pair").agg(F.count("*").alias("sides")).where("sides = 2").select(*keys, "pair.*")
+        made = kept.keep(f"merges{len(merged)}", mutual)
+        merged.append(made.select(*keys, "a", "b", "height", F.lit(len(merged)).alias("round_")))
+        grown = made.select(*keys, F.explode(F.array("a", "b")).alias("old"), F.col("a").alias("new"), (F.col("n_a") + F.col("n_b")).alias("n"))
+        moved = state
+        for side in "ab":
+            to = grown.select(*keys, F.col("old").alias(side), F.col("new").alias(f"new_{side}"), F.col("n").alias(f"n_{side}_"))
+            moved = moved.join(to, [*keys, side], "left").withColumns({side: F.coalesce(f"new_{side}", side), f"n_{side}": F.coalesce(f"n_{side}_", f"n_{side}")}).drop(f"new_{side}", f"n_{side}_")
+        ordered = F.when(F.col("a") < F.col("b"), F.struct("a", "b", "n_a", "n_b")).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("n_b").alias("n_a"), F.col("n_a").alias("n_b")))
+        state = kept.keep("pairs", moved.where("a != b").select(*keys, "s", ordered.alias("p")).groupBy(*keys, "p").agg(F.sum("s").alias("s")).select(*keys, "p.*", "s"))
+    kept.drop("pairs")
+    none = symbols.select(*keys, F.col("symbol").alias("a"), F.col("symbol").alias("b"), F.lit(0.0).alias("height"), F.lit(0).alias("round_")).where("false")
+    return (reduce(DataFrame.unionByName, merged) if merged else none), symbols
+
+
+def _roots(parents: DataFrame, kept: Scratch, *scope: str) -> DataFrame:
+    """From rows (scope, node, root) that hang nodes on others: the last of each chain, which every round follows twice as far."""
+    links = kept.keep("links", parents)
+    while True:
+        onward = links.select(*scope, F.col("node").alias("root"), F.col("root").alias("further"))
+        doubled = kept.keep("links", links.join(onward, [*scope, "root"], "left").select(*scope, "node", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
+        links = doubled.drop("moved")
+        if doubled.where("moved").isEmpty():
+            return links
+
+
+def clusters(pairs: DataFrame, *scope: str) -> DataFrame:
+    """symbol, cluster_id, correlation_avg, n_cluster_members by average linkage on 1 - |correlation| within each scope.
 
-    def link(part: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(set(part["symbol_a"]) | set(part["symbol_b"]))
-        if len(names) > largest:
-            raise ValueError(f"{len(names)} symbols in one scope")
-        at = {s: i for i, s in enumerate(names)}
-        strength = np.eye(len(names))
-        i, j = part["symbol_a"].map(at).to_numpy(), part["symbol_b"].map(at).to_numpy()
-        strength[i, j] = strength[j, i] = part["correlation"].abs().fillna(0.0)
-        labels = _average_linkage(1 - strength, min(10, max(2, len(names) // 2)))
-        others = (strength.sum(axis=1) - 1) / max(1, len(names) - 1)
-        out = pd.DataFrame({"symbol": names, "cluster_id": labels, "correlation_avg": others})
-        out["n_cluster_members"] = out.groupby("cluster_id")["symbol"].transform("size")
-        return out.assign(**{c: part[c].iloc[0] for c in scope})[[*scope, "symbol", "cluster_id", "correlation_avg", "n_cluster_members"]]
-
-    keyed = pairs if scope else pairs.withColumn("scope_", F.lit(0))
-    kinds = "".join(f"{c} {pairs.schema[c].dataType.simpleString()}, " for c in scope)
-    return keyed.groupBy(*(scope or ("scope_",))).applyInPandas(link, f"{kinds}symbol string, cluster_id long, correlation_avg double, n_cluster_members long")
+    There are n // 2 clusters of n symbols, at least 2 and at most 10, numbered by their first symbols. The merges of the least height
+    count; where there are fewer than needed, the clusters left have no correlation with each other at all and the
+    first of them by name are put together. Symbols of null scopes are left out. Windows go over a scope's
+    symbols and merges, one small row each, never over its pairs.
+    """
+    keys, kept = list(scope), Scratch(pairs.sparkSession)
+    merges, symbols = linkage(pairs, *scope)
+    wanted = F.least(F.lit(10), F.greatest(F.lit(2), F.floor(F.count("*") / 2)))
+    sizes = symbols.groupBy(*keys).agg(F.count("*").alias("n"), wanted.alias("k"))
+    by = lambda *order: Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
+    with_sizes = (lambda df: df.join(sizes, keys)) if keys else (lambda df: df.crossJoin(F.broadcast(sizes)))  # one row without scope
+    # merges above others are never lower, but may be equal or differ in the last digits
+    ranked = with_sizes(merges).withColumn("rank", F.row_number().over(by(F.round("height", 12), "round_", "a", "b")))
+    chains = _roots(ranked.where(F.col("rank") <= F.col("n") - F.col("k")).select(*keys, F.col("b").alias("node"), F.col("a").alias("root")), kept, *scope)
+    placed = symbols.join(chains.withColumnRenamed("node", "symbol"), [*keys, "symbol"], "left").withColumn("root", F.coalesce("root", "symbol"))
+    heads = with_sizes(placed.select(*keys, "root").distinct()).withColumns({"rank": F.row_number().over(by("root")), "left": F.count("*").over(Window.partitionBy(*(keys or [F.lit(0)])))})
+    extra = F.greatest(F.col("left") - F.col("k"), F.lit(0))
+    numbers = heads.select(*keys, "root", F.greatest(F.col("rank") - 1 - extra, F.lit(0)).cast("long").alias("cluster_id"))
+    strength = pairs.select(*keys, F.explode(F.array("symbol_a", "symbol_b")).alias("symbol"), F.coalesce(F.nanvl(F.abs("correlation"), F.lit(0.0)), F.lit(0.0)).alias("s")).groupBy(*keys, "symbol").agg(F.sum("s").alias("s"))
+    labelled = with_sizes(placed.join(numbers, [*keys, "root"]).join(strength, [*keys, "symbol"]))
+    members = F.count("*").over(Window.partitionBy(*keys, "cluster_id"))
+    return labelled.select(*keys, "symbol", "cluster_id", (F.col("s") / F.greatest(F.lit(1), F.col("n") - 1)).alias("correlation_avg"), members.alias("n_cluster_members"))
 
 
 def monthly_returns(bars: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cindermill.operators.prefix import machine_states, numbered
+
 
 def walk_forward_windows(spans: DataFrame, train_months: int = 12, test_months: int = 3) -> DataFrame:
     """From rows (start, end): window, train_start, test_start, test_end; months have 30 days and windows slide by the test length."""
@@ -21,33 +22,31 @@ def weekdays(spans: DataFrame) -> DataFrame:
     return spans.select(F.explode(F.sequence("start", "end")).alias("date")).where(F.weekday("date") < 5)
 
 
-EPISODES = "symbol string, window int, direction int, entry_date date, exit_date date, entry_price double, exit_price double, hold_days int, exit_reason string"
+FLAT, LONG, SHORT = range(3)
 
 
 def episodes(scored: DataFrame, least_score: int = 5) -> DataFrame:
-    """Trades per (symbol, window) from rows (symbol, window, date, close, mtf_score, signal_quality).
+    """Trades per (symbol, window) from rows (symbol, window, date, close, mtf_score, signal_quality), one row a date.
 
-    Enter when flat on a strong grade A or B score, leave on a sign flip, a grade D or the window's end.
-    A group is one symbol's days in one test window.
+    Enter when flat on a strong grade A or B score, leave on a sign flip, a grade D or the window's last row, on which
+    nothing is entered. Each row maps flat, long and short to the state that follows; maps compose along the
+    group (`prefix`), so a group's days are not walked one by one. A null score or grade neither enters nor leaves.
     """
-
-    def fold(days: pd.DataFrame) -> pd.DataFrame:
-        days, out, held = days.sort_values("date"), [], None
-        rows = list(days.itertuples(index=False))
-        for k, day in enumerate(rows):
-            if held is not None:
-                flipped = day.mtf_score * held[1] < 0
-                reason = "flip" if flipped else "grade" if day.signal_quality == "D" else "window_end" if k == len(rows) - 1 else None
-                if reason:
-                    entry, direction = held
-                    out.append((day.symbol, day.window, direction, entry.date, day.date, entry.close, day.close, (day.date - entry.date).days, reason))
-                    held = None
-                    continue
-            if held is None and abs(day.mtf_score) >= least_score and day.signal_quality in ("A", "B") and k < len(rows) - 1:
-                held = (day, 1 if day.mtf_score > 0 else -1)
-        return pd.DataFrame(out, columns=[c.split()[0] for c in EPISODES.split(", ")])
-
-    return scored.groupBy("symbol", "window").applyInPandas(fold, EPISODES)
+    days = numbered(scored.select("symbol", "window", "date", "close", "mtf_score", "signal_quality"), F.struct("symbol", "window"), "date")
+    last, score = F.col("n_") == F.col("total_"), F.coalesce("mtf_score", F.lit(0))
+    grade = F.coalesce("signal_quality", F.lit(""))
+    strong = (F.abs(score) >= least_score) & grade.isin("A", "B") & ~last
+    leave = last | (grade == "D")
+    moves = [F.when(strong & (score > 0), LONG).when(strong & (score < 0), SHORT).otherwise(FLAT), F.when(leave | (score < 0), FLAT).otherwise(LONG), F.when(leave | (score > 0), FLAT).otherwise(SHORT)]
+    walked = machine_states(days, moves)
+    direction = F.when(F.col("state_before_") == LONG, 1).when(F.col("state_before_") == SHORT, -1)
+    reason = F.when(score * direction < 0, "flip").when(grade == "D", "grade").otherwise("window_end")
+    changes = walked.where("(state_before_ = 0) != (state_ = 0)").select("symbol", "window", "date", "close", direction.alias("direction"), F.when(direction.isNotNull(), reason).alias("exit_reason"))
+    # entries and exits take turns, beginning with an entry, and the last row leaves none open
+    turns = numbered(changes, F.struct("symbol", "window"), "date").select("*", F.floor((F.col("n_") + 1) / 2).alias("trade_"))
+    entries = turns.where("direction IS NULL").select("key_", "trade_", F.col("date").alias("entry_date"), F.col("close").alias("entry_price"))
+    exits = turns.where("direction IS NOT NULL").withColumnsRenamed({"date": "exit_date", "close": "exit_price"})
+    return exits.join(entries, ["key_", "trade_"]).select("symbol", "window", "direction", "entry_date", "exit_date", "entry_price", "exit_price", F.datediff("exit_date", "entry_date").alias("hold_days"), "exit_reason")
 
 
 def with_pnl(trades: DataFrame, notional: float = 10_000.0, commission: float = 0.0) -> DataFrame:

@@ -1,19 +1,17 @@
 """Technical indicators over bar tables, per symbol and timeframe.
 
-Window means are plain window functions. The recurrences (exponential means, Wilder smoothing) run in
-one grouped Arrow pass: a group is one symbol's bars of one timeframe, no longer than the calendar.
+Window means are plain window functions. The recurrences (exponential means, Wilder smoothing) are prefix
+compositions over blocks of a series (`prefix`), so they run in Spark's own code and a long series is many tasks.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cindermill.operators.bars import series_keys
 from cindermill.operators.macro import as_of
+from cindermill.operators.prefix import blocked, exponential_means, in_block, numbered
 from cindermill.sources.storage import layer_one
 
 EMA_PERIODS = (9, 21, 50, 200)
@@ -44,43 +42,32 @@ def add_momentum(bars: DataFrame) -> DataFrame:
     return out.withColumns({"relative_volume": F.col("volume") / F.when(F.col("volume_sma_20") == 0, 1.0).otherwise(F.col("volume_sma_20")), "trend_strength": (F.col("close") > F.col("ema_50")).cast("int"), "momentum_score": F.col("rsi_14") - 50})
 
 
-def _ewm(values: pd.Series, alpha: float) -> pd.Series:
-    return values.ewm(alpha=alpha, adjust=False).mean()
-
-
-def _recurrences(bars: pd.DataFrame) -> pd.DataFrame:
-    bars = bars.sort_values("timestamp", kind="stable").reset_index(drop=True)
-    close, high, low = bars["close"], bars["high"], bars["low"]
-    for period in EMA_PERIODS:
-        bars[f"ema_{period}"] = _ewm(close, 2 / (period + 1))
-    delta = close.diff().fillna(0.0)
-    for period in RSI_PERIODS:
-        gain, loss = _ewm(delta.clip(lower=0), 1 / period), _ewm((-delta).clip(lower=0), 1 / period)
-        bars[f"rsi_{period}"] = 100 - 100 / (1 + gain / loss.where(loss != 0, 1e-10))
-    bars["macd"] = _ewm(close, 2 / 13) - _ewm(close, 2 / 27)
-    bars["macd_signal"] = _ewm(bars["macd"], 2 / 10)
-    bars["macd_hist"] = bars["macd"] - bars["macd_signal"]
-    previous = close.shift(1)
-    true_range = pd.concat([high - low, (high - previous).abs(), (low - previous).abs()], axis=1).max(axis=1)
-    bars["atr_14"] = _ewm(true_range, 1 / 14)
-    bars["atr_pct"] = bars["atr_14"] / close * 100
-    up, down = high.diff().fillna(0.0), (-low.diff()).fillna(0.0)
-    plus, minus = up.where((up > down) & (up > 0), 0.0), down.where((down > up) & (down > 0), 0.0)
-    smooth = bars["atr_14"].where(bars["atr_14"] != 0, np.nan)
-    bars["di_plus"], bars["di_minus"] = 100 * _ewm(plus, 1 / 14) / smooth, 100 * _ewm(minus, 1 / 14) / smooth
-    total = bars["di_plus"] + bars["di_minus"]
-    bars["adx_14"] = _ewm((100 * (bars["di_plus"] - bars["di_minus"]).abs() / total.where(total != 0, np.nan)).fillna(0.0), 1 / 14)
-    return bars
-
-
 RECURRENT = [*(f"ema_{p}" for p in EMA_PERIODS), *(f"rsi_{p}" for p in RSI_PERIODS), "macd", "macd_signal", "macd_hist", "atr_14", "atr_pct", "di_plus", "di_minus", "adx_14"]
 
 
 def add_recurrences(bars: DataFrame, *by: str) -> DataFrame:
-    """EMA, RSI, MACD, ATR, directional indicators and ADX."""
+    """EMA, RSI, MACD, ATR, directional indicators and ADX; null for bars without close, high or low, which count as absent."""
     bars = bars.drop(*RECURRENT)
-    schema = T.StructType([*bars.schema.fields, *(T.StructField(c, T.DoubleType()) for c in RECURRENT)])
-    return bars.groupBy(*(by or series_keys(bars))).applyInPandas(_recurrences, schema)
+    columns = bars.columns
+    whole = F.col("close").isNotNull() & F.col("high").isNotNull() & F.col("low").isNotNull()
+    series = F.struct(*(by or series_keys(bars)), whole.alias("whole_"))
+    rows = blocked(numbered(bars, series, "timestamp", "close", "high", "low"))
+    before = lambda c: F.lag(c).over(in_block())
+    zero = F.lit(0.0)
+    rows = rows.withColumns({"delta_": F.coalesce(F.col("close") - before("close"), zero), "up_": F.coalesce(F.col("high") - before("high"), zero), "down_": F.coalesce(before("low") - F.col("low"), zero), "range_": F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before("close")), F.abs(F.col("low") - before("close")))})
+    up, down = F.col("up_"), F.col("down_")
+    means = {f"ema_{p}": ("close", 2 / (p + 1)) for p in (*EMA_PERIODS, 12, 26)}
+    for p in RSI_PERIODS:
+        means |= {f"gain_{p}": (F.greatest(F.col("delta_"), zero), 1 / p), f"loss_{p}": (F.greatest(-F.col("delta_"), zero), 1 / p)}
+    means |= {"atr_14": ("range_", 1 / 14), "plus_": (F.when((up > down) & (up > 0), up).otherwise(zero), 1 / 14), "minus_": (F.when((down > up) & (down > 0), down).otherwise(zero), 1 / 14)}
+    first = exponential_means(rows.where("place_ > 0"), means)
+    made = {f"rsi_{p}": 100 - 100 / (1 + F.col(f"gain_{p}") / F.when(F.col(f"loss_{p}") == 0, 1e-10).otherwise(F.col(f"loss_{p}"))) for p in RSI_PERIODS}
+    smooth = F.nullif(F.col("atr_14"), zero)
+    made |= {"macd": F.col("ema_12") - F.col("ema_26"), "atr_pct": F.col("atr_14") / F.col("close") * 100, "di_plus": 100 * F.col("plus_") / smooth, "di_minus": 100 * F.col("minus_") / smooth}
+    first = first.withColumns(made)
+    spread = F.coalesce(100 * F.abs(F.col("di_plus") - F.col("di_minus")) / F.nullif(F.col("di_plus") + F.col("di_minus"), zero), zero)
+    second = exponential_means(first, {"macd_signal": ("macd", 2 / 10), "adx_14": (spread, 1 / 14)}).withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    return second.select(*columns, *[F.when(F.col("key_.whole_"), F.col(c)).alias(c) for c in RECURRENT])
 
 
 def volatility_levels(days: DataFrame, *series: DataFrame) -> DataFrame:

@@ -81,9 +81,19 @@ def as_of(facts: DataFrame, decisions: DataFrame, key: str, fact_time: str, deci
 
 
 def window_before(bars: DataFrame, decisions: DataFrame, lookback_days: int = 252) -> DataFrame:
-    """Clean bars of each (symbol, trade_date) decision in [trade_date - lookback, trade_date)."""
+    """Clean bars of each (symbol, trade_date) decision in [trade_date - lookback, trade_date), with that trade_date.
+
+    The calendar is cut into spans as long as the lookback, so a window meets at most two of them. Decisions go to the spans that
+    they meet and join the bars by symbol and span, which gives at most twice the rows of the result; a
+    symbol's decisions are as many keys as its years have spans, and a span has no more bars than the lookback. Null symbols
+    and dates meet nothing; repeated decisions repeat their rows.
+    """
+    span = lambda day: F.floor(F.unix_date(day) / max(1, lookback_days))
+    first, last = span(F.date_sub("trade_date", lookback_days)), span(F.date_sub("trade_date", 1))
+    asked = decisions.where("trade_date IS NOT NULL").select("symbol", "trade_date", F.explode(F.sequence(first, last)).alias("span_"))
     day = F.to_date("timestamp")
-    return bars.where("is_clean").join(decisions.select("symbol", "trade_date"), "symbol").where((day >= F.date_sub("trade_date", lookback_days)) & (day < F.col("trade_date")))
+    met = bars.where("is_clean").withColumn("span_", span(day)).join(asked, ["symbol", "span_"])
+    return met.where((day >= F.date_sub("trade_date", lookback_days)) & (day < F.col("trade_date"))).drop("span_")
 
 
 def vintages_as_of(vintages: DataFrame, day: Column, lookback_days: int = 365, newest_only: bool = False) -> DataFrame:

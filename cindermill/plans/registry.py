@@ -279,9 +279,11 @@ _EMAS = {"ema_9": 2 / 10, "ema_21": 2 / 22, "ema_50": 2 / 51}
 
 
 def _timeframe_signals(spark, sf_dir) -> DataFrame:
-    ticks = A.ticks(spark, sf_dir)
-    parts = [B.from_ticks(ticks, unit).withColumn("timeframe", F.lit(tf)) for tf, unit in (("1D", "day"), ("1W", "week"), ("1M", "month"))]
-    return indicators.add_recurrences(parts[0].unionByName(parts[1]).unionByName(parts[2]), "symbol", "timeframe")
+    """Weeks and months are made of the days, so that the ticks are read and joined once."""
+    days = B.from_ticks(A.ticks(spark, sf_dir), "day", ties=True)
+    parts = [B.roll_up(days, unit).withColumn("timeframe", F.lit(tf)) for tf, unit in (("1W", "week"), ("1M", "month"))]
+    bars = days.drop("first_tie", "last_tie").withColumn("timeframe", F.lit("1D")).unionByName(parts[0]).unionByName(parts[1])
+    return indicators.add_recurrences(bars, "symbol", "timeframe")
 
 
 _TF_BARS = "SELECT *, row_number() OVER w AS rn, greatest(high - low, abs(high - lag(close) OVER w), abs(low - lag(close) OVER w)) AS tr FROM (SELECT *, '1D' AS tf FROM daily UNION ALL SELECT *, '1W' FROM weekly UNION ALL SELECT *, '1M' FROM monthly) WINDOW w AS (PARTITION BY symbol, tf ORDER BY t)"
@@ -356,7 +358,17 @@ def pair_correlations(spark, sf_dir):
     return rounded(correlate.pair_correlations(correlate.recent_returns(clean_daily(spark, sf_dir), 250)))
 
 
-@query()
+_PAIRS = "SELECT a.symbol AS a, b.symbol AS b, abs(corr(a.log_return, b.log_return)) AS s FROM ret a JOIN ret b ON a.date = b.date AND a.symbol < b.symbol WHERE a.log_return IS NOT NULL AND b.log_return IS NOT NULL GROUP BY 1, 2"
+_SIZE = "SELECT count(*) AS n, least(10, greatest(2, count(*) // 2)) AS k FROM (SELECT a FROM p UNION SELECT b FROM p)"
+_NEXT = "min({'d': 1 - s / (na * nb), 'a': a, 'b': b, 'n': na + nb})"
+_LINK = f"""SELECT 0 AS step, a, b, s, 1::BIGINT AS na, 1::BIGINT AS nb FROM p WHERE s > 0
+UNION ALL SELECT step + 1, least(x, y), greatest(x, y), sum(s), max(CASE WHEN x < y THEN nx ELSE ny END), max(CASE WHEN x < y THEN ny ELSE nx END) FROM (
+SELECT step, s, CASE WHEN a = m.b THEN m.a ELSE a END AS x, CASE WHEN b = m.b THEN m.a ELSE b END AS y, CASE WHEN a IN (m.a, m.b) THEN m.n ELSE na END AS nx, CASE WHEN b IN (m.a, m.b) THEN m.n ELSE nb END AS ny FROM (SELECT *, {_NEXT} OVER () AS m FROM st)), z WHERE x <> y AND step + 1 < z.n - z.k GROUP BY 1, 2, 3"""
+_MERGED = f"SELECT step, m.a AS a, m.b AS b FROM (SELECT step, {_NEXT} AS m FROM st GROUP BY step)"
+_UP = "SELECT symbol, symbol AS root, 0 AS hops FROM (SELECT a AS symbol FROM p UNION SELECT b FROM p) UNION ALL SELECT up.symbol, g.a, hops + 1 FROM up JOIN g ON g.b = up.root"
+
+
+@query(sql("SELECT r.symbol, CAST(dense_rank() OVER (ORDER BY root) - 1 AS BIGINT) AS cluster_id, round(t.s / (z.n - 1), 4) AS correlation_avg, count(*) OVER (PARTITION BY root) AS n_cluster_members FROM (SELECT symbol, arg_max(root, hops) AS root FROM up GROUP BY symbol) r JOIN (SELECT symbol, sum(s) AS s FROM (SELECT a AS symbol, s FROM p UNION ALL SELECT b, s FROM p) GROUP BY 1) t ON t.symbol = r.symbol, z", "clean", recursive=True, ret=_RET, p=_PAIRS, z=_SIZE, st=_LINK, g=_MERGED, up=_UP))
 def correlation_clusters(spark, sf_dir):
     return rounded(correlate.clusters(correlate.pair_correlations(correlate.recent_returns(clean_daily(spark, sf_dir), 250))))
 
@@ -429,13 +441,20 @@ def walk_forward_consistency(spark, sf_dir):
     return rounded(evaluate.walk_forward_consistency(windows))
 
 
-@query()
+_SCORED_DAYS = "SELECT m.symbol, CAST(year(m.t) AS INT) AS win, CAST(m.t AS DATE) AS date, m.close, CAST(3 * CASE WHEN m.close > ema_50 AND ema_9 > ema_21 THEN 1 WHEN m.close < ema_50 AND ema_9 < ema_21 THEN -1 ELSE 0 END + CASE WHEN 100 - 100 / (1 + g14 / CASE WHEN l14 = 0 THEN 1e-10 ELSE l14 END) > 50 THEN 2 ELSE -2 END + sign(macd - macd_signal) AS INT) AS score, row_number() OVER (PARTITION BY m.symbol, year(m.t) ORDER BY m.t) AS k, count(*) OVER (PARTITION BY m.symbol, year(m.t)) AS n FROM m JOIN s ON m.symbol = s.symbol AND m.rn = s.rn"
+_ENTER = "CASE WHEN abs(d.score) >= 5 AND d.k < d.n THEN sign(d.score) ELSE 0 END"
+_LEAVE = "CASE WHEN d.score * h.held < 0 THEN 'flip' WHEN abs(d.score) < 4 THEN 'grade' WHEN d.k = d.n THEN 'window_end' END"
+_HOLD = f"""SELECT symbol, win, k, date, close, {_ENTER} AS held, date AS entry_date, close AS entry_price, NULL::VARCHAR AS reason, 0 AS was FROM d WHERE k = 1
+UNION ALL SELECT d.symbol, d.win, d.k, d.date, d.close, CASE WHEN h.held = 0 THEN {_ENTER} WHEN {_LEAVE} IS NULL THEN h.held ELSE 0 END, CASE WHEN h.held = 0 THEN d.date ELSE h.entry_date END, CASE WHEN h.held = 0 THEN d.close ELSE h.entry_price END, CASE WHEN h.held <> 0 THEN {_LEAVE} END, h.held FROM h JOIN d ON d.symbol = h.symbol AND d.win = h.win AND d.k = h.k + 1"""
+
+
+@query(sql("SELECT symbol, win AS \"window\", CAST(was AS INT) AS direction, entry_date, date AS exit_date, round(entry_price, 8) AS entry_price, round(close, 8) AS exit_price, CAST(date_diff('day', entry_date, date) AS INT) AS hold_days, reason AS exit_reason, CAST(floor(10000 / entry_price) AS BIGINT) AS qty, round(was * (close - entry_price) * floor(10000 / entry_price), 8) AS pnl, round(was * (close / entry_price - 1), 8) AS pnl_pct FROM h WHERE reason IS NOT NULL", "clean", recursive=True, i=_INPUTS, r=_WALK, m=_MADE, s=_MORE, d=_SCORED_DAYS, h=_HOLD))
 def signal_episodes(spark, sf_dir):
     signs = indicators.add_recurrences(clean_daily(spark, sf_dir).where("is_clean"))
     score = signals.trend() * 3 + F.when(F.col("rsi_14") > 50, 2).otherwise(-2) + F.signum("macd_hist").cast("int")
     size = F.abs("mtf_score")
     rows = signs.select("symbol", F.year("timestamp").alias("window"), F.to_date("timestamp").alias("date"), "close", score.alias("mtf_score")).withColumn("signal_quality", F.when(size >= 6, "A").when(size == 5, "B").when(size == 4, "C").otherwise("D"))
-    return rounded(evaluate.with_pnl(evaluate.episodes(rows)))
+    return rounded(evaluate.with_pnl(evaluate.episodes(rows)), 8)
 
 
 # dimension
