@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cindermill.sources import versions
+from cindermill.sources.scratch import Scratch
+
 CONTEXT = "context"
 VIEWS = ("v_ohlcv_1D", "v_ohlcv_1H", "v_ohlcv_all", "v_macro_enriched", "v_macro_regime", "v_mtf_alignment", "v_tech_signals_1D", "v_sector_weights", "v_correlation", "v_screener", "v_sentiment", "v_active_symbols", "v_watchlist_latest")
 
 
 def scan(spark: SparkSession, root: str, **partition) -> DataFrame:
-    """A layer table; named partition values prune its files."""
-    df = spark.read.parquet(root)
+    """A layer table, of versions the newest; named partition values prune its files."""
+    df = versions.read(spark, root) if exists(spark, f"{root}/commits") else spark.read.parquet(root)
     for name, value in partition.items():
         df = df.where(F.col(name).isin(*value) if isinstance(value, (list, tuple)) else F.col(name) == value)
     return df
@@ -47,6 +50,7 @@ def append_new(df: DataFrame, path: str, keys: list[str], partitions: list[str],
         if same:
             present = present.join(F.broadcast(df.select(*same).distinct()), same, "left_semi")
         fresh = fresh.join(present.select(*keys).distinct(), keys, "left_anti")
+    fresh = Scratch(spark).keep("appended", fresh)  # what is written and what is returned are the same rows, with one time of ingestion
     fresh.write.mode("append").partitionBy(*partitions).option("compression", "snappy").parquet(path)
     return fresh
 
@@ -90,7 +94,10 @@ def file_freshness(spark: SparkSession, path: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Replace a whole table: the old one is there until the new one is complete, but for the moment between two renames."""
+    """Replace a plain Parquet table: the old one is there until the new one is complete, but for the moment between two renames.
+
+    `publish` has no such moment; its tables are read by `scan`.
+    """
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     target, staged, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path.rstrip('/')}.staged", f"{path.rstrip('/')}.old"))
@@ -115,3 +122,19 @@ def try_replace_table(df: DataFrame, path: str) -> bool:
     except (OSError, PySparkException, Py4JError):
         return False
     return True
+
+
+def publish(df: DataFrame, path: str, *partitions: str, whole: bool = True) -> bool:
+    """A new version of a table (`versions`), of these rows alone or with them in place of their partitions.
+
+    Readers see the old rows or the new ones, at no time neither; a write that fails, or that another
+    writer came before, leaves the newest version and gives False.
+    """
+    from py4j.protocol import Py4JError
+    from pyspark.errors import PySparkException
+
+    try:
+        (versions.replace if whole else versions.replace_partitions)(df, path, *partitions)
+    except (OSError, PySparkException, Py4JError, versions.Conflict):
+        return False
+    return True
