@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,21 +33,22 @@ CAPACITY, RUN_TOKENS = 2048, 1 << 20
 SENTENCE, WITHIN = 4, 32  # penalties in ids of padding
 
 
-def sentence_marks(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By id: whether a token ends a sentence if white space follows, whether it begins with white space, whether it breaks a line."""
-    size = max(ranks.values()) + 2
-    stops, space, breaks = np.zeros(size, bool), np.zeros(size, bool), np.zeros(size, bool)
+STOP, SPACE, BREAK = 1, 2, 4
+
+
+def sentence_marks(ranks: dict[bytes, int], size: int) -> np.ndarray:
+    """By id, as bits: it ends a sentence if white space follows, it begins with white space, it breaks a line."""
+    marks = np.zeros(size, np.uint8)
     for token, rank in ranks.items():
-        stops[rank] = token.rstrip(b"\"')]").endswith((b".", b"!", b"?"))
-        space[rank] = token[:1].isspace()
-        breaks[rank] = b"\n" in token
-    return stops, space, breaks
+        marks[rank] = STOP * token.rstrip(b"\"')]").endswith((b".", b"!", b"?")) | SPACE * token[:1].isspace() | BREAK * (b"\n" in token)
+    return marks
 
 
-def sentence_ends(ids: np.ndarray, marks: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-    """Places behind the ids of one document (without its end token) that end a sentence."""
-    stops, space, breaks = (mark[np.minimum(ids, len(mark) - 1)] for mark in marks)
-    return np.flatnonzero((stops[:-1] & space[1:]) | (breaks[:-1] & ~breaks[1:])) + 1
+def sentence_ends(ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """For every id but the last whether a sentence ends behind it."""
+    bits = marks[ids]
+    here, next_ = bits[:-1], bits[1:]
+    return ((here & STOP & next_ >> 1) | (here & ~next_) >> 2).astype(bool)
 
 
 def cut_places(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY, within: int = WITHIN) -> tuple[np.ndarray, np.ndarray]:
@@ -62,44 +62,47 @@ def cut_places(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACI
     return places, penalties
 
 
-def unpadded(places: np.ndarray, capacity: int) -> tuple[list[int], list[int]]:
-    """Numbers (j, i) of places a power of two apart, i before j, in order of j; place 0 has number 0, others count from 1."""
+def unpadded(places: np.ndarray, capacity: int) -> tuple[list[int], list[int], list[int]]:
+    """(j, i, power): numbers of places a power of two apart, i before j, in order of j; place 0 has number 0, others count from 1."""
     whole = np.concatenate([[0], places])
-    ends, begins = [], []
+    number = np.full(whole[-1] + 1, -1, np.int32)
+    number[whole] = np.arange(len(whole))
+    found = []
     for power in (1 << k for k in range(capacity.bit_length())):
-        at = np.searchsorted(whole, whole - power)
-        found = np.flatnonzero(whole[at] == whole - power)
-        ends.append(found)
-        begins.append(at[found])
-    ends, begins = np.concatenate(ends), np.concatenate(begins)
-    order = np.argsort(ends, kind="stable")
-    return ends[order].tolist(), begins[order].tolist()
+        later = np.searchsorted(whole, power)
+        at = number[whole[later:] - power]
+        some = np.flatnonzero(at >= 0)
+        found.append(np.stack([some + later, at[some], np.full(len(some), power)]))
+    pairs = np.concatenate(found, axis=1)
+    return tuple(pairs[:, np.argsort(pairs[0], kind="stable")].tolist())
 
 
 def cheapest_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY) -> list[int]:
     """The places of the cheapest cuts from 0 to the last place; no two neighbouring places may be more than capacity apart."""
-    ends, begins = unpadded(places, capacity)
+    ends, begins, powers = unpadded(places, capacity)
     ends.append(-1)
-    at, cost, back, pair = [0, *places.tolist()], [0], [-1], 0
-    queue = deque([0])  # candidates i with rising cost + place
-    for k, (place, penalty) in enumerate(zip(at[1:], penalties.tolist()), 1):
-        while at[queue[0]] < place - capacity:
-            queue.popleft()
-        begin = queue[0]
-        least = cost[begin] + at[begin] + capacity - place
+    # worth is cost plus place, so that a padded window adds capacity to it and an unpadded one its length
+    at, worth, back, pair = [0, *places.tolist()], [0], [-1], 0
+    queue, head, k = [0], 0, 0  # numbers with rising worth
+    for place, penalty in zip(places.tolist(), penalties.tolist()):
+        k += 1
+        low = place - capacity
+        while at[queue[head]] < low:
+            head += 1
+        begin = queue[head]
+        value = worth[begin] + capacity
         while ends[pair] == k:
             i = begins[pair]
+            if worth[i] + powers[pair] < value:
+                begin, value = i, worth[i] + powers[pair]
             pair += 1
-            if cost[i] < least:
-                least, begin = cost[i], i
-        least += penalty
-        cost.append(least)
+        value += penalty
+        worth.append(value)
         back.append(begin)
-        value = least + place
-        while queue and cost[queue[-1]] + at[queue[-1]] >= value:
+        while len(queue) > head and worth[queue[-1]] >= value:
             queue.pop()
         queue.append(k)
-    cuts, k = [], len(at) - 1
+    cuts = []
     while k > 0:
         cuts.append(at[k])
         k = back[k]
@@ -109,26 +112,29 @@ def cheapest_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int = CAP
 class Run:
     """Documents of one run, as far as they have come."""
 
-    def __init__(self, sentence: int):
-        self.sentence, self.size = sentence, 0
-        self.ids: list[bytes] = []
-        self.ends: list[int] = []
-        self.places: list[np.ndarray] = []
-        self.penalties: list[np.ndarray] = []
-
-    def add(self, ids: bytes, sentences: np.ndarray) -> None:
-        """A document's ids with the end token, and the places behind its sentences."""
-        n = len(ids) // 4
-        inner = sentences[sentences < n - 1]
+    def __init__(self):
+        self.size, self.ids, self.ends = 0, [], []
+
+    def add(self, ids: bytes) -> None:
+        """A document's ids with the end token."""
         self.ids.append(ids)
-        self.places.append(np.append(inner, n) + self.size)
-        self.penalties.append(np.append(np.full(len(inner), self.sentence), 0))
-        self.size += n
+        self.size += len(ids) // 4
         self.ends.append(self.size)
 
-    def pieces(self, capacity: int, within: int, first: int) -> Iterator[tuple[int, int, int, int, int, int, int]]:
+    def candidates(self, marks: np.ndarray, sentence: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places to cut at, with penalties: the ends of documents and of sentences, but none before an end token."""
+        ends = np.array(self.ends)
+        open_ = np.append(sentence_ends(np.frombuffer(b"".join(self.ids), "<u4"), marks), False)
+        open_[np.maximum(ends - 2, 0)] = False
+        open_[ends - 1] = True
+        places = np.flatnonzero(open_) + 1
+        penalties = np.full(len(places), sentence)
+        penalties[np.searchsorted(places, ends)] = 0
+        return places, penalties
+
+    def pieces(self, marks: np.ndarray, sentence: int, capacity: int, within: int, first: int) -> Iterator[tuple[int, int, int, int, int, int, int]]:
         """(number of the document, start, length, crc32, tokens of the document, sequence, offset); sequences are counted from `first`."""
-        cuts = cheapest_cuts(*cut_places(np.concatenate(self.places), np.concatenate(self.penalties), capacity, within), capacity)
+        cuts = cheapest_cuts(*cut_places(*self.candidates(marks, sentence), capacity, within), capacity)
         sequence, begin, upto = first, 0, iter(cuts)
         end = next(upto)
         low = 0
@@ -149,22 +155,22 @@ def pack_in_order(df: DataFrame, path: str, pattern: str, capacity: int = CAPACI
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, marks = kept_by_worker(mark, lambda: (id_encoder(shared.value), sentence_marks(shared.value[0])))
+        encode, marks = kept_by_worker(mark, lambda: (id_encoder(shared.value), sentence_marks(shared.value[0], 1 + max(end_id, *shared.value[0].values(), *shared.value[2].values()))))
         end, sequence = np.array([end_id], dtype="<u4").tobytes(), TaskContext.get().partitionId() << 40
-        held, keys = Run(sentence), []
+        held, keys = Run(), []
 
         def close() -> pa.RecordBatch:
             nonlocal sequence, held, keys
-            columns = list(zip(*held.pieces(capacity, within, sequence)))
+            columns = list(zip(*held.pieces(marks, sentence, capacity, within, sequence)))
             sequence = columns[5][-1] + 1
             ids = pa.concat_arrays(keys).take(pa.array(columns[0], pa.int64()))
-            held, keys = Run(sentence), []
+            held, keys = Run(), []
             return pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in columns[1:])], names=["doc_id", *names])
 
         for batch in batches:
             taken = 0
             for row, ids in enumerate(encode(batch.column(1)), 1):
-                held.add(ids + end, sentence_ends(np.frombuffer(ids, "<u4"), marks))
+                held.add(ids + end)
                 if held.size >= run_tokens:
                     keys.append(batch.column(0).slice(taken, row - taken))
                     taken = row

@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -64,25 +66,44 @@ def shared_encoder(df: DataFrame, path: str, pattern: str, added_tokens: bool =
     return df.sparkSession.sparkContext.broadcast((tokenizer_ranks(path), pattern, added_token_ids(path) if added_tokens else {}))
 
 
+#: Packs ids as unsigned 32-bit numbers; machines with the other byte order swap them.
+_UINT32 = (lambda ids: array("I", ids)) if sys.byteorder == "little" else (lambda ids: np.array(ids, dtype="<u4"))
+
+
+class KnownChunks(dict):
+    """Packed ids of chunks that follow a space, encoded when first asked for; forgets all of them at `most`."""
+
+    def __init__(self, encode: Callable[[str], bytes], most: int = 300_000):
+        super().__init__()
+        self.encode, self.most = encode, most
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        made = self[chunk] = self.encode(" " + chunk)
+        return made
+
+
 def id_encoder(spec: tuple[dict[bytes, int], str, dict[str, int]]) -> Callable[[pa.Array], Iterator[bytes]]:
-    """Turns a column of texts into their packed little-endian 32-bit ids; words are cached over columns."""
+    """Turns a column of texts into their packed little-endian 32-bit ids; chunks are known over columns."""
     import tiktoken
 
     ranks, pattern, added = spec
-    encode = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    encoder = ChunkEncoder(lambda chunks: {chunk: np.array(encode(chunk), dtype="<u4").tobytes() for chunk in chunks}, 300_000)
+    encode_ordinary = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encode = lambda chunk: _UINT32(encode_ordinary(chunk)).tobytes()
+    known, cut = KnownChunks(encode), ChunkEncoder.cut
     literals = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
     packed = {literal: np.array([i], dtype="<u4").tobytes() for literal, i in added.items()}
 
-    def plain(values: Iterator[str]) -> Iterator[str]:
-        """What stands between the literals of each text, in order."""
-        for text in values:
-            yield from literals.split(text)
+    def plain(text: str) -> bytes:
+        first, *rest = cut(text)
+        return b"".join([encode(first), *map(known.__getitem__, rest)])
 
     def of(column: pa.Array) -> Iterator[bytes]:
-        parts = encoder.of(plain(texts(column)))
         for text in texts(column):
-            yield b"".join([*next(parts), *(x for literal in literals.findall(text) for x in (packed[literal], *next(parts)))])
+            between = literals.split(text)
+            ids = plain(between[0])
+            yield ids if len(between) == 1 else ids + b"".join(packed[literal] + plain(part) for literal, part in zip(literals.findall(text), between[1:]))
 
     return of
 
