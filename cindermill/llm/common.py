@@ -58,5 +58,13 @@ def texts(column: pa.Array) -> Iterator[str]:
         yield "" if text is None else text
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores until df has no such column in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def unsigned_crc32(data: bytes) -> int:
     return binascii.crc32(data) & 0xFFFFFFFF

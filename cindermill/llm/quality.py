@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import materialise
+from cindermill.llm.common import materialise, unused
 
 ORDER = 5
 SLICE = 1 << 21
@@ -198,7 +198,7 @@ def score_by_blocks(docs: DataFrame, probabilities: DataFrame, block_bytes: int
     """doc_id, lang, model, bits per byte, with requests of blocks of documents joined to the probabilities."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    blocked = _plain(docs, F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).alias("block"))
+    blocked = _plain(docs, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
 
     def ask(group: pa.Table) -> pa.Table:
         found = np.empty(0, dtype=np.int64)
@@ -281,5 +281,6 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, quantile: float = 0.995, marg
 
 def keep_documents(docs: DataFrame, trusted_ids: DataFrame, **options) -> DataFrame:
     """The documents that `judge` keeps, with all their columns."""
-    kept = judge(docs, trusted_ids, **options).where("keep").select(F.col("doc_id").alias("kept_")).distinct()
-    return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(F.col("kept_")), "left_semi")
+    name = unused(docs, "kept_")
+    kept = judge(docs, trusted_ids, **options).where("keep").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(F.col(name)), "left_semi")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import materialise, texts
+from cindermill.llm.common import materialise, texts, unused
 
 POSITIONS = 8
 BLOCK = 1 << 16
@@ -144,12 +144,13 @@ def row_key(key: str, text: str) -> Column:
 
 
 def keep_rows(df: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFrame:
-    """The rows whose row_key is among the chosen ones in column row_; of rows with equal key and text one stays."""
-    wanted = chosen.select(F.col("row_.id").alias("id_"), F.col("row_.mark").alias("mark_"))
-    marked = df.withColumn("row_mark_", F.xxhash64(text))
-    kept = marked.join(wanted.hint("merge"), F.col(key).eqNullSafe(F.col("id_")) & (F.col("row_mark_") == F.col("mark_")), "left_semi")
-    repeated = marked.groupBy(key, "row_mark_").count().where("count > 1").limit(1).count()
-    return (kept.dropDuplicates([key, "row_mark_"]) if repeated else kept).drop("row_mark_")
+    """The rows whose row_key is among the chosen ones in column row_; of rows with equal key and text one stays. Helper columns have names that df has not."""
+    mark, wanted_id, wanted_mark = (unused(df, name) for name in ("row_mark_", "id_", "mark_"))
+    wanted = chosen.select(F.col("row_.id").alias(wanted_id), F.col("row_.mark").alias(wanted_mark))
+    marked = df.withColumn(mark, F.xxhash64(text))
+    kept = marked.join(wanted.hint("merge"), F.col(key).eqNullSafe(F.col(wanted_id)) & (F.col(mark) == F.col(wanted_mark)), "left_semi")
+    repeated = marked.groupBy(key, mark).count().where("count > 1").limit(1).count()
+    return (kept.dropDuplicates([key, mark]) if repeated else kept).drop(mark)
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
