@@ -137,15 +137,22 @@ def expected_bars(block: Column, market: Column) -> Column:
     return total
 
 
-def four_hour(bars: DataFrame, market: Column | None = None) -> DataFrame:
-    """1H to 4H: first, max, min, last, sum and VWAP by block, with bar_count and is_incomplete_bar.
-
-    Works on a streaming DataFrame too, if it carries a watermark on timestamp.
-    """
+def block_measures() -> list[Column]:
+    """What a block of hourly bars is aggregated to."""
     volume = F.sum("volume")
-    grouped = bars.groupBy("symbol", block_start(F.col("timestamp")).alias("block")).agg(F.min_by("open", "timestamp").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "timestamp").alias("close"), volume.alias("volume"), F.when(volume > 0, F.sum(_typical() * F.col("volume")) / volume).alias("vwap"), F.count("*").alias("bar_count"))
-    expected = expected_bars(F.col("block"), F.lit("") if market is None else market)
-    return grouped.withColumn("expected_bars", expected).withColumn("is_incomplete_bar", (F.col("expected_bars") > 0) & (F.col("bar_count") < F.col("expected_bars"))).withColumnRenamed("block", "timestamp")
+    return [F.min_by("open", "timestamp").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "timestamp").alias("close"), volume.alias("volume"), F.when(volume > 0, F.sum(_typical() * F.col("volume")) / volume).alias("vwap"), F.count("*").alias("bar_count")]
+
+
+def add_completeness(blocks: DataFrame, market: Column | None = None) -> DataFrame:
+    """expected_bars and is_incomplete_bar by the market's session."""
+    expected = expected_bars(F.col("timestamp"), F.lit("") if market is None else market)
+    return blocks.withColumn("expected_bars", expected).withColumn("is_incomplete_bar", (F.col("expected_bars") > 0) & (F.col("bar_count") < F.col("expected_bars")))
+
+
+def four_hour(bars: DataFrame, market: Column | None = None) -> DataFrame:
+    """1H to 4H: first, max, min, last, sum and VWAP by block, with bar_count and is_incomplete_bar; `streaming.bars` has the same over streams."""
+    grouped = bars.groupBy("symbol", block_start(F.col("timestamp")).alias("block")).agg(*block_measures())
+    return add_completeness(grouped.withColumnRenamed("block", "timestamp"), market)
 
 
 def silver_four_hour(bars: DataFrame, market: Column | None = None) -> DataFrame:

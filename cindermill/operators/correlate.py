@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cindermill.sources.scratch import Scratch
@@ -16,17 +18,65 @@ def recent_returns(bars: DataFrame, lookback: int = 65) -> DataFrame:
     return bars.where("is_clean").withColumn("rn", F.row_number().over(newest)).where(F.col("rn") <= lookback).select("symbol", F.to_date("timestamp").alias("date"), "log_return")
 
 
-def pair_correlations(returns: DataFrame, min_history: int = 52, blocks: int = 8) -> DataFrame:
+def _gram_sums(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Sums over the dates that two symbols have in common, for all pairs of two blocks, a before b by name."""
+    sides = []
+    for side in (left, right):
+        names, column = np.unique(np.array(side.column("symbol").to_pylist(), dtype=object), return_inverse=True)
+        values, there = np.zeros((DATES, len(names))), np.zeros((DATES, len(names)))
+        at = (side.column("day").to_numpy(), column)
+        values[at], there[at] = side.column("log_return").to_numpy(), 1.0
+        sides.append((names, values, there))
+    (names, x, m), (others, y, k) = sides
+    sums = [m.T @ k, x.T @ k, m.T @ y, (x * x).T @ k, m.T @ (y * y), x.T @ y]
+    i, j = np.nonzero(sums[0])
+    a, b = names[i], others[j]
+    own = left.column("a")[0].as_py() == left.column("b")[0].as_py()  # a block with itself has every pair twice
+    kept = (a < b) if own else np.ones(len(a), bool)
+    i, j, a, b = i[kept], j[kept], a[kept], b[kept]
+    swap = a > b
+    n, sx, sy, sxx, syy, sxy = (matrix[i, j] for matrix in sums)
+    pick = lambda one, other: np.where(swap, other, one)
+    columns = [pick(a, b), pick(b, a), n.astype(np.int64), pick(sx, sy), pick(sy, sx), pick(sxx, syy), pick(syy, sxx), sxy]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), *[pa.float64()] * 5))], names=["symbol_a", "symbol_b", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+
+DATES, SYMBOLS = 256, 256
+
+
+def pair_correlations(returns: DataFrame, min_history: int = 52, blocks: int | None = None) -> DataFrame:
     """symbol_a < symbol_b with Pearson correlation over common dates and their number; symbols need 0.8 of the history.
 
-    The matrix of all symbol pairs is what is asked for; its rows are made per date and added up before the shuffle.
-    A date's pairs are dealt by the blocks of both symbols, in blocks ** 2 parts instead of one.
+    The matrix of all symbol pairs is what is asked for. Returns are cut into blocks of dates and of symbols; every two blocks
+    of symbols meet on a block of dates, as two small matrices of which the products are the pairs' sums, and these add up over the
+    dates. A return is sent once for each block of symbols, not once for each pair; blocks have about SYMBOLS of them unless
+    their number is given. One return a symbol and date; null without variance.
     """
     enough = returns.groupBy("symbol").agg(F.count("log_return").alias("n")).where(F.col("n") >= 0.8 * min_history).select("symbol")
-    kept = returns.join(enough, "symbol", "left_semi").where("log_return IS NOT NULL")
-    block, others = F.pmod(F.xxhash64("symbol"), F.lit(blocks)), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))
-    a, b = (kept.select("date", F.col("symbol").alias(f"symbol_{x}"), F.col("log_return").alias(f"r_{x}"), block.alias(f"block_{x}"), others.alias(f"block_{y}")) for x, y in ("ab", "ba"))
-    return a.join(b, ["date", "block_a", "block_b"]).where("symbol_a < symbol_b").groupBy("symbol_a", "symbol_b").agg(F.corr("r_a", "r_b").alias("correlation"), F.count("*").alias("n_obs"))
+    blocks = blocks or max(1, -(-enough.count() // SYMBOLS))
+    day = F.unix_date("date")
+    cells = returns.where("symbol IS NOT NULL AND date IS NOT NULL AND log_return IS NOT NULL").join(enough, "symbol", "left_semi").select("symbol", "log_return", F.floor(day / DATES).alias("span"), F.pmod(day, F.lit(DATES)).alias("day"), F.pmod(F.xxhash64("symbol"), F.lit(blocks)).alias("own"))
+    meets = lambda low, high: F.explode(F.sequence(low, high))
+    fields = ("symbol", "log_return", "span", "day")
+    left = cells.select(*fields, F.col("own").alias("a"), meets(F.col("own"), F.lit(blocks - 1).cast("long")).alias("b"))
+    # new names for the same columns, or the two sides could not be told apart
+    right = cells.select(*[F.col(c).alias(c) for c in fields], F.col("own").alias("b"), meets(F.lit(0).cast("long"), F.col("own")).alias("a"))
+    keys = ("span", "a", "b")
+    kinds = "symbol_a string, symbol_b string, n long, sx double, sy double, sxx double, syy double, sxy double"
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _gram_sums(left, right) if left.num_rows and right.num_rows else pa.table({name: pa.array([], kind) for name, kind in zip(kinds.replace(",", "").split()[::2], (pa.string(), pa.string(), pa.int64(), *[pa.float64()] * 5))})
+
+    sums = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, kinds).groupBy("symbol_a", "symbol_b").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n = F.col("n")
+
+    def variance(c: str) -> Column:
+        squares = n * F.col(f"s{c}{c}")
+        spread = squares - F.col(f"s{c}") * F.col(f"s{c}")
+        return F.when(spread > 1e-14 * squares, spread).alias(f"var_{c}")
+
+    sums = sums.select("symbol_a", "symbol_b", n.alias("n_obs"), (n * F.col("sxy") - F.col("sx") * F.col("sy")).alias("both"), variance("x"), variance("y"))
+    return sums.select("symbol_a", "symbol_b", (F.col("both") / F.sqrt(F.col("var_x")) / F.sqrt(F.col("var_y"))).alias("correlation"), "n_obs")
 
 
 def linkage(pairs: DataFrame, *scope: str) -> tuple[DataFrame, DataFrame]:

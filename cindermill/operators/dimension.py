@@ -76,17 +76,70 @@ def _violations(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return rows.select("symbol", F.explode(broken).alias("rule"))
 
 
-def layer_one_violations(rows: DataFrame, markets: tuple[str, ...]) -> DataFrame:
-    """Required fields, unsafe characters, unknown markets, suffixes, repeats within a market."""
-    rules = {"no symbol": F.coalesce(F.trim("symbol"), F.lit("")) == "", "unsafe characters": F.col("symbol").rlike(r"[^A-Za-z0-9._#=^-]"), "unknown market": ~F.coalesce(F.col("market").isin(*markets), F.lit(False)), "no sector": (F.col("market") == "us_stocks") & F.col("sector").isNull(), "suffix in symbol": F.col("symbol").rlike(r"(\.JK|=X|=F)$")}
-    repeated = rows.groupBy("symbol", "market").count().where("count > 1").select("symbol", F.lit("repeated in market").alias("rule"))
-    return _violations(rows, rules).unionByName(repeated)
-
-
-def layer_two_violations(rows: DataFrame, subcategories: DataFrame) -> DataFrame:
-    """Subcategories that are not declared or not used, deferred rows without a proxy, rates with bars, repeats."""
-    rules = {"deferred without proxy": F.col("deferred") & F.col("proxy").isNull(), "rates with bars": (F.col("subcategory") == "policy_rates") & F.col("has_bars"), "zero weight": F.coalesce(F.col("weight"), F.lit(0.0)) <= 0}
-    parts = [_violations(rows, rules), rows.join(subcategories, "subcategory", "left_anti").select("symbol", F.lit("undeclared subcategory").alias("rule")), subcategories.join(rows.select("subcategory"), "subcategory", "left_anti").select(F.col("subcategory").alias("symbol"), F.lit("unused subcategory").alias("rule")), rows.groupBy("symbol").count().where("count > 1").select("symbol", F.lit("repeated").alias("rule"))]
+#: The fields that a market's instruments need, how their API symbols begin or end and the one that need not,
+#: symbols that belong to the context layer alone, and the roles and subcategories of commodities.
+REQUIRED = {"us_stocks": ("symbol",), "idx_stocks": ("symbol", "yfinance_symbol"), "commodity": ("symbol", "yfinance_symbol", "commodity_role", "commodity_subcategory"), "forex": ("symbol", "raw_symbol", "yfinance_symbol")}
+API_FORMS = {"idx_stocks": r"\.JK$", "forex": "=X$", "commodity": "=F$", "index": r"^\^"}
+DOLLAR_INDEX = "DX-Y.NYB"
+RECLASSIFIED = ("SPX", "VIX", "DXY")
+ROLES = ("trading", "context")
+COMMODITIES = ("energy", "precious_metals", "base_metals", "agricultural", "bulks")
+#: Subcategories of the context layer that have no weight, no forecasts, and no bars; the name that one had before;
+#: and the central banks that two of them have.
+WEIGHTLESS = ("context_dollar_basket", "context_fx_normalization")
+NO_FORECAST = ("context_etf_broad", "context_etf_sector", "context_etf_factor", "context_fx_normalization")
+NO_BARS = ("context_rates_fed", "context_rates_curve", "context_rates_spread", "context_rates_dm_cb", "context_rates_em_cb")
+RENAMED = "context_rates_policy"
+BANKS = {"context_rates_dm_cb": 9, "context_rates_em_cb": 3}
+
+
+def _filled(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit("")) != ""
+
+
+def _taxonomy() -> dict[str, Column]:
+    return {"unknown commodity role": ~F.col("commodity_role").isin(*ROLES), "unknown commodity subcategory": ~F.col("commodity_subcategory").isin(*COMMODITIES)}
+
+
+def _repeated(rows: DataFrame, group: str, rule: str) -> DataFrame:
+    return rows.groupBy("symbol", group).count().where("count > 1").select("symbol", F.lit(rule).alias("rule"))
+
+
+def layer_one_violations(rows: DataFrame, required: dict[str, tuple[str, ...]] = REQUIRED) -> DataFrame:
+    """symbol, rule for instruments (market, symbol, yfinance_symbol, ...) of the traded layer.
+
+    Fields that a market needs, "." and "/" in symbols, forms of API symbols (an empty one has none), the taxonomy of commodities,
+    repeats within a market, and symbols that belong to the context layer. A field that no row has is a null column to add. Rows of
+    markets not listed in `required` are not looked at.
+    """
+    known = rows.where(F.col("market").isin(*required))
+    rules = {f"no {field}": F.col("market").isin(*[m for m, fields in required.items() if field in fields]) & F.col(field).isNull() for field in sorted({f for fields in required.values() for f in fields})}
+    rules["unsafe character"] = F.col("symbol").rlike("[./]")
+    for market, form in API_FORMS.items():
+        free = F.col("yfinance_symbol") == DOLLAR_INDEX if market in ("forex", "index") else F.lit(False)
+        rules[f"api symbol of {market}"] = (F.col("market") == market) & _filled("yfinance_symbol") & ~F.col("yfinance_symbol").rlike(form) & ~free
+    rules |= {name: (F.col("market") == "commodity") & broken for name, broken in _taxonomy().items()}
+    rules["reclassified"] = F.col("symbol").isin(*RECLASSIFIED)
+    return _violations(known, rules).unionByName(_repeated(known, "market", "repeated in market"))
+
+
+def layer_two_violations(rows: DataFrame, groups: DataFrame, expected: DataFrame) -> DataFrame:
+    """symbol, rule for the context layer; rules of a group come under its subcategory.
+
+    rows: subcategory, parent and the fields of an instrument. groups: subcategory, contributes_to and central_banks (arrays).
+    expected: the subcategories that there have to be. Deferred instruments need a reason and a wave, proxies their instrument and
+    expected correlation, commodities their taxonomy; groups for rates have no instruments, some are out of forecasts, and
+    two must not contribute to any score.
+    """
+    deferred, proxy, commodity = F.col("context_available") == False, _filled("proxy_for"), F.col("parent") == "commodity"  # noqa: E712
+    rules = {"no symbol": F.col("symbol").isNull(), "deferred without reason": deferred & ~_filled("deferred_reason"), "deferred without wave": deferred & F.col("planned_wave").isNull(), "proxy without instrument": proxy & ~_filled("proxy_instrument"), "proxy without correlation": proxy & F.col("proxy_correlation_expected").isNull(), "no commodity role": commodity & ~_filled("commodity_role"), "no commodity subcategory": commodity & ~_filled("commodity_subcategory"), "instrument of a rates group": F.col("subcategory").isin(*NO_BARS), "in forecasts": F.col("subcategory").isin(*NO_FORECAST) & F.coalesce("include_in_forecast", F.lit(True))}
+    rules |= {name: commodity & broken for name, broken in _taxonomy().items()}
+    named = groups.withColumn("symbol", F.col("subcategory"))
+    n_banks = F.when(F.col("central_banks").isNull(), 0).otherwise(F.size("central_banks"))
+    of_groups = {"contributes to a score": F.col("subcategory").isin(*WEIGHTLESS) & F.coalesce(F.size("contributes_to") > 0, F.lit(False)), "renamed subcategory": F.col("subcategory") == RENAMED}
+    of_groups |= {f"not {n} central banks": (F.col("subcategory") == name) & (n_banks != n) for name, n in BANKS.items()}
+    have, want = groups.select("subcategory").distinct(), expected.select("subcategory").distinct()
+    parts = [_violations(rows, rules), _violations(named, of_groups), _repeated(rows, "subcategory", "repeated in subcategory"), have.join(want, "subcategory", "left_anti").select(F.col("subcategory").alias("symbol"), F.lit("unexpected subcategory").alias("rule")), want.join(have, "subcategory", "left_anti").select(F.col("subcategory").alias("symbol"), F.lit("missing subcategory").alias("rule"))]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -133,3 +186,13 @@ def lookup(instruments: DataFrame, symbols: DataFrame, market: str | None = None
     if not ambiguous_symbols(found).isEmpty():
         raise LookupError("a symbol lives in several markets")
     return found
+
+
+#: Series of the yield curve and their labels.
+TENORS = {"DGS1MO": "1M", "DGS3MO": "3M", "DGS6MO": "6M", "DGS1": "1Y", "DGS2": "2Y", "DGS5": "5Y", "DGS7": "7Y", "DGS10": "10Y", "DGS20": "20Y", "DGS30": "30Y", "T10Y2Y": "spread_10y2y", "T10Y3M": "spread_10y3m", "MORTGAGE30US": "mortgage_30y"}
+
+
+def with_tenors(series: DataFrame) -> DataFrame:
+    """Adds tenor, the label of a yield-curve series; null for others."""
+    labels = series.sparkSession.createDataFrame(list(TENORS.items()), "series_id string, tenor string")
+    return series.join(F.broadcast(labels), "series_id", "left")  # as many rows as the list above

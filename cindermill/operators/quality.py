@@ -88,11 +88,41 @@ def volatility_spike(series: DataFrame, warn: float = 40.0, note: float = 30.0)
     return last.select(F.lit("volatility_spike").alias("check_name"), F.when(F.col("measured") > warn, "WARN").when(F.col("measured") > note, "INFO").otherwise("OK").alias("level"), "measured")
 
 
+def layer_checks(bars: DataFrame, universe: DataFrame, run_date: Column, prefix: str = "", null_limit: float = 0.001, share: float = 0.95, days: int = 5, allowed_gaps: int = 50, limit: float = 4.0) -> DataFrame:
+    """The checks of one layer's bars in one pass over them: nulls, prices, coverage, gaps, outliers, freshness, and adjusted bars for the traded layer.
+
+    A window pass marks gaps and outliers, one aggregate sums all marks by symbol, and one more over these, joined with the
+    universe, measures everything. With a prefix the checks are those of the context layer, which only warn.
+    """
+    keys = series_keys(bars)
+    every, order = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("timestamp")
+    deviation, day = F.stddev_samp("log_return").over(every), F.to_date("timestamp")
+    outlier = (deviation > 0) & (F.abs((F.col("log_return") - F.avg("log_return").over(every)) / deviation) > limit)
+    gap = F.datediff(day, F.lag(day).over(order)) > days
+    missing = F.col("open").isNull() | F.col("high").isNull() | F.col("low").isNull() | F.col("close").isNull()
+    wrong = (F.col("high") < F.col("low")) | ~F.col("open").between(F.col("low"), F.col("high")) | ~F.col("close").between(F.col("low"), F.col("high")) | (F.col("close") <= 0)
+    marked = bars.select("symbol", day.alias("day"), missing.alias("missing"), wrong.alias("wrong"), gap.alias("gap"), outlier.alias("outlier"), *([F.col("is_adjusted").alias("adjusted")] if not prefix else []))
+    flags = [c for c in ("missing", "wrong", "gap", "outlier", "adjusted") if c in marked.columns]
+    by_symbol = marked.groupBy("symbol").agg(F.count("*").alias("n"), F.max("day").alias("last"), *[F.count_if(c).alias(c) for c in flags])
+    known = universe.select("symbol").distinct().withColumn("known", F.lit(True))
+    there = F.col("last") >= F.date_sub(run_date, days)
+    total = by_symbol.join(known, "symbol", "full").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if("known").alias("n_known"), F.count_if(F.col("known") & there).alias("present"), F.datediff(run_date, F.max("last")).alias("age"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in flags])
+    names = ("context_null", "context_price_sanity", "context_coverage", "context_gaps", "context_outliers", "context_freshness") if prefix else ("null_check", "price_sanity", "coverage", "gap_detection", "outliers", "freshness")
+    measures = [F.col("missing") / F.nullif("n", F.lit(0)), F.col("wrong"), F.col("present") / F.nullif("n_known", F.lit(0)), F.col("gap"), F.col("outlier"), F.col("age")]
+    counts, severe = [F.col("n"), F.col("n"), F.col("n_known"), F.lit(1), F.col("n"), F.col("n")], (CRITICAL, CRITICAL, CRITICAL, WARNING, WARNING, WARNING)
+    holds = [lambda m: m <= null_limit, lambda m: m == 0, lambda m: m >= share, lambda m: m <= allowed_gaps, lambda m: m == 0, lambda m: m <= days]
+    rows = [F.struct(F.lit(name).alias("check_name"), F.lit(WARNING if prefix else severity).alias("severity"), count.cast("long").alias("n"), measure.cast("double").alias("measured"), test(measure).alias("ok")) for name, severity, count, measure, test in zip(names, severe, counts, measures, holds)]
+    if not prefix:
+        rows.append(F.struct(F.lit("adj_integrity").alias("check_name"), F.lit(INFO).alias("severity"), F.col("n").cast("long").alias("n"), F.col("adjusted").cast("double").alias("measured"), F.lit(True).alias("ok")))
+    each = total.select(F.explode(F.array(*rows)).alias("c")).select("c.*")
+    return each.select("check_name", "severity", F.coalesce("ok", F.lit(True)).alias("passed"), F.when(F.col("n") == 0, "skipped").when(F.col("ok"), "ok").otherwise("failed").alias("status"), "measured")
+
+
 def check_table(bars: DataFrame, universe: DataFrame, vintages: DataFrame, run_date: Column, context: DataFrame | None = None, anchors: DataFrame | None = None) -> DataFrame:
     """All checks; those of the context layer with its own universe."""
-    parts = [null_rate(bars), price_sanity(bars), coverage(bars, universe, run_date), gap_detection(bars), outlier_check(bars), freshness(bars, run_date), pit_integrity(vintages), adjusted_count(bars)]
+    parts = [layer_checks(bars, universe, run_date), pit_integrity(vintages)]
     if context is not None:
-        parts += [null_rate(context, name="context_null", severity=WARNING), price_sanity(context, "context_price_sanity", WARNING), coverage(context, anchors, run_date, name="context_coverage", severity=WARNING), gap_detection(context, name="context_gaps"), outlier_check(context, name="context_outliers"), freshness(context, run_date, name="context_freshness")]
+        parts.append(layer_checks(context, anchors, run_date, "context"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -213,3 +243,16 @@ def handle_mismatch(df: DataFrame, registry: T.StructType, on_mismatch: str = "q
     if on_mismatch == "fail" and not bad.isEmpty():
         raise QualityGateError("rows break the registry")
     return good, bad
+
+
+def health_report(runs: DataFrame, bars: DataFrame, instruments: DataFrame, run_date: Column, market: str, alert_below: float = 90.0) -> DataFrame:
+    """One row: the runs of a day, and how much of a market has bars then.
+
+    total_runs, total_failed, total_rows and avg_duration_sec (of the jobs' means) from the day's `run_summary`; expected,
+    present and missing symbols of the market, coverage_pct (null without symbols) and whether it is under the limit.
+    """
+    jobs = run_summary(runs.where(F.to_date("started_at") == run_date)).agg(F.coalesce(F.sum("runs"), F.lit(0)).alias("total_runs"), F.coalesce(F.sum("failures"), F.lit(0)).alias("total_failed"), F.coalesce(F.sum("rows_written"), F.lit(0)).alias("total_rows"), F.coalesce(F.avg("avg_duration_sec"), F.lit(0.0)).alias("avg_duration_sec"))
+    covered = market_coverage(bars, instruments.where(F.col("market") == market), run_date).agg(F.coalesce(F.sum("expected"), F.lit(0)).alias("expected"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"))
+    present = F.col("expected") - F.col("missing")
+    percent = present / F.nullif("expected", F.lit(0)) * 100
+    return jobs.crossJoin(F.broadcast(covered)).select(run_date.alias("date"), "*", present.alias("present"), percent.alias("coverage_pct"), F.coalesce(percent < alert_below, F.lit(False)).alias("coverage_alert"))  # one row each

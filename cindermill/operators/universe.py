@@ -43,6 +43,13 @@ def latest_snapshot(snapshots: DataFrame, run_date, date_column: str = "resolved
     return snapshots.join(F.broadcast(newest), F.col(date_column) == F.col("newest_")).drop("newest_")
 
 
+def resolved(snapshots: DataFrame, instruments: DataFrame, run_date, date_column: str = "resolved_date") -> DataFrame:
+    """The newest list of active symbols not after run_date, else every instrument as `fallback` gives it."""
+    found = latest_snapshot(snapshots, run_date, date_column).drop(date_column)
+    none = found.agg(F.count("*").alias("n_")).where("n_ = 0").select()  # one row without columns, or none
+    return found.unionByName(fallback(instruments).crossJoin(F.broadcast(none)).select(*found.columns))
+
+
 def orphans(bars: DataFrame, instruments: DataFrame) -> DataFrame:
     """Symbols with bars that the dimension does not know."""
     return bars.select("symbol").distinct().join(instruments.select("symbol"), "symbol", "left_anti")

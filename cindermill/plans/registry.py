@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cindermill.functions import slippage
 from cindermill.operators import bars as B
 from cindermill.operators import correlate, dimension, evaluate, indicators, macro, quality, signals, universe, watchlist
-from cindermill.plans import ingest_queries
+from cindermill.plans import ingest_queries, upkeep_queries
 from cindermill.plans.base import clean_daily, daily, hourly, last_day, rounded, sql
 from cindermill.sources import adapters as A
 from cindermill.sources import ingest
@@ -472,11 +472,7 @@ def symbol_forms(spark, sf_dir):
     return parts.select(F.col("p_name").alias("raw"), symbol.alias("symbol"), dimension.api_symbol(symbol, market).alias("api_symbol")).distinct()
 
 
-@query("SELECT symbol, rule FROM (SELECT p_name AS symbol, 'unsafe characters' AS rule FROM part WHERE regexp_matches(p_name, '[^A-Za-z0-9._#=^-]') UNION ALL SELECT p_name, 'unknown market' FROM part WHERE p_brand NOT IN ('Brand#11', 'Brand#12') UNION ALL SELECT p_name, 'no symbol' FROM part WHERE trim(p_name) = '' UNION ALL SELECT p_name, 'repeated in market' FROM part GROUP BY p_name, p_brand HAVING count(*) > 1)")
-def dimension_rules(spark, sf_dir):
-    rows = A.table(spark, sf_dir, "part").select(F.col("p_name").alias("symbol"), F.col("p_brand").alias("market"), F.col("p_type").alias("sector"))
-    return dimension.layer_one_violations(rows, ("Brand#11", "Brand#12"))
-
-
 QUERIES.update(ingest_queries.QUERIES)
 ORACLES.update(ingest_queries.ORACLES)
+QUERIES.update(upkeep_queries.QUERIES)
+ORACLES.update(upkeep_queries.ORACLES)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Reporting areas and their banks; days from a period to its release.
-AREA_BANKS = {"US": "FED", "XM": "ECB", "GB": "BOE", "JP": "BOJ", "ID": "BI", "CN": "PBOC", "AU": "RBA", "CA": "BOC", "CH": "SNB", "NZ": "RBNZ", "KR": "BOK", "IN": "RBI", "NO": "NORGES", "SE": "RIKSBANK"}
+AREA_BANKS = {"XM": "ECB", "GB": "BOE", "JP": "BOJ", "CA": "BOC", "AU": "RBA", "NZ": "RBNZ", "CH": "SNB", "KR": "BOK", "NO": "NORGES", "SE": "RIKSBANK", "CN": "PBOC", "ID": "BI"}
 RELEASE_LAGS = {"monthly": 33, "quarterly": 35, "accounts": 120, "default": 7}
 
 

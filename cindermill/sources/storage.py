@@ -73,6 +73,11 @@ def snapshot(df: DataFrame, date_column: str, run_date) -> DataFrame:
     return rows
 
 
+#: Where the views' tables are below the root of the layers; views of bars leave the context layer out.
+LAYERS = {"v_ohlcv_1D": "silver/market_ohlcv", "v_ohlcv_1H": "silver/market_ohlcv", "v_ohlcv_all": "silver/market_ohlcv", "v_macro_enriched": "silver/macro_enriched", "v_macro_regime": "gold/macro", "v_mtf_alignment": "gold/mtf", "v_tech_signals_1D": "gold/signals", "v_sector_weights": "gold/sector", "v_correlation": "gold/correlation", "v_screener": "gold/screener", "v_sentiment": "silver/sentiment", "v_active_symbols": "silver/active_symbols", "v_watchlist_latest": "gold/screener"}
+TIMEFRAMES = {"v_ohlcv_1D": "1D", "v_ohlcv_1H": "1H", "v_tech_signals_1D": "1D"}
+
+
 def register_views(spark: SparkSession, tables: dict[str, DataFrame | None]) -> list[str]:
     """Temporary views for the tables that exist; the names that were made."""
     made = []
@@ -83,6 +88,26 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame | None]) ->
     return made
 
 
+def newest_watchlist(watchlists: DataFrame) -> DataFrame:
+    """The rows of the last watchlist_date."""
+    last = watchlists.agg(F.max("watchlist_date").alias("last_"))
+    return watchlists.join(F.broadcast(last), F.col("watchlist_date") == F.col("last_"), "left_semi")
+
+
+def layer_views(spark: SparkSession, root: str) -> dict[str, DataFrame | None]:
+    """The table of every view from the layers stored below a root, versioned or plain; None where there is none yet."""
+    out: dict[str, DataFrame | None] = {}
+    for name, place in LAYERS.items():
+        path = f"{root.rstrip('/')}/{place}"
+        df = scan(spark, path) if exists(spark, path) else None
+        if df is not None and name in TIMEFRAMES and "timeframe" in df.columns:
+            df = df.where(F.col("timeframe") == TIMEFRAMES[name])
+        if df is not None and name.startswith("v_ohlcv") and "market" in df.columns:
+            df = layer_one(df)
+        out[name] = newest_watchlist(df) if df is not None and name == "v_watchlist_latest" else df
+    return out
+
+
 def list_views(spark: SparkSession) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables() if t.name in {v.lower() for v in VIEWS} | set(VIEWS))
 
