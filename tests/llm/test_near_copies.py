@@ -1,7 +1,6 @@
 """The near-duplicate stage on boilerplate and clashing columns; labels and ids that repeat."""
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from cindermill.llm import jaccard, quality, simhash, toxicity
@@ -37,11 +36,11 @@ def kept_and_verified(spark, monkeypatch, rows):
 
 def test_a_shared_passage_makes_no_pairs_of_all(spark, monkeypatch):
     verified = []
-    for n in (150, 600):
+    for n in (100, 400):
         got, pairs = kept_and_verified(spark, monkeypatch, boilerplate(n))
         assert got == {2 * i for i in range(n)}
         verified.append(pairs)
-    assert verified[1] < 6 * verified[0] and verified[1] < 100 * 600
+    assert verified[1] < 6 * verified[0] and verified[1] < 20 * 400
 
 
 def test_every_similar_pair_of_the_fine_postings_meets(spark):
@@ -57,14 +56,15 @@ def test_every_similar_pair_of_the_fine_postings_meets(spark):
     assert similar and similar <= met
 
 
-@pytest.mark.parametrize("clash", ["id_", "mark_", "row_mark_", "kept_", "ROW_", "text_", "node", "root"])
-def test_clashing_columns_stay(spark, clash):
-    docs = spark.createDataFrame([(1, "a b c", "en", 5), (2, "a b c", "en", 6), (3, "something else", "en", 7)], f"doc_id long, text string, lang string, {clash} int")
+def test_clashing_columns_stay(spark):
+    clashing = ("id_", "mark_", "row_mark_", "kept_", "ROW_", "text_", "node", "root")
+    docs = spark.createDataFrame([(k, text, "en", *[10 * k + c for c in range(len(clashing))]) for k, text in ((1, "a b c"), (2, "a b c"), (3, "something else"))], "doc_id long, text string, lang string, " + ", ".join(f"{c} int" for c in clashing))
+    want = sorted(tuple(r) for r in docs.where("doc_id != 2").collect())
     for keep in (simhash.keep_one, jaccard.keep_one):
         got = keep(docs)
-        assert got.columns == docs.columns and sorted(r[clash] for r in got.collect()) == [5, 7]
+        assert got.columns == docs.columns and sorted(tuple(r) for r in got.collect()) == want
     kept = quality.keep_documents(docs, spark.createDataFrame([(1,)], "doc_id long"))
-    assert kept.columns == docs.columns and kept.count() >= 1
+    assert kept.columns == docs.columns and set(map(tuple, kept.collect())) <= set(map(tuple, docs.collect()))
 
 
 def test_labels_and_ids_that_repeat_stay_bounded(spark):
