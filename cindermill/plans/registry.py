@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cindermill.functions import slippage
 from cindermill.operators import bars as B
 from cindermill.operators import correlate, dimension, evaluate, indicators, macro, quality, signals, universe, watchlist
-from cindermill.plans import ingest_queries, upkeep_queries
+from cindermill.plans import ingest_queries, rule_queries, upkeep_queries
 from cindermill.plans.base import clean_daily, daily, hourly, last_day, rounded, sql
 from cindermill.sources import adapters as A
 from cindermill.sources import ingest
@@ -474,5 +474,6 @@ def symbol_forms(spark, sf_dir):
 
 QUERIES.update(ingest_queries.QUERIES)
 ORACLES.update(ingest_queries.ORACLES)
-QUERIES.update(upkeep_queries.QUERIES)
-ORACLES.update(upkeep_queries.ORACLES)
+for part in (rule_queries, upkeep_queries):
+    QUERIES.update(part.QUERIES)
+    ORACLES.update(part.ORACLES)

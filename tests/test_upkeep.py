@@ -156,3 +156,14 @@ def test_gram_sums_have_no_pairs_of_rows(spark):
                 x, y = ([series[s][d] for d in common] for s in (a, b))
                 want = None if len(common) < 2 or "flat" in (a, b) else pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-9)
                 assert (by[a, b]["n_obs"], by[a, b]["correlation"]) == (len(common), want)
+
+
+def test_states_of_separated_clusters(spark):
+    from cindermill.operators import regimes
+
+    rng = np.random.default_rng(1)
+    centres = [-10.0, 0.0, 12.0]
+    rows = [(D(2020, 1, 1) + dt.timedelta(days=i), centres[i % 3] + rng.normal() * 0.3, 2 * centres[i % 3] + rng.normal() * 0.3) for i in range(150)] + [(D(2021, 1, 1), None, 1.0)]
+    got = regimes.assign_states(spark.createDataFrame(rows, "date date, a double, b double"), ["a", "b"], states=3).collect()
+    # states are numbered by the mean of the first column, and a date without all features has none
+    assert len(got) == 150 and all(r["state"] == (r["date"] - D(2020, 1, 1)).days % 3 and r["probability"] > 0.99 for r in got)
