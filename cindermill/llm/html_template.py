@@ -50,9 +50,11 @@ SHORT = frozenset("button select label".split())
 CELLS = frozenset("td th tr tbody thead tfoot".split())
 #: Elements by which a form is seen to hold a page.
 STRUCTURE = frozenset("nav header footer main article h1".split())
-#: Words in a container's class, id or role that mark boilerplate, those that comments go by, and words that only tell a state.
-BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert popup modal overlay side sidebar menu nav navbar navigation breadcrumb breadcrumbs foot footer masthead related recommended share sharing social newsletter subscribe subscription signup login search pagination pager widget toolbar copyright".split())
+#: Words in a container's class, id or role that mark boilerplate, those that comments go by, those that mark boilerplate where they
+#: are a whole class or id, and words that only tell a state.
+BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead related recommended share sharing social newsletter subscribe subscription signup login search pagination pager widget toolbar copyright".split())
 COMMENTS = frozenset("comment comments disqus replies respond".split())
+ALONE = frozenset("side foot top bottom".split())
 AROUND = ("has-", "with-", "no-", "without-")
 STATES = ("-open", "-closed", "-on", "-off", "-enabled", "-disabled", "-allowed", "-active", "-visible", "-count")
 #: Roles and properties that article elements go by.
@@ -70,7 +72,7 @@ LAYOUT = r"<(?:main|article|section|aside|header|footer|nav|div|form|table)(?:\s
 def _boilerplate(marks: list[str]) -> tuple[bool, bool]:
     """Whether classes and ids mark boilerplate, and whether comments."""
     words = {w for mark in marks if not mark.startswith(AROUND) and not mark.endswith(STATES) for w in re.split(r"[^a-z]+", mark)}
-    return not BOILERPLATE.isdisjoint(words), not COMMENTS.isdisjoint(words)
+    return not BOILERPLATE.isdisjoint(words) or not ALONE.isdisjoint(marks), not COMMENTS.isdisjoint(words)
 
 
 class Page:

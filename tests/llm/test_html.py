@@ -63,6 +63,7 @@ def test_layouts(spark):
     ("x</nosuch>y<1>z &amp; &lt;p&gt; &nbsp; w &copy 2", "xy<1>z & <p> w © 2"),
     ("<div class=cookie>We use some</div><div class=banner>All that there is to read</div>", "All that there is to read"),
     ("<article class=promo><p>one</p></article><article class='promo'><p>two</p></article>", "one\ntwo"),
+    ("<div class='side-by-side'><p>one</p></div><div class=side>two</div><div id=foot>three</div>", "one"),
     ("", ""), ("<p", ""), ("<", ""), ("&nbsp;", ""),
 ])
 def test_single_pages(html, text):
