@@ -122,7 +122,8 @@ _E3 = _least("s3", _edit("e2", 5, "I", "'assistant:'"))
 REPAIR_SQL = f"""WITH RECURSIVE crc AS ({CRC_TABLE}),
 k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations, crc),
 damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM (SELECT *, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) FROM k) WHERE kind <> 0),
-f AS (SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS repeated, regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS ended, row_number() OVER w AS i, substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER w AS before FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+f AS (SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS repeated, regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS ended, substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
 r AS (SELECT *, blank OR repeated AS required, CASE WHEN ended THEN 0 ELSE 5 END AS penalty FROM f),
 sums AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND repeated) AS duplicate, count(*) FILTER (NOT blank AND NOT repeated AND NOT ended) AS truncated, count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
 st AS (SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': CAST([] AS VARCHAR[])}} AS s0, NULL::STRUCT(c INT, a VARCHAR, t VARCHAR[]) AS s1, NULL::STRUCT(c INT, a VARCHAR, t VARCHAR[]) AS s2, NULL::STRUCT(c INT, a VARCHAR, t VARCHAR[]) AS s3 FROM sums

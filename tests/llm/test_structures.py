@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import sys
 import zlib
 
 import duckdb
@@ -98,6 +99,7 @@ def test_little_padding_on_the_table(spark):
 
 def cheapest_repair(rows):
     """(cost, audit, lines) by recursion over rows (initial, required, truncated, role, text)."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
 
     @functools.lru_cache(None)
     def best(i, state, inserted):
