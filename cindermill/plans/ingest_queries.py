@@ -98,14 +98,14 @@ def outlook_payloads(spark, sf_dir):
     return payloads.outlook(landed, ["F", "O"], _day("1995-06-01"))
 
 
-@query("SELECT CASE c_nationkey % 3 WHEN 1 THEN 'XM' ELSE 'JP' END AS ref_area, CASE c_nationkey % 3 WHEN 1 THEN 'ECB' ELSE 'BOJ' END AS central_bank, DATE '2020-01-01' + CAST(c_custkey % 1000 AS INT) AS obs_date, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS rate_pct FROM customer WHERE c_custkey % 11 <> 0 AND c_nationkey % 3 <> 0")
+@query("SELECT CASE c_nationkey % 3 WHEN 0 THEN 'US' WHEN 1 THEN 'XM' ELSE 'JP' END AS ref_area, CASE c_nationkey % 3 WHEN 0 THEN 'FED' WHEN 1 THEN 'ECB' ELSE 'BOJ' END AS central_bank, DATE '2020-01-01' + CAST(c_custkey % 1000 AS INT) AS obs_date, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS rate_pct FROM customer WHERE c_custkey % 11 <> 0")
 def policy_rate_files(spark, sf_dir):
     customers = A.table(spark, sf_dir, "customer")
     area = F.element_at(F.array(F.lit("US"), F.lit("XM"), F.lit("JP")), F.col("c_nationkey") % 3 + 1)
     date = F.when(F.col("c_custkey") % 11 == 0, "n.d.").otherwise(F.date_add(_day("2020-01-01"), (F.col("c_custkey") % 1000).cast("int")).cast("string"))
     lines = customers.select(F.lit("f").alias("file"), (F.col("c_custkey") + 10).alias("line_number"), F.concat_ws(",", area, date, F.when(F.col("c_custkey") % 7 == 0, ".").otherwise(F.col("c_acctbal").cast("string"))).alias("line"))
     head = spark.createDataFrame([("f", -2, "a preamble"), ("f", -1, "REF_AREA,TIME_PERIOD,OBS_VALUE")], "file string, line_number long, line string")
-    return payloads.policy_rates(lines.unionByName(head))
+    return payloads.policy_rates(lines.unionByName(head), banks={**payloads.AREA_BANKS, "US": "FED"})
 
 
 # events of companies

@@ -87,14 +87,17 @@ def outlook(df: DataFrame, countries: list[str], run_date: Column, payload: str
     return rows.select("indicator", "country", F.make_date(year, F.lit(1), F.lit(1)).alias("observation_date"), "value", F.coalesce(F.array_min(F.filter(dates, lambda d: d <= run_date)), run_date).alias("release_date"))
 
 
-def policy_rates(lines: DataFrame, line: str = "line", order: str = "line_number") -> DataFrame:
-    """CSV lines (area, date, rate) of one file per `file`, after a preamble that ends with the TIME_PERIOD header."""
+def policy_rates(lines: DataFrame, line: str = "line", order: str = "line_number", banks: dict[str, str] = AREA_BANKS) -> DataFrame:
+    """CSV lines (area, date, rate) of one file per `file`, after a preamble that ends with the TIME_PERIOD header.
+
+    Areas without an entry in `banks` are not rates of a known bank and go.
+    """
     header = lines.where(F.lower(line).contains("time_period")).groupBy("file").agg(F.min(order).alias("h_"), F.min_by(F.split(F.lower(line), ","), order).alias("names"))
     rows = lines.join(header, "file").where(F.col(order) > F.col("h_")).withColumn("c_", F.split(line, ","))
     field = lambda name: F.try_element_at(F.col("c_"), F.array_position("names", name).cast("int"))
-    banks = F.create_map(*[F.lit(x) for pair in AREA_BANKS.items() for x in pair])
+    bank_of = F.create_map(*[F.lit(x) for pair in banks.items() for x in pair])
     typed = rows.select(field("ref_area").alias("ref_area"), field("time_period").alias("d_"), field("obs_value").alias("v_"))
-    return typed.select("ref_area", banks[F.col("ref_area")].alias("central_bank"), F.expr("try_to_date(d_, 'yyyy-MM-dd')").alias("obs_date"), F.expr("try_cast(v_ AS DOUBLE)").alias("rate_pct")).where("obs_date IS NOT NULL AND central_bank IS NOT NULL")
+    return typed.select("ref_area", bank_of[F.col("ref_area")].alias("central_bank"), F.expr("try_to_date(d_, 'yyyy-MM-dd')").alias("obs_date"), F.expr("try_cast(v_ AS DOUBLE)").alias("rate_pct")).where("obs_date IS NOT NULL AND central_bank IS NOT NULL")
 
 
 def earnings(df: DataFrame, payload: str = "payload") -> DataFrame:
