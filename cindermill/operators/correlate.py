@@ -50,8 +50,9 @@ def pair_correlations(returns: DataFrame, min_history: int = 52, blocks: int | N
     The matrix of all symbol pairs is what is asked for. Returns are cut into blocks of dates and of symbols; every two blocks
     of symbols meet on a block of dates, as two small matrices of which the products are the pairs' sums, and these add up over the
     dates. A return is sent once for each block of symbols, not once for each pair; blocks have about SYMBOLS of them unless
-    their number is given. One return a symbol and date; null without variance.
+    their number is given. One return a symbol and date; null without variance. Returns are read several times and so are written.
     """
+    returns = Scratch(returns.sparkSession).keep("returns", returns.select("symbol", "date", "log_return"))
     enough = returns.groupBy("symbol").agg(F.count("log_return").alias("n")).where(F.col("n") >= 0.8 * min_history).select("symbol")
     blocks = blocks or max(1, -(-enough.count() // SYMBOLS))
     day = F.unix_date("date")
@@ -134,6 +135,7 @@ def clusters(pairs: DataFrame, *scope: str) -> DataFrame:
     symbols and merges, one small row each, never over its pairs.
     """
     keys, kept = list(scope), Scratch(pairs.sparkSession)
+    pairs = kept.keep("measured", pairs.select(*keys, "symbol_a", "symbol_b", "correlation"))  # three readers, made once
     merges, symbols = linkage(pairs, *scope)
     wanted = F.least(F.lit(10), F.greatest(F.lit(2), F.floor(F.count("*") / 2)))
     sizes = symbols.groupBy(*keys).agg(F.count("*").alias("n"), wanted.alias("k"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cindermill.operators import bars as B
 from cindermill.sources import adapters as A
+from cindermill.sources.scratch import Scratch
 
 _TIE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus"
 _MARKETS = ", ".join(f"'{m}'" for m in A.MARKETS)
@@ -57,12 +58,17 @@ def sql(query: str, *names: str, recursive: bool = False, **extra: str) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}" + ",\n".join(parts) + "\n" + query if parts else query
 
 
+def stored(bars: DataFrame) -> DataFrame:
+    """Bars as a written table: what reads them several times over aggregates the ticks once."""
+    return Scratch(bars.sparkSession).keep("bars", bars)
+
+
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.from_ticks(A.ticks(spark, sf_dir), "day")
+    return stored(B.from_ticks(A.ticks(spark, sf_dir), "day"))
 
 
 def clean_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.silver(daily(spark, sf_dir), "1D", unique=True)
+    return stored(B.silver(daily(spark, sf_dir), "1D", unique=True))
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from cindermill.plans import ingest_queries
+from cindermill.operators import correlate
+from cindermill.plans import base, ingest_queries
 from cindermill.sources import adapters as A
 
 SF = "/root/testdata/sf0.001"
@@ -13,3 +14,10 @@ def test_policy_rates_of_every_area_in_the_files(spark):
     got = ingest_queries.policy_rate_files(spark, SF)
     assert got.count() == dated.count()
     assert {r["central_bank"] for r in got.select("central_bank").distinct().collect()} == {"FED", "ECB", "BOJ"}
+
+
+def test_ticks_are_aggregated_once_for_all_readers(spark):
+    for bars in (base.daily(spark, SF), base.clean_daily(spark, SF)):
+        assert bars.count() and not [f for f in bars.inputFiles() if "lineitem" in f]
+    pairs = correlate.pair_correlations(correlate.recent_returns(base.clean_daily(spark, SF), 250))
+    assert not {f for f in correlate.clusters(pairs).inputFiles()} & set(base.clean_daily(spark, SF).inputFiles() + pairs.inputFiles())
