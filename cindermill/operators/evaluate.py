@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cindermill.operators.prefix import machine_states, numbered
+from cindermill.sources.scratch import Scratch
 
 
 def walk_forward_windows(spans: DataFrame, train_months: int = 12, test_months: int = 3) -> DataFrame:
@@ -31,8 +32,12 @@ def episodes(scored: DataFrame, least_score: int = 5) -> DataFrame:
     Enter when flat on a strong grade A or B score, leave on a sign flip, a grade D or the window's last row, on which
     nothing is entered. Each row maps flat, long and short to the state that follows; maps compose along the
     group (`prefix`), so a group's days are not walked one by one. A null score or grade neither enters nor leaves.
+    Scores, days and changes are read more than once each and so are written, or every reader would make them anew.
     """
-    days = numbered(scored.select("symbol", "window", "date", "close", "mtf_score", "signal_quality"), F.struct("symbol", "window"), "date")
+    kept = Scratch(scored.sparkSession)
+    rows = kept.keep("scored", scored.select("symbol", "window", "date", "close", "mtf_score", "signal_quality"))
+    days = kept.keep("days", numbered(rows, F.struct("symbol", "window"), "date"))
+    kept.drop("scored")
     last, score = F.col("n_") == F.col("total_"), F.coalesce("mtf_score", F.lit(0))
     grade = F.coalesce("signal_quality", F.lit(""))
     strong = (F.abs(score) >= least_score) & grade.isin("A", "B") & ~last
@@ -41,7 +46,8 @@ def episodes(scored: DataFrame, least_score: int = 5) -> DataFrame:
     walked = machine_states(days, moves)
     direction = F.when(F.col("state_before_") == LONG, 1).when(F.col("state_before_") == SHORT, -1)
     reason = F.when(score * direction < 0, "flip").when(grade == "D", "grade").otherwise("window_end")
-    changes = walked.where("(state_before_ = 0) != (state_ = 0)").select("symbol", "window", "date", "close", direction.alias("direction"), F.when(direction.isNotNull(), reason).alias("exit_reason"))
+    changes = kept.keep("changes", walked.where("(state_before_ = 0) != (state_ = 0)").select("symbol", "window", "date", "close", direction.alias("direction"), F.when(direction.isNotNull(), reason).alias("exit_reason")))
+    kept.drop("days")
     # entries and exits take turns, beginning with an entry, and the last row leaves none open
     turns = numbered(changes, F.struct("symbol", "window"), "date").select("*", F.floor((F.col("n_") + 1) / 2).alias("trade_"))
     entries = turns.where("direction IS NULL").select("key_", "trade_", F.col("date").alias("entry_date"), F.col("close").alias("entry_price"))
