@@ -73,3 +73,24 @@ def test_labels_and_ids_that_repeat_stay_bounded(spark):
     model = toxicity.fit(docs, labels)
     scored = toxicity.score(docs.where("text like 'text 1 %' or text like 'text 30 %'"), model).collect()
     assert len(scored) == 2 and all(0 <= r["score"] <= 1 for r in scored)
+
+
+def test_toxicity_learns_from_rows_outside_the_start(spark):
+    # every label's words are in one document of 25 each; a start of about two documents of a label knows few of them
+    rows = [(i, f"plain words {'vile' if i % 2 else 'kind'}{i % 60} and more of them", i % 2) for i in range(1500)]
+    docs = spark.createDataFrame([(i, text, "en") for i, text, _ in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, toxic) for i, _, toxic in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, per_label=2)
+    fresh = spark.createDataFrame([(k, f"plain words {'vile' if k % 2 else 'kind'}{k} and more of them") for k in range(60)], "doc_id long, text string")
+    assert sum((r["score"] >= 0.5) == r["doc_id"] % 2 for r in toxicity.score(fresh, model).collect()) >= 57
+    start = toxicity.fit(docs.where("doc_id < 750"), labels, per_label=2)
+    assert (start.words != model.words).any()
+
+
+def test_toxicity_steps_by_blocks_are_the_whole_text_s():
+    model, words = toxicity.ConvolutionalClassifier.fresh(), toxicity.WordIds()
+    ids = words.of(" ".join(f"w{i}" for i in range(300)))
+    whole, parts = model._tops(ids, 1000), model._tops(ids, 64)
+    assert all((a == b).all() for a, b in zip(whole[0], parts[0])) and np.allclose(np.concatenate(whole[1]), np.concatenate(parts[1]), atol=1e-5)
+    _, values = model._activations(ids)
+    assert all((v.argmax(axis=0) == a).all() for v, a in zip(values, whole[0]))
