@@ -1,13 +1,17 @@
-"""Near-duplicates by the Jaccard similarity of word-shingle sets.
+"""Near-duplicates by SimHash, verified by the Jaccard similarity of word-shingle sets.
 
-Candidates come from banded minimum hashes: two texts meet if all minima of one band agree, which at
-similarity s happens with probability 1 - (1 - s ** ROWS) ** BANDS: 0.9996 at 0.8 and more above. Every
-link is then verified by the exact similarity of the two sets. Texts with equal sets are one node.
+Operator 10's index comes first: every different set has a SimHash, the inverted index of byte positions with its
+count filter finds those within DISTANCE bits, and each document is verified against the one of its group with the most
+links. An exact check then finds what a SimHash of 64 bits can't, since texts of similarity 0.8 differ in about 10 bits. It
+takes the components of the index as they are and loses no link:
 
-Each posting verifies its members against one pivot a round; pairs that a round has put in one component
-need no test of their own, since only components are asked for. After a round the texts of postings that still mix
-components, which are mostly unlike texts around a common passage, meet once more by a filter that loses nothing: similar sets share
-one of their rarest shingles. Only pairs that do are verified one by one, again after a round of pivots.
+* Of n shingles a set shares at least ceil(similarity * n) with a similar one. In the order of their values, both have as many of
+  the shared ones among their first n - that + l as l says. A set of which fewer of those are in any other set is left out.
+* The sets that stay meet in their rarest shingles, by size: as many as sets of the two sizes need (`prefix_postings`).
+* Each posting verifies its members against one of them, then the pairs that are still in different components. Pairs in
+  one component need no test of their own, since only components are asked for.
+
+Every link is verified by the exact similarity of the two sets. Texts with equal sets are one node.
 
 Defined cases: texts without words have equal, empty sets; fewer words than a shingle's make one
 shingle; null and repeated ids as in simhash.keep_one.
@@ -15,24 +19,24 @@ shingle; null and repeated ids as in simhash.keep_one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import materialise, texts
+from cindermill.llm import simhash
+from cindermill.llm.common import texts
 from cindermill.llm.simhash import components, keep_rows, row_key
 from cindermill.sources.scratch import Scratch
 
-BANDS, ROWS = 20, 5
-BLOCK = 1 << 11
-_DRAW = np.random.default_rng(42)
-_FACTORS = _DRAW.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
-_OFFSETS = _DRAW.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64)
+DISTANCE = 2
+SPARE = 10
+RATIO = 1.05
 
 
 def shingle_set(text: str, shingle: int = 5, seed: int = 42) -> np.ndarray:
@@ -47,33 +51,32 @@ def shingle_set(text: str, shingle: int = 5, seed: int = 42) -> np.ndarray:
     return np.unique(np.array([hashed(spaced[a:b], seed) for a, b in zip([0, *(e + 1 for e in ends[:n - 1])], ends[-n:])], dtype=np.uint64))
 
 
-def band_keys(found: np.ndarray) -> list[int]:
-    """One 64-bit key for each band of the set's minimum hashes."""
-    least = np.full(BANDS * ROWS, 2**64 - 1, dtype=np.uint64)
-    for at in range(0, len(found), BLOCK):
-        np.minimum(least, (found[at:at + BLOCK, None] * _FACTORS + _OFFSETS).min(axis=0), out=least)
-    data, width = least.tobytes(), 8 * ROWS
-    return [xxhash.xxh64_intdigest(data[k * width:(k + 1) * width], k) for k in range(BANDS)]
-
-
 def _node(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.tobytes())
 
 
-def banded(df: DataFrame, key: str, text: str, shingle: int = 5) -> DataFrame:
-    """One row per document: its key, node (a hash of its shingle set) and the keys of its bands."""
+def head(found: np.ndarray, similarity: float) -> tuple[np.ndarray, int]:
+    """The first values of a set, in which it has one in common with every similar set for each of `least`, and `least`."""
+    n = len(found)
+    shared = math.ceil(similarity * n - 1e-9)
+    # a similar set may be smaller, but not below `shared`, and so look at fewer of its own
+    return found[:n - shared + 1 + n // SPARE], 1 + shared // SPARE
+
+
+def signed(df: DataFrame, key: str, text: str, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row per document: its key, node (a hash of its shingle set), fp (the set's SimHash), and `head` with its `least`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
         for batch in batches:
-            nodes, bands = [], []
-            for t in texts(batch.column(1)):
-                found = shingle_set(t, shingle)
-                nodes.append(_node(found))
-                bands.append(np.array(band_keys(found), dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(bands, longs)], names=[key, "node", "bands"])
+            for at in range(0, len(batch), 512):
+                part = batch.slice(at, 512)
+                sets = [shingle_set(t, shingle) for t in texts(part.column(1))]
+                nodes, fps = (np.array(x, dtype=np.uint64).view(np.int64) for x in ([_node(s) for s in sets], [simhash.majority((s[k:k + simhash.BLOCK] for k in range(0, len(s), simhash.BLOCK)), len(s)) for s in sets]))
+                heads = [head(s, similarity) for s in sets]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(nodes), pa.array(fps), pa.array([h.view(np.int64) for h, _ in heads], longs), pa.array([least for _, least in heads], pa.int64())], names=[key, "node", "fp", "head", "least"])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, node long, bands array<long>")
+    return df.select(key, text).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, node long, fp long, head array<long>, least long")
 
 
 def shingle_sets(df: DataFrame, text: str, shingle: int = 5) -> DataFrame:
@@ -89,19 +92,34 @@ def shingle_sets(df: DataFrame, text: str, shingle: int = 5) -> DataFrame:
     return df.select(text).mapInArrow(run, "node long, shingles array<long>")
 
 
+def overlap(one: Column, other: Column, similarity: float) -> Column:
+    """The number of shingles that similar sets of these sizes share at least."""
+    return F.ceil(similarity / (1 + similarity) * (one + other) - 1e-9)
+
+
 def prefix_postings(sets: DataFrame, similarity: float) -> DataFrame:
-    """node, band: the rarest shingles of each set, so many that similar sets have one of them in common.
+    """node, band, far, size, after: the rarest shingles of each set, so many that similar sets have one of them in common.
 
-    Of n shingles a set as similar as asked shares at least ceil(similarity * n); in an order that is the same for all,
-    by the number of sets and then by value, both have the first shared one among their first n - that + 1. What sets share
-    that are less similar, such as a passage of a licence, is common and so comes last. Shingles of one set alone are left out.
+    far is one over the mean number of sets that have a shingle of this set, size the number of its shingles, after that of those from this one on.
+
+    Sets of n and m shingles that are similar share at least ceil(similarity / (1 + similarity) * (n + m)); in an order that is the same
+    for all, by the number of sets and then by value, both have the first shared one among their first n (or m) - that + 1. So a band is
+    a shingle for two classes of sizes, and a set has its bands for each class that similar sets can be in. What sets share that are less
+    similar, such as a passage of a licence, is common and so comes last. Shingles of one set alone are left out.
     """
     each = sets.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("band"))
     shared = each.groupBy("band").agg(F.count("*").alias("df")).where("df > 1")
-    counted = each.join(shared.hint("merge"), "band").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("df", "band"))).alias("common"))
+    counted = each.join(shared.hint("merge"), "band").groupBy("node", "size").agg(F.sum("df").alias("met"), F.sort_array(F.collect_list(F.struct("df", "band"))).alias("common"))
     # the shingles that a set has alone come first in its order
-    left = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-9) + 1 - (F.col("size") - F.size("common"))
-    return counted.where(left > 0).select("node", F.explode(F.slice("common", F.lit(1), left.cast("int"))).alias("c")).select("node", "c.band")
+    counted = counted.withColumn("alone", F.col("size") - F.size("common"))
+    of = lambda size: F.floor(F.log(size) / F.lit(math.log(RATIO)))
+    least = F.ceil(F.col("size") * similarity - 1e-9)
+    classed = counted.withColumn("class", of(F.col("size"))).withColumn("other", F.explode(F.sequence(of(least), of(F.floor(F.col("size") / similarity + 1e-9)))))
+    smallest = F.greatest(least, F.floor(F.pow(F.lit(RATIO), F.col("other")) - 1e-6))
+    left = F.col("size") - overlap(F.col("size"), smallest, similarity) + 1 - F.col("alone")
+    chosen = classed.withColumn("left", left.cast("int")).where("left > 0").select("node", "class", "other", "size", "alone", "met", F.posexplode(F.slice("common", F.lit(1), F.col("left"))).alias("at", "c"))
+    band = F.xxhash64("c.band", F.least("class", "other"), F.greatest("class", "other"))
+    return chosen.select("node", band.alias("band"), (F.col("size") / (F.col("met") + F.col("alone"))).alias("far"), "size", (F.col("size") - F.col("alone") - F.col("at")).alias("after"))
 
 
 class Linker:
@@ -116,7 +134,9 @@ class Linker:
     def verify(self, pairs: DataFrame) -> None:
         """Adds the pairs (a, b) whose sets are similar enough."""
         pairs = self.kept.keep("pairs", pairs)
-        self.verified += pairs.count()
+        self.verified += (count := pairs.count())
+        if not count:
+            return
         one, other = (self.sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"), F.size("shingles").alias(f"n_{x}")) for x in "ab")
         both = pairs.join(one.hint("merge"), "a").join(other.hint("merge"), "b").where(F.least("n_a", "n_b") >= self.similarity * F.greatest("n_a", "n_b"))
         common = F.size(F.array_intersect("set_a", "set_b"))
@@ -127,45 +147,56 @@ class Linker:
         self.roots = self.kept.keep("roots", components(self.edges))
 
     def mixed(self, postings: DataFrame) -> DataFrame:
-        """node, band, root of the postings (node, band) that have nodes of several components."""
-        named = postings.select("node", "band")
+        """The postings with the root of each node, those that have nodes of several components; without nodes that share too little with any set of their size on."""
+        named = postings.drop("root")
         placed = named.withColumn("root", F.col("node")) if self.roots is None else named.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        placed = self.kept.keep("placed", placed.select("band", "node", "root"))
-        several = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
-        return self.kept.keep("mixed", placed.join(several.hint("merge"), "band").select("band", "node", "root"))
+        placed = self.kept.keep("placed", placed)
+        several = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("size").alias("smallest")).where("low < high").select("band", "smallest")
+        able = placed.join(several.hint("merge"), "band").where(F.col("after") >= overlap(F.col("size"), F.col("smallest"), self.similarity))
+        return self.kept.keep("mixed", able.drop("smallest"))
 
     def pivots(self, placed: DataFrame, turn: int) -> None:
-        """Verifies the members of each posting against one of them."""
-        chosen = placed.groupBy("band").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("pivot"))
+        """Verifies the members of each posting against one of them, that of which the shingles are in the most sets."""
+        chosen = placed.groupBy("band").agg(F.min_by(F.struct("node", "root"), F.struct("far", F.xxhash64("node", F.lit(turn)))).alias("pivot"))
         met = placed.join(chosen.hint("merge"), "band").where("root != pivot.root")
         self.verify(met.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct())
 
     def rest(self, placed: DataFrame) -> None:
         """Verifies all pairs of postings that are in different components."""
-        one, other = (placed.select("band", F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-        self.verify(one.join(other.hint("merge"), "band").where("a < b and root_a != root_b").select("a", "b").distinct())
+        one, other = (placed.select("band", F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("root", "size", "after")]) for x in "ab")
+        # all that two sets share comes from their first band on
+        able = F.least("after_a", "after_b") >= overlap(F.col("size_a"), F.col("size_b"), self.similarity)
+        self.verify(one.join(other.hint("merge"), "band").where("a < b and root_a != root_b").where(able).select("a", "b").distinct())
+
+
+def indexed(classes: DataFrame, kept: Scratch) -> DataFrame:
+    """band, node, far, root: the groups of operator 10's links between the fingerprints of classes (node, fp) as postings; far falls with the number of a fingerprint's links."""
+    links = kept.keep("links", simhash.links(classes, DISTANCE))
+    degrees = links.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg((1 / (1 + F.count("*"))).alias("far"))
+    grouped = components(links).select(F.col("node").alias("fp"), F.col("root").alias("band")).join(degrees, "fp")
+    placed = classes.join(grouped, "fp", "left").select(F.coalesce("band", "fp").alias("band"), "node", F.coalesce("far", F.lit(1.0)).alias("far"), F.col("node").alias("root"))
+    several = placed.groupBy("band").count().where("count > 1").select("band")
+    return kept.keep("indexed", placed.join(several.hint("merge"), "band"))
+
 
+def open_nodes(classes: DataFrame) -> DataFrame:
+    """The nodes that have enough values of their head in common with others; a node with a similar one is among them."""
+    each = classes.select("node", "least", F.explode("head").alias("band"))
+    shared = each.withColumn("met", F.count("*").over(Window.partitionBy("band"))).where("met > 1")
+    return shared.groupBy("node", "least").count().where("count >= least").select("node")
 
-def roots(documents: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float = 0.8, rounds: int = 1) -> DataFrame:
-    """node, root: the components of all similar pairs which share a band, for the nodes of `banded` rows that have such a pair.
 
-    sets_of gives node and shingles, once each, for a table of nodes: those that share a band with another.
+def roots(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], kept: Scratch, similarity: float = 0.8, rounds: int = 1) -> DataFrame | None:
+    """node, root: the components of all similar pairs of classes (node, fp, head, least), for the nodes that have such a pair; none if no node has.
+
+    sets_of gives node and shingles, once each, for a table of nodes.
     """
-    kept = Scratch(documents.sparkSession)
-    index = kept.keep("index", documents.select("node", F.explode("bands").alias("band")).distinct())
-    shared = index.groupBy("band").count().where("count > 1").select("band")
-    index = kept.keep("index", index.join(shared.hint("merge"), "band").select("node", "band"))
-    linker = Linker(kept.keep("sets", sets_of(index.select("node").distinct())), similarity, kept)
-    placed = index.withColumn("root", F.col("node"))
-    for turn in range(rounds):
-        linker.pivots(placed, turn)
-        placed = linker.mixed(placed)
-    # what is not settled meets again in its rarest shingles, which texts that merely share a passage do not have in common
-    open_ = kept.keep("open", linker.sets.join(placed.select("node").distinct().hint("merge"), "node", "left_semi"))
-    fine = kept.keep("fine", prefix_postings(open_, similarity))
-    placed = linker.mixed(fine)
+    groups = indexed(classes.select("node", "fp"), kept)
+    linker = Linker(kept.keep("sets", sets_of(open_nodes(classes))), similarity, kept)
+    linker.pivots(groups, 0)
+    placed = linker.mixed(kept.keep("fine", prefix_postings(linker.sets, similarity)))
     for turn in range(rounds):
-        linker.pivots(placed, rounds + turn)
+        linker.pivots(placed, 1 + turn)
         placed = linker.mixed(placed)
     linker.rest(placed)
     return linker.roots
@@ -173,16 +204,17 @@ def roots(documents: DataFrame, sets_of: Callable[[DataFrame], DataFrame], simil
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of each group that similarity links connect, the one with the smallest key."""
+    kept = Scratch(df.sparkSession)
     keyed = df.select(row_key(key, text).alias("row_"), F.col(text).alias("text_"))
-    rows = materialise(banded(keyed, "row_", "text_", shingle))
-    classes = materialise(rows.groupBy("node").agg(F.min("row_").alias("row_")))
+    signs = signed(keyed, "row_", "text_", shingle, similarity)
+    classes = kept.keep("classes", signs.groupBy("node").agg(F.min("row_").alias("row_"), *[F.any_value(c).alias(c) for c in ("fp", "head", "least")]))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         # sets are made anew for these alone; the table is written, so Spark knows its size when it plans the join with the texts
-        wanted = materialise(classes.join(nodes, "node").select(F.col("row_.id").alias("id_"), F.col("row_.mark").alias("mark_")))
+        wanted = kept.keep("wanted", classes.join(nodes, "node").select(F.col("row_.id").alias("id_"), F.col("row_.mark").alias("mark_")))
         chosen = keyed.join(wanted, F.col("row_.id").eqNullSafe(F.col("id_")) & (F.col("row_.mark") == F.col("mark_")), "left_semi")
         return shingle_sets(chosen, "text_", shingle).dropDuplicates(["node"])
 
-    found = roots(rows, sets_of, similarity)
-    chosen = classes.join(found.hint("merge"), "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("row_").alias("row_"))
-    return keep_rows(df, chosen.select("row_"), key, text)
+    found = roots(classes, sets_of, kept, similarity)
+    placed = classes.select("node", "row_", F.col("node").alias("root")) if found is None else classes.join(found.hint("merge"), "node", "left").select("row_", F.coalesce("root", "node").alias("root"))
+    return keep_rows(df, placed.groupBy("root").agg(F.min("row_").alias("row_")).select("row_"), key, text)

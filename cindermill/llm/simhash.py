@@ -20,7 +20,7 @@ doc_id is a row like any other and never the smallest id, unless all in its comp
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 from math import comb
 
@@ -47,9 +47,14 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     starts = np.r_[0, ends[:-1] + 1]
     n = max(1, len(words) - shingle + 1)
     first, last = starts[:n].tolist(), ends[-n:].tolist()
-    hashed, ones = xxhash.xxh64_intdigest, np.zeros(64, dtype=np.int64)
-    for at in range(0, n, BLOCK):
-        h = np.array([hashed(spaced[a:b], seed) for a, b in zip(first[at:at + BLOCK], last[at:at + BLOCK])], dtype=np.uint64)
+    hashed = xxhash.xxh64_intdigest
+    return majority((np.array([hashed(spaced[a:b], seed) for a, b in zip(first[at:at + BLOCK], last[at:at + BLOCK])], dtype=np.uint64) for at in range(0, n, BLOCK)), n)
+
+
+def majority(blocks: Iterable[np.ndarray], n: int) -> int:
+    """The bits that are set in over half of n 64-bit hashes, which come in blocks."""
+    ones = np.zeros(64, dtype=np.int64)
+    for h in blocks:
         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 

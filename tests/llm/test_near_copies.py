@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cindermill.llm import jaccard, quality, simhash, toxicity
 
 
@@ -94,3 +95,72 @@ def test_toxicity_steps_by_blocks_are_the_whole_text_s():
     assert all((a == b).all() for a, b in zip(whole[0], parts[0])) and np.allclose(np.concatenate(whole[1]), np.concatenate(parts[1]), atol=1e-5)
     _, values = model._activations(ids)
     assert all((v.argmax(axis=0) == a).all() for v, a in zip(values, whole[0]))
+
+
+def edited_copies(n, common=200, seed=4):
+    """A text of 150 words and n copies of it, each with 1 to 9 words replaced by some of `common` ones, so that similarities are 0.4 to 1."""
+    rng = np.random.default_rng(seed)
+    base, rows = [f"b{k}" for k in range(150)], [(0, " ".join(f"b{k}" for k in range(150)))]
+    for i in range(n):
+        words = list(base)
+        for at in rng.choice(150, int(rng.integers(1, 10)), replace=False):
+            words[at] = f"common{rng.integers(0, common)}"
+        rows.append((i + 1, " ".join(words)))
+    return rows
+
+
+def kept_by_all_pairs(rows):
+    sets = {k: set(jaccard.shingle_set(text).tolist()) for k, text in rows}
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {find(k) for k in sets}
+
+
+def test_a_large_group_of_near_copies_makes_no_pairs_of_all(spark, monkeypatch):
+    verified = []
+    for n in (100, 400):
+        rows = edited_copies(n)
+        got, pairs = kept_and_verified(spark, monkeypatch, rows)
+        assert got == kept_by_all_pairs(rows) and 1 < len(got) < n
+        verified.append(pairs)
+    assert verified[1] < 6 * verified[0] and verified[1] < 5 * 400
+    # copies that have most of their changes in common, too
+    rows = edited_copies(400, common=8)
+    got, pairs = kept_and_verified(spark, monkeypatch, rows)
+    assert got == kept_by_all_pairs(rows) and pairs < 5 * 400
+
+
+def test_the_stage_takes_its_groups_from_the_byte_position_index(spark, monkeypatch):
+    met = []
+    real = simhash.meetings
+
+    def counted(index, *args):
+        met.append(index.select("fp").distinct().count())
+        return real(index, *args)
+
+    monkeypatch.setattr(simhash, "meetings", counted)
+    rows = edited_copies(30)
+    docs = spark.createDataFrame([*rows, *[(1000 + k, text) for k, text in rows]], "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.distinct(spark, docs, "").collect()} == kept_by_all_pairs(rows)
+    assert met == [len({jaccard.shingle_set(text).tobytes() for _, text in rows})]
+
+
+def test_open_nodes_hold_every_similar_pair():
+    rng = np.random.default_rng(8)
+    for _ in range(2000):
+        n, kept = int(rng.integers(1, 120)), rng.random()
+        shared = rng.integers(0, 2**63, max(1, int(n * (0.8 + 0.2 * kept))), dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([shared, rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 4)), dtype=np.uint64)])) for _ in "ab")
+        if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
+            (one, least), (other, too) = jaccard.head(a, 0.8), jaccard.head(b, 0.8)
+            assert len(np.intersect1d(one, other)) >= max(least, too)
