@@ -78,13 +78,16 @@ def _byte_masks(positions: tuple[int, ...]) -> int:
 def postings(fps: DataFrame, width: int) -> DataFrame:
     """fp, kind, bytes: each different fingerprint once for every set of `width` positions."""
     sets = F.array(*[F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(F.lit(_byte_masks(chosen))).alias("bytes")) for k, chosen in enumerate(combinations(range(POSITIONS), width))])
-    return fps.select("fp").distinct().select("fp", F.explode(sets).alias("p")).select("fp", "p.kind", "p.bytes")
+    # adaptive execution merges fingerprints into a few tasks by their own few bytes, not by those of the entries that each becomes; dealt
+    # out by fp itself, they would stay where distinct() put them
+    dealt = fps.select("fp").distinct().repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
+    return dealt.select("fp", F.explode(sets).alias("p")).select("fp", "p.kind", "p.bytes")
 
 
 def meetings(index: DataFrame, least: int, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b), a < b, that meet in at least `least` postings of at most `crowd` entries, and the fingerprints of larger ones."""
-    # only postings with a second entry can give a pair
-    full = index.groupBy("kind", "bytes").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high")).where("n > 1")
+    # only postings with a second entry can give a pair; written, so that the index is counted once and Spark knows how few they are
+    full = materialise(index.groupBy("kind", "bytes").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high")).where("n > 1"))
     few = full.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
     many = materialise(index.join(full.where("n > 2").select("kind", "bytes", "n"), ["kind", "bytes"]))
     paired = many.where(F.col("n") <= crowd)

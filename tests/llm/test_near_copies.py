@@ -164,3 +164,17 @@ def test_open_nodes_hold_every_similar_pair():
         if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
             (one, least), (other, too) = jaccard.head(a, 0.8), jaccard.head(b, 0.8)
             assert len(np.intersect1d(one, other)) >= max(least, too)
+
+
+def test_the_index_is_made_by_all_tasks_and_counted_once(spark, monkeypatch):
+    fps = spark.range(3000).select(F.xxhash64(F.col("id") % 2500).alias("fp"))
+    index = simhash.postings(fps, 4)
+    by_task = [r["count"] for r in index.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(by_task) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(by_task) == 70 * 2500
+    assert max(by_task) < 2 * sum(by_task) / len(by_task)
+    written = []
+    monkeypatch.setattr(simhash, "materialise", lambda df, real=simhash.materialise: written.append(real(df)) or written[-1])
+    met, _ = simhash.meetings(index, 15)
+    assert len(written) == 2 and {*written[0].columns} == {"kind", "bytes", "n", "low", "high"}
+    # what the pairs come from is read from the two tables, not made anew
+    assert "Generate" not in met._jdf.queryExecution().optimizedPlan().toString()
