@@ -2,11 +2,15 @@
 
 A fingerprint has eight positional bytes. Two fingerprints that differ in at most `distance` bits
 agree in at least 8 - distance of them. Postings of single bytes would hold a 256th of all rows each, so
-a posting is a set of two positions fewer than that with their bytes. A pair that shares s bytes meets in
-as many postings as there are such sets among s positions, so the guaranteed minimum of shared bytes is one of
+a posting is a set of two positions fewer than that with their bytes. A pair meets in as many postings as
+there are such sets among the positions that it shares, so the guaranteed minimum of shared bytes is one of
 met postings too: meetings are tallied by pair, pairs below it are removed, and the
 others are verified by their differing bits. Equal fingerprints are one entry of the index.
 
+For 2 bits, not all 70 sets of four positions are needed. The 14 whose numbers add up to zero without carry are a
+quadruple system: any three positions are in exactly one of them, so any two positions are outside of three, and a
+pair within 2 bits meets in these three at least. The index, and what is shuffled to count it, is a fifth.
+
 A posting with more than CROWD different fingerprints is not paired. Each of its fingerprints looks up every value
 within `distance` bits of it instead, so the work stays in proportion to the rows and no link is lost.
 
@@ -20,9 +24,10 @@ doc_id is a row like any other and never the smallest id, unless all in its comp
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterable, Iterator
+from functools import reduce
 from itertools import combinations
-from math import comb
+from operator import xor
 
 import numpy as np
 import pyarrow as pa
@@ -75,9 +80,18 @@ def _byte_masks(positions: tuple[int, ...]) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def postings(fps: DataFrame, width: int) -> DataFrame:
-    """fp, kind, bytes: each different fingerprint once for every set of `width` positions."""
-    sets = F.array(*[F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(F.lit(_byte_masks(chosen))).alias("bytes")) for k, chosen in enumerate(combinations(range(POSITIONS), width))])
+def position_sets(distance: int) -> tuple[list[tuple[int, ...]], int]:
+    """Sets of positions, and how many of them at least are without any positions at which `distance` bits can differ."""
+    sets = list(combinations(range(POSITIONS), max(1, POSITIONS - distance - 2)))
+    if distance == 2:
+        sets = [chosen for chosen in sets if reduce(xor, chosen) == 0]
+    return sets, min(sum(not {*chosen} & {*differing} for chosen in sets) for differing in combinations(range(POSITIONS), distance))
+
+
+def postings(fps: DataFrame, width: int, among: Collection[tuple[int, ...]] | None = None) -> DataFrame:
+    """fp, kind, bytes: each different fingerprint once for every set of `width` positions, or for those among them that are given."""
+    kinds = [(k, chosen) for k, chosen in enumerate(combinations(range(POSITIONS), width)) if among is None or chosen in among]
+    sets = F.array(*[F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(F.lit(_byte_masks(chosen))).alias("bytes")) for k, chosen in kinds])
     # adaptive execution merges fingerprints into a few tasks by their own few bytes, not by those of the entries that each becomes; dealt
     # out by fp itself, they would stay where distinct() put them
     dealt = fps.select("fp").distinct().repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
@@ -106,9 +120,8 @@ def looked_up(crowded: DataFrame, distance: int) -> DataFrame:
 
 def links(fps: DataFrame, distance: int = 2, crowd: int = CROWD) -> DataFrame:
     """Pairs (a, b), a < b, of different fingerprints in column fp that differ in at most `distance` bits."""
-    shared = POSITIONS - distance
-    width = max(1, shared - 2)
-    met, crowded = meetings(postings(fps, width), comb(shared, width), crowd)
+    sets, least = position_sets(distance)
+    met, crowded = meetings(postings(fps, len(sets[0]), sets), least, crowd)
     found = met.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
     if crowded.limit(1).count():
         found = found.unionByName(looked_up(materialise(crowded), distance)).distinct()

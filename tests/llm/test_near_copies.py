@@ -1,5 +1,7 @@
 """The near-duplicate stage on boilerplate and clashing columns; labels and ids that repeat."""
 
+from itertools import combinations
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -178,3 +180,33 @@ def test_the_index_is_made_by_all_tasks_and_counted_once(spark, monkeypatch):
     assert len(written) == 2 and {*written[0].columns} == {"kind", "bytes", "n", "low", "high"}
     # what the pairs come from is read from the two tables, not made anew
     assert "Generate" not in met._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_index_has_fourteen_postings_a_fingerprint_and_loses_no_pair(spark, monkeypatch):
+    indexed, tallies = [], []
+    real = simhash.meetings
+
+    def counted(index, least, *args):
+        indexed.append(index.count())
+        tallies.append(least)
+        return real(index, least, *args)
+
+    monkeypatch.setattr(simhash, "meetings", counted)
+    base = 0x0123456789ABCDEF
+    # a bit or two in each byte or pair of bytes, and the last bit of all
+    flips = {1 << 8 * p + 3 for p in range(8)} | {1 << 8 * p + 3 | 1 << 8 * q + 5 for p in range(8) for q in range(8)} | {1 << 63}
+    values = sorted(int(np.uint64(base ^ f).astype(np.int64)) for f in flips | {0})
+    near = {(a, b) for k, a in enumerate(values) for b in values[k + 1:] if bin((a ^ b) & (2**64 - 1)).count("1") <= 2}
+    found = [(r["a"], r["b"]) for r in simhash.links(spark.createDataFrame([(v,) for v in values], "fp long")).collect()]
+    assert set(found) == near and len(found) == len(near)
+    # before, 70 postings a fingerprint were shuffled and counted, and shuffled again to be paired
+    assert indexed == [14 * len(values)] and tallies == [3]
+
+
+def test_the_tally_is_the_least_number_of_sets_that_a_pair_shares():
+    for distance in range(1, 7):
+        sets, least = simhash.position_sets(distance)
+        assert least > 0
+        for n in range(distance + 1):
+            for differing in combinations(range(8), n):
+                assert sum(not set(chosen) & set(differing) for chosen in sets) >= least
